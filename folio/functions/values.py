@@ -112,7 +112,7 @@ def blank_to_null(c: Column | str) -> Column:
 
 def parse_date(c: Column | str) -> Column:
     """ISO ``yyyy-MM-dd`` text of a date input; blank or bad text -> null."""
-    return F.try_to_date(blank_to_null(c), F.lit("yyyy-MM-dd"))
+    return F.try_to_date(blank_to_null(c), "yyyy-MM-dd")
 
 
 def date_text(c: Column | str) -> Column:
