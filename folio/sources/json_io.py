@@ -12,8 +12,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-CORRUPT = "_corrupt_record"
-
 
 def text_fields_schema(fields: list[str]) -> T.StructType:
     """All fields as strings: any JSON scalar keeps its text, so typing and
@@ -34,16 +32,15 @@ def is_json_object(text: Column | str) -> Column:
 
 
 def read_json_rows(spark: SparkSession, path: str, schema: T.StructType) -> tuple[DataFrame, DataFrame]:
-    """JSON-lines files -> (parsed rows, malformed lines with their text)."""
-    with_corrupt = T.StructType(schema.fields + [T.StructField(CORRUPT, T.StringType(), True)])
-    df = (
-        spark.read.schema(with_corrupt)
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", CORRUPT)
-        .json(path)
-    )
-    good = df.filter(F.col(CORRUPT).isNull()).drop(CORRUPT)
-    bad = df.filter(F.col(CORRUPT).isNotNull()).select(CORRUPT)
+    """JSON-lines files -> (parsed rows, malformed lines with their text).
+
+    Lines are read as text and parsed with ``from_json``; a line that is not a
+    JSON object goes to the second frame (``line``) instead of vanishing.
+    """
+    lines = spark.read.text(path).select(F.col("value").alias("line"))
+    checked = lines.select("line", is_json_object("line").alias("_ok"))
+    good = checked.filter("_ok").select(F.from_json("line", schema).alias("_r")).select("_r.*")
+    bad = checked.filter(~F.col("_ok")).select("line")
     return good, bad
 
 
