@@ -24,8 +24,7 @@ from pyspark.sql import functions as F
 
 from folio.functions import values as V
 from folio.operators.numbering import assign_ids
-from folio.sources.json_io import is_json_object, parse_object
-from folio.operators.validate import has_keys
+from folio.sources.json_io import parse_object
 
 
 @dataclass(frozen=True)
@@ -75,18 +74,27 @@ def normalise_changes(changes: DataFrame, spec: EntitySpec) -> DataFrame:
 
     Returns ``seq, op, id, <fields>, reasons`` where ``reasons`` is null for
     an accepted change and lists every problem otherwise (malformed body,
-    missing required key, value of the wrong type, missing id).
+    missing required key, value of the wrong type, missing id).  The body is
+    parsed once for its key list and once for its values; every other
+    expression reads those results and stays in generated code.
     """
     rows = changes.filter(F.col("entity") == spec.name)
     names = list(spec.fields)
     parsed = rows.select(
-        "seq", "op", F.col("id").cast("bigint").alias("id"), "body",
+        "seq", "op", F.col("id").cast("bigint").alias("id"),
+        F.json_object_keys("body").alias("_keys"),
         parse_object("body", names).alias("_b"),
-        is_json_object("body").alias("_is_obj"),
-        *[c.alias(f"_has_{k}") for k, c in has_keys("body", names).items()],
+    )
+    present = parsed.select(
+        "seq", "op", "id",
+        F.col("_keys").isNotNull().alias("_is_obj"),
+        *[F.coalesce(F.array_contains("_keys", F.lit(k)), F.lit(False)).alias(f"_has_{k}") for k in names],
+        *[F.col("_b")[k].alias(f"_t_{k}") for k in names],
+    )
+    typed = present.select(
+        "*", *[_typed(F.col(f"_t_{k}"), t).alias(f"_v_{k}") for k, t in spec.fields.items()]
     )
     needs_body = F.col("op").isin("insert", "update")
-    fields = []
     problems = [
         F.when(~F.col("op").isin(*OPS), F.lit("unknown op")),
         F.when(F.col("op").isin("update", "delete") & F.col("id").isNull(), F.lit("id required")),
@@ -94,19 +102,17 @@ def normalise_changes(changes: DataFrame, spec: EntitySpec) -> DataFrame:
     ]
     for k in spec.required:
         problems.append(F.when(needs_body & F.col("_is_obj") & ~F.col(f"_has_{k}"), F.lit(f"{k} missing")))
+    fields = []
     for k, type_name in spec.fields.items():
-        text = F.col("_b")[k]
-        value = _typed(text, type_name)
+        value = F.col(f"_v_{k}")
         if k in spec.zero_if_absent:
             value = F.when(F.col(f"_has_{k}"), value).otherwise(F.lit(0).cast(type_name))
         fields.append(F.when(needs_body, value).alias(k))
-        problems.append(F.when(needs_body & text.isNotNull() & _typed(text, type_name).isNull(),
+        problems.append(F.when(needs_body & F.col(f"_t_{k}").isNotNull() & F.col(f"_v_{k}").isNull(),
                                F.lit(f"{k} not a {type_name}")))
-    reasons = F.filter(F.array(*problems), lambda r: r.isNotNull())
-    return parsed.select(
-        "seq", "op", "id", *fields,
-        F.nullif(F.array_join(reasons, "; "), F.lit("")).alias("reasons"),
-    )
+    # concat_ws skips the nulls of the rules that pass.
+    reasons = F.nullif(F.concat_ws("; ", *problems), F.lit(""))
+    return typed.select("seq", "op", "id", *fields, reasons.alias("reasons"))
 
 
 def split_changes(normalised: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -161,17 +167,19 @@ def insert_rows(base: DataFrame, new_rows: DataFrame, order_col: str, key: str =
 
 
 def apply_changes(base: DataFrame, accepted: DataFrame, spec: EntitySpec,
-                  with_status: bool = False) -> DataFrame:
+                  with_status: bool = False, seq_bounds: tuple | None = None) -> DataFrame:
     """Fold accepted, normalised changes of one entity into ``base``.
 
     ``accepted`` has ``seq, op, id`` and the entity's fields.  With
     ``with_status`` the result keeps ``_created_seq`` and an ``updated`` flag.
+    ``seq_bounds`` (min, max of the log's seq) saves a pass over the log when
+    numbering inserts.
     """
     key = spec.key
     fields = list(spec.fields)
     base_cols = [key, *fields]
     inserts = accepted.filter(F.col("op") == "insert").select("seq", *fields)
-    created = assign_ids(inserts, base, "seq", key).select(key, *fields, F.col("seq").alias("_created_seq"))
+    created = assign_ids(inserts, base, "seq", key, bounds=seq_bounds).select(key, *fields, F.col("seq").alias("_created_seq"))
     current = base.select(*base_cols, F.lit(None).cast("long").alias("_created_seq")).unionByName(created)
 
     mods = accepted.filter(F.col("op").isin("update", "delete"))
@@ -192,26 +200,31 @@ def apply_changes(base: DataFrame, accepted: DataFrame, spec: EntitySpec,
     return kept.select(*out)
 
 
+def reject_changes(changes: DataFrame, entities: list[str]) -> DataFrame:
+    """The requests of a mixed log that would be refused, with reasons
+    (``entity, seq, op, id, reasons``); nothing is folded."""
+    unknown = changes.filter(~F.col("entity").isin(*entities)).select(
+        "entity", "seq", "op", F.col("id").cast("bigint").alias("id"), F.lit("unknown entity").alias("reasons"))
+    out = unknown
+    for name in entities:
+        _, bad = split_changes(normalise_changes(changes, ENTITIES[name]))
+        out = out.unionByName(bad.select(F.lit(name).alias("entity"), "seq", "op", "id", "reasons"))
+    return out
+
+
 def apply_change_log(tables: dict[str, DataFrame], changes: DataFrame) -> tuple[dict[str, DataFrame], DataFrame]:
     """Dispatch a mixed log to each entity's table.
 
     Returns the new version of every table in ``tables`` and all rejected
     changes (``entity, seq, op, id, reasons``).
     """
+    seq_bounds = changes.agg(F.min("seq"), F.max("seq")).first()
     new_tables = {}
-    rejected = []
     for name, base in tables.items():
         spec = ENTITIES[name]
-        normalised = normalise_changes(changes, spec)
-        ok, bad = split_changes(normalised)
-        new_tables[name] = apply_changes(base, ok, spec)
-        rejected.append(bad.select(F.lit(name).alias("entity"), "seq", "op", "id", "reasons"))
-    unknown = changes.filter(~F.col("entity").isin(*tables)).select(
-        "entity", "seq", "op", F.col("id").cast("bigint").alias("id"), F.lit("unknown entity").alias("reasons"))
-    out = unknown
-    for r in rejected:
-        out = out.unionByName(r)
-    return new_tables, out
+        ok, _ = split_changes(normalise_changes(changes, spec))
+        new_tables[name] = apply_changes(base, ok, spec, seq_bounds=tuple(seq_bounds))
+    return new_tables, reject_changes(changes, list(tables))
 
 
 def with_default_role(users: DataFrame, role_col: str = "role") -> DataFrame:

@@ -34,11 +34,21 @@ def _bucket_count(df: DataFrame, buckets: int | None) -> int:
     return max(MIN_BUCKETS, partitions * DEFAULT_BUCKETS_PER_PARTITION)
 
 
-def _bucket_expr(df: DataFrame, order_col: str, buckets: int) -> Column:
-    lo, hi = df.agg(F.min(order_col), F.max(order_col)).first()
+def _bucket_expr(df: DataFrame, order_col: str, buckets: int, bounds: tuple | None = None) -> Column:
+    field = df.schema[order_col].dataType
+    if isinstance(field, (T.DateType, T.TimestampType, T.TimestampNTZType)):
+        # Time keys are bucketed on their epoch seconds, with bounds found in
+        # the same unit by Spark (session time zone throughout).
+        seconds = F.unix_timestamp(F.col(order_col).cast("timestamp"))
+        lo, hi = df.agg(F.min(seconds), F.max(seconds)).first()
+        if lo is None:
+            return F.lit(-1).cast("long")
+        width = max(1, math.ceil((int(hi) - int(lo) + 1) / buckets))
+        bucket = F.floor((seconds - F.lit(int(lo))) / F.lit(width))
+        return F.coalesce(bucket.cast("long"), F.lit(-1).cast("long"))
+    lo, hi = bounds if bounds is not None else df.agg(F.min(order_col), F.max(order_col)).first()
     if lo is None:
         return F.lit(-1).cast("long")
-    field = df.schema[order_col].dataType
     if isinstance(field, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
         width = max(1, math.ceil((int(hi) - int(lo) + 1) / buckets))
         bucket = F.floor((F.col(order_col).cast("long") - F.lit(int(lo))) / F.lit(width))
@@ -47,12 +57,6 @@ def _bucket_expr(df: DataFrame, order_col: str, buckets: int) -> Column:
         width = span / buckets if span > 0 else 1.0
         bucket = F.least(F.floor((F.col(order_col).cast("double") - F.lit(float(lo))) / F.lit(width)),
                          F.lit(buckets - 1))
-    elif isinstance(field, (T.DateType, T.TimestampType, T.TimestampNTZType)):
-        seconds = F.unix_timestamp(F.col(order_col).cast("timestamp"))
-        lo_s, hi_s = df.agg(F.min(F.unix_timestamp(F.col(order_col).cast("timestamp"))),
-                            F.max(F.unix_timestamp(F.col(order_col).cast("timestamp")))).first()
-        width = max(1, math.ceil((hi_s - lo_s + 1) / buckets))
-        bucket = F.floor((seconds - F.lit(lo_s)) / F.lit(width))
     else:
         raise TypeError(f"numbering needs a numeric or time order key, got {field}")
     # Nulls sort first, as in an ascending Spark sort.
@@ -66,15 +70,18 @@ def number_rows(
     by: list[str] | None = None,
     tie_breakers: list[str] | None = None,
     buckets: int | None = None,
+    bounds: tuple | None = None,
 ) -> DataFrame:
     """Add ``out_col`` = 1..n in ``order_col`` order (per ``by`` group).
 
     Equal to ``row_number() over (partition by <by> order by <order_col>)``
-    when the order is total (add ``tie_breakers`` otherwise).
+    when the order is total (add ``tie_breakers`` otherwise).  ``bounds``
+    (a known min and max of ``order_col``, or a range covering it) saves the
+    pass that finds them.
     """
     by = list(by or [])
     nb = _bucket_count(df, buckets)
-    tagged = df.withColumn("_bucket", _bucket_expr(df, order_col, nb))
+    tagged = df.withColumn("_bucket", _bucket_expr(df, order_col, nb, bounds))
     counts = tagged.groupBy(*by, "_bucket").agg(F.count(F.lit(1)).alias("_n"))
     running = Window.partitionBy(*by).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(*by, "_bucket", F.coalesce(F.sum("_n").over(running), F.lit(0)).alias("_offset"))
@@ -96,9 +103,9 @@ def max_key(df: DataFrame, key: str) -> int:
 
 
 def assign_ids(new_rows: DataFrame, base: DataFrame, order_col: str, id_col: str = "id",
-               start_after: int | None = None) -> DataFrame:
+               start_after: int | None = None, bounds: tuple | None = None) -> DataFrame:
     """Ids for inserted rows, as a store with an identity column gives
     them: after the largest id in ``base``, dense, in request order."""
     start = max_key(base, id_col) if start_after is None else start_after
-    numbered = number_rows(new_rows, order_col, out_col="_n")
+    numbered = number_rows(new_rows, order_col, out_col="_n", bounds=bounds)
     return numbered.withColumn(id_col, (F.col("_n") + F.lit(start)).cast("long")).drop("_n")
