@@ -33,14 +33,15 @@ def enrich(
     a key repeats) and broadcast only when counted small; otherwise the join
     shuffles both sides on the key and AQE splits a hot key's partition.
     """
+    a_raw = authors.select(F.col("id").alias("_author_key"), F.col("full_name").alias("author"))
+    c_raw = categories.select(F.col("id").alias("_category_key"), F.col("name").alias("category"))
     if check_unique:
-        a = unique_dimension(authors, "id", {"full_name": "author"})
-        c = unique_dimension(categories, "id", {"name": "category"})
+        a = unique_dimension(a_raw, "_author_key", {"author": "author"})
+        c = unique_dimension(c_raw, "_category_key", {"category": "category"})
     else:
-        a = authors.select("id", F.col("full_name").alias("author"))
-        c = categories.select("id", F.col("name").alias("category"))
-    a = checked_broadcast(a.withColumnRenamed("id", "_author_key"), broadcast_max_rows)
-    c = checked_broadcast(c.withColumnRenamed("id", "_category_key"), broadcast_max_rows)
+        a, c = a_raw, c_raw
+    a = checked_broadcast(a, broadcast_max_rows, measured=a_raw)
+    c = checked_broadcast(c, broadcast_max_rows, measured=c_raw)
     joined = (
         books.join(a, books["author_id"] == a["_author_key"], "left")
         .join(c, books["category_id"] == c["_category_key"], "left")

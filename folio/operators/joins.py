@@ -33,10 +33,16 @@ def has_at_most(df: DataFrame, max_rows: int) -> bool:
     return df.limit(max_rows + 1).count() <= max_rows
 
 
-def checked_broadcast(df: DataFrame, max_rows: int | None = None) -> DataFrame:
-    """``broadcast(df)`` when its size is proven small, else ``df`` unchanged."""
+def checked_broadcast(df: DataFrame, max_rows: int | None = None, measured: DataFrame | None = None) -> DataFrame:
+    """``broadcast(df)`` when its size is proven small, else ``df`` unchanged.
+
+    ``measured`` is a frame with at least as many rows as ``df`` that is
+    cheaper to count -- e.g. the dimension's projected scan before a
+    de-duplicating aggregate, where each task can stop after ``max_rows + 1``
+    rows instead of finishing the aggregate.
+    """
     limit = broadcast_max_rows(df) if max_rows is None else max_rows
-    if limit > 0 and has_at_most(df, limit):
+    if limit > 0 and has_at_most(measured if measured is not None else df, limit):
         return F.broadcast(df)
     return df
 

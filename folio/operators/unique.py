@@ -20,7 +20,7 @@ the shared checkpoint folder to cut the lineage.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from folio.session import require_checkpoint_dir
@@ -32,26 +32,39 @@ def _existing_keys(existing: DataFrame | None, key: str) -> DataFrame | None:
     return existing.select(F.col(key)).where(F.col(key).isNotNull()).distinct()
 
 
+def key_digest(c: Column | str) -> Column:
+    """A 40-byte stand-in for a long text key: SHA-256 of its UTF-8 bytes plus
+    its length.  Grouping on it moves 40 bytes per key through the shuffle
+    instead of the whole text; two different texts share it with probability
+    about 2**-256."""
+    c = F.col(c) if isinstance(c, str) else c
+    return F.when(c.isNotNull(), F.concat(F.sha2(c, 256), F.lit(":"), F.length(c).cast("string")))
+
+
 def unique_insert(requests: DataFrame, key: str, order_col: str,
-                  existing: DataFrame | None = None) -> DataFrame:
+                  existing: DataFrame | None = None, digest: bool = False) -> DataFrame:
     """All request rows plus ``accepted`` and ``reason`` (null when accepted).
 
-    ``order_col`` must be unique (the request sequence).
+    ``order_col`` must be unique (the request sequence).  ``digest`` groups
+    long text keys by ``key_digest`` instead of the text itself.
     """
+    gkey = key_digest(key) if digest else F.col(key)
     firsts = (
         requests.where(F.col(key).isNotNull())
-        .groupBy(key)
+        .groupBy(gkey.alias("_gkey"))
         .agg(F.min(order_col).alias("_first"))
     )
     taken = _existing_keys(existing, key)
     if taken is not None:
-        firsts = firsts.join(taken, key, "left_anti")
+        taken_g = taken.select((key_digest(key) if digest else F.col(key)).alias("_gkey"))
+        firsts = firsts.join(taken_g, "_gkey", "left_anti")
     winners = firsts.select(F.col("_first").alias("_win_seq"), F.lit(True).alias("_won"))
     joined = requests.join(winners, requests[order_col] == winners["_win_seq"], "left")
     won = F.coalesce(F.col("_won"), F.lit(False))
     if taken is not None:
         flagged = joined.join(taken.select(F.col(key).alias("_taken"), F.lit(True).alias("_exists")),
                               F.col(key) == F.col("_taken"), "left")
+        # The key join fans out on nothing: ``taken`` holds each key once.
     else:
         flagged = joined.withColumn("_exists", F.lit(None).cast("boolean"))
     exists = F.coalesce(F.col("_exists"), F.lit(False))

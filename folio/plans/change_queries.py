@@ -184,7 +184,7 @@ def change_rejects(spark, sf_dir):
 
 def unique_documents(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return unique_insert(docs, "text", "doc_id").select("doc_id", "accepted", "reason")
+    return unique_insert(docs, "text", "doc_id", digest=True).select("doc_id", "accepted", "reason")
 
 
 def link_build(spark, sf_dir):

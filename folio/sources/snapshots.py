@@ -32,11 +32,21 @@ def latest_version(spark: SparkSession, root: str) -> tuple[int, str] | None:
     return (int(row["version"]), row["path"]) if row else None
 
 
-def publish(df: DataFrame, root: str, version: int | None = None) -> int:
+def published_batch(spark: SparkSession, root: str, batch_id: int) -> bool:
+    """True when a stream batch has already been published (a retried batch
+    must not be applied twice)."""
+    log = _versions(spark, root)
+    if log is None or "batch_id" not in log.columns:
+        return False
+    return not log.filter(F.col("batch_id") == batch_id).isEmpty()
+
+
+def publish(df: DataFrame, root: str, version: int | None = None, batch_id: int | None = None) -> int:
     """Write ``df`` as a new version under ``root`` and publish it.
 
     Returns the version number.  An existing version folder is never
-    overwritten once published.
+    overwritten once published.  ``batch_id`` tags the version with the
+    stream batch that produced it.
     """
     spark = df.sparkSession
     current = latest_version(spark, root)
@@ -47,7 +57,7 @@ def publish(df: DataFrame, root: str, version: int | None = None) -> int:
     path = f"{root.rstrip('/')}/v{version:010d}"
     # Unpublished leftovers of a failed attempt at this version are replaced.
     df.write.mode("overwrite").parquet(path)
-    entry = spark.createDataFrame([(version, path)], "version long, path string")
+    entry = spark.createDataFrame([(version, path, batch_id)], "version long, path string, batch_id long")
     entry.coalesce(1).write.mode("append").parquet(f"{root.rstrip('/')}/{VERSIONS}")
     return version
 

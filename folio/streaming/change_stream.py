@@ -1,0 +1,67 @@
+"""Change requests applied as they arrive (Structured Streaming).
+
+The reference applies each change request when it is posted.  Here change-log
+files (JSON lines of ``seq, entity, op, id, body``) landing in a folder are
+read by a file stream; every micro-batch is normalised, checked and folded
+into the newest published version of one table, and the result is published
+as the next version (``sources.snapshots``).  Rejected requests are appended
+to ``<table_root>/_rejects``.
+
+Exactly-once on the table: the stream's checkpoint lives in the shared
+checkpoint folder, and a batch that is re-run after a failure finds its own
+version already published and does nothing.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
+
+from folio.operators import changes as C
+from folio.session import require_checkpoint_dir
+from folio.sources import snapshots
+from folio.sources.tables import CHANGES_SCHEMA
+
+
+def fold_batch(spark: SparkSession, table_root: str, entity: str, batch: DataFrame, batch_id: int) -> None:
+    """Apply one micro-batch of changes to the table under ``table_root``."""
+    if snapshots.published_batch(spark, table_root, batch_id):
+        return
+    spec = C.ENTITIES[entity]
+    mine = batch.filter(F.col("entity") == entity)
+    normalised = C.normalise_changes(mine, spec)
+    ok, bad = C.split_changes(normalised)
+    base = snapshots.read_latest(spark, table_root)
+    new = C.apply_changes(base, ok, spec)
+    bad.withColumn("batch_id", F.lit(batch_id)).write.mode("append").parquet(
+        f"{table_root.rstrip('/')}/_rejects")
+    snapshots.publish(new, table_root, batch_id=batch_id)
+
+
+def start_change_stream(
+    spark: SparkSession,
+    changes_dir: str,
+    table_root: str,
+    entity: str,
+    name: str,
+    available_now: bool = False,
+    processing_time: str | None = None,
+    max_files_per_trigger: int | None = None,
+) -> StreamingQuery:
+    """Start the stream; ``available_now`` processes what is there and stops."""
+    folder = require_checkpoint_dir(spark)
+    reader = spark.readStream.schema(CHANGES_SCHEMA)
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
+    stream = reader.json(changes_dir)
+    writer = (
+        stream.writeStream.queryName(name)
+        .option("checkpointLocation", f"{folder.rstrip('/')}/streams/{name}")
+        .foreachBatch(lambda df, batch_id: fold_batch(spark, table_root, entity, df, batch_id))
+    )
+    if available_now:
+        writer = writer.trigger(availableNow=True)
+    elif processing_time:
+        writer = writer.trigger(processingTime=processing_time)
+    return writer.start()

@@ -119,3 +119,20 @@ def test_content_coverage_variants(spark):
     assert flags == {1: True, 2: False, 3: False}
     assert E.content_coverage(b, files, how="with").count() == 1
     assert E.content_coverage(b, files, how="without").count() == 2
+
+
+def test_lookup_by_natural_key_and_empty(spark):
+    users = spark.createDataFrame([("u1", "A@x.y", "admin"), ("u2", "b@x.y", "user")],
+                                  "username string, email string, role string")
+    assert [r.role for r in S.lookup_natural_key(users, "email", "A@x.y", ["role"]).collect()] == ["admin"]
+    assert S.is_empty(S.lookup_natural_key(users, "email", "a@x.y", ["role"]))
+    assert [r.role for r in S.lookup_natural_key(users, "email", "a@x.y", ["role"],
+                                                 case_sensitive=False).collect()] == ["admin"]
+
+
+def test_lookup_by_id_pushes_to_scan(spark, scratch):
+    books(spark, [(1, "a", 1, 1, None, None, 0), (2, "b", 1, 1, None, None, 0)]).write.parquet(f"{scratch}/b")
+    df = S.lookup(spark.read.parquet(f"{scratch}/b"), "id", 2)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "EqualTo(id,2)" in plan
+    assert [r.title for r in df.collect()] == ["b"]
