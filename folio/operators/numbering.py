@@ -1,16 +1,26 @@
 """Dense row numbering (W1) and new-id assignment (D1) without a global window.
 
 ``row_number().over(Window.orderBy(k))`` sends every row to one task.  Here the
-order key's range is cut into many equal-width buckets (a pure function of
-the key, so every pass sees the same buckets):
-
-1. one aggregate finds the key's min and max (two scalars to the driver);
-2. rows are counted per bucket -- the shuffle carries one row per bucket and
-   map task, and the result has at most ``buckets`` rows per group;
-3. a running sum over those counts gives each bucket's offset;
+order key is cut into buckets by a pure function of the key, so every pass of
+the plan sees the same buckets:
+
+1. one aggregate finds the row count, min and max of the key, and a bounded
+   random sample of keys (at most ~32 per coarse bucket) gives the coarse
+   edges on the driver -- they become literals of the plan, so the counting
+   pass and the numbering pass cut identically;
+2. a branchless binary search over the edge array (one small projection per
+   step, log2(edges) steps) gives a coarse bucket holding about
+   ``1/65`` of the rows however the keys cluster; each coarse range is then
+   split into equal-width sub-buckets, so evenly spread keys (ids) land in
+   ``buckets`` about equal buckets and clustered keys in at worst ``1/65``;
+3. rows are counted per bucket -- the shuffle carries one row per bucket and
+   map task -- and a running sum over those counts gives each bucket's
+   offset (the offsets table has one row per bucket: a proven bound);
 4. rows are numbered inside their bucket (a window partitioned by bucket,
-   which spills if a bucket is large) and shifted by the bucket's offset,
-   joined from the bounded offsets table.
+   which spills if large) and shifted by the bucket's offset.
+
+Ties of the order key stay in one bucket; numbering among tied rows is
+arbitrary unless ``tie_breakers`` order them.
 """
 
 from __future__ import annotations
@@ -25,6 +35,10 @@ from folio.operators.joins import checked_broadcast
 
 DEFAULT_BUCKETS_PER_PARTITION = 64
 MIN_BUCKETS = 256
+# Quantile edges are plan literals; 64 keeps the plan small and the search at
+# six steps.  Each quantile range is further cut into equal-width buckets.
+MAX_EDGES = 64
+SAMPLE_PER_EDGE = 32
 
 
 def _bucket_count(df: DataFrame, buckets: int | None) -> int:
@@ -34,33 +48,91 @@ def _bucket_count(df: DataFrame, buckets: int | None) -> int:
     return max(MIN_BUCKETS, partitions * DEFAULT_BUCKETS_PER_PARTITION)
 
 
-def _bucket_expr(df: DataFrame, order_col: str, buckets: int, bounds: tuple | None = None) -> Column:
+def _numeric_key(df: DataFrame, order_col: str) -> tuple[Column, bool]:
+    """The order key as a number with the same order, and whether it is integral."""
     field = df.schema[order_col].dataType
-    if isinstance(field, (T.DateType, T.TimestampType, T.TimestampNTZType)):
-        # Time keys are bucketed on their epoch seconds, with bounds found in
-        # the same unit by Spark (session time zone throughout).
-        seconds = F.unix_timestamp(F.col(order_col).cast("timestamp"))
-        lo, hi = df.agg(F.min(seconds), F.max(seconds)).first()
-        if lo is None:
-            return F.lit(-1).cast("long")
-        width = max(1, math.ceil((int(hi) - int(lo) + 1) / buckets))
-        bucket = F.floor((seconds - F.lit(int(lo))) / F.lit(width))
-        return F.coalesce(bucket.cast("long"), F.lit(-1).cast("long"))
-    lo, hi = bounds if bounds is not None else df.agg(F.min(order_col), F.max(order_col)).first()
-    if lo is None:
-        return F.lit(-1).cast("long")
+    c = F.col(order_col)
     if isinstance(field, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
-        width = max(1, math.ceil((int(hi) - int(lo) + 1) / buckets))
-        bucket = F.floor((F.col(order_col).cast("long") - F.lit(int(lo))) / F.lit(width))
-    elif isinstance(field, (T.FloatType, T.DoubleType, T.DecimalType)):
-        span = float(hi) - float(lo)
-        width = span / buckets if span > 0 else 1.0
-        bucket = F.least(F.floor((F.col(order_col).cast("double") - F.lit(float(lo))) / F.lit(width)),
-                         F.lit(buckets - 1))
+        return c.cast("long"), True
+    if isinstance(field, T.DateType):
+        return F.unix_date(c).cast("long"), True
+    if isinstance(field, (T.TimestampType, T.TimestampNTZType)):
+        return F.unix_micros(c.cast("timestamp")), True
+    if isinstance(field, (T.FloatType, T.DoubleType, T.DecimalType)):
+        return c.cast("double"), False
+    raise TypeError(f"numbering needs a numeric or time order key, got {field}")
+
+
+def _array_literal(values: list, integral: bool) -> Column:
+    """A constant array built from one SQL literal (one call, not one per value)."""
+    if integral:
+        body = ", ".join(f"{int(v)}L" for v in values)
+        return F.expr(f"array({body})") if values else F.expr("CAST(array() AS ARRAY<BIGINT>)")
+    body = ", ".join(f"CAST('{float(v)!r}' AS DOUBLE)" for v in values)
+    return F.expr(f"array({body})") if values else F.expr("CAST(array() AS ARRAY<DOUBLE>)")
+
+
+def _edges(df: DataFrame, key: Column, n_edges: int) -> tuple:
+    """(min, max, sorted coarse edges) of the key from one aggregate and one
+    bounded sample."""
+    rows, lo, hi = df.agg(F.count(key), F.min(key), F.max(key)).first()
+    if not rows or n_edges <= 0:
+        return lo, hi, []
+    target = n_edges * SAMPLE_PER_EDGE
+    fraction = min(1.0, target / rows)
+    sample = sorted(r[0] for r in df.select(key.alias("_k")).where("_k IS NOT NULL")
+                    .sample(fraction=fraction, seed=17).collect())
+    if not sample:
+        return lo, hi, []
+    picks = {sample[min(len(sample) - 1, (i * len(sample)) // (n_edges + 1))] for i in range(1, n_edges + 1)}
+    return lo, hi, sorted(v for v in picks if lo < v <= hi)
+
+
+def _with_bucket(df: DataFrame, order_col: str, buckets: int, bounds: tuple | None = None) -> DataFrame:
+    """``df`` plus ``_bucket``: a long that never decreases as the key grows."""
+    key, integral = _numeric_key(df, order_col)
+    if bounds is not None:
+        lo, hi, edges = bounds[0], bounds[1], []
     else:
-        raise TypeError(f"numbering needs a numeric or time order key, got {field}")
+        lo, hi, edges = _edges(df, key, min(MAX_EDGES, max(0, buckets - 1)))
+    if lo is None:
+        return df.withColumn("_bucket", F.lit(-1).cast("long"))
+    sub = max(1, buckets // (len(edges) + 1))
+    starts = [lo] + edges
+    ends = edges + [hi + 1 if integral else hi]
+    if integral:
+        widths = [max(1, math.ceil((e - b) / sub)) for b, e in zip(starts, ends)]
+        cast = int
+    else:
+        widths = [((e - b) / sub) if e > b else 1.0 for b, e in zip(starts, ends)]
+        cast = float
+    # The edge, start and width arrays are plan constants; they are added once
+    # as columns so the expression trees of the search steps stay small.
+    out = df.select(
+        "*", key.alias("_key"), F.lit(0).alias("_coarse"),
+        _array_literal(starts, integral).alias("_starts"),
+        _array_literal(widths, integral).alias("_widths"),
+    )
+    if edges:
+        # Branchless binary search: after the steps, _coarse = number of
+        # edges <= key.  Padding with the top value keeps every probe in range.
+        size = 1 << max(0, (len(edges) - 1).bit_length())
+        pad = [cast(v) for v in edges] + [cast(edges[-1])] * (size - len(edges))
+        out = out.withColumn("_edges", _array_literal(pad, integral))
+        step = size
+        while step >= 1:
+            probe = F.col("_coarse") + F.lit(step)
+            hit = (probe <= F.lit(len(edges))) & (F.element_at(F.col("_edges"), probe) <= F.col("_key"))
+            out = out.withColumn("_coarse", F.col("_coarse") + F.when(hit, F.lit(step)).otherwise(F.lit(0)))
+            step //= 2
+        out = out.drop("_edges")
+    start = F.element_at(F.col("_starts"), F.col("_coarse") + 1)
+    width = F.element_at(F.col("_widths"), F.col("_coarse") + 1)
+    fine = F.least(F.floor((F.col("_key") - start) / width), F.lit(sub - 1))
+    bucket = F.col("_coarse").cast("long") * F.lit(sub) + fine.cast("long")
     # Nulls sort first, as in an ascending Spark sort.
-    return F.coalesce(bucket.cast("long"), F.lit(-1).cast("long"))
+    bucket = F.when(F.col("_key").isNull(), F.lit(-1).cast("long")).otherwise(bucket)
+    return out.withColumn("_bucket", bucket).drop("_key", "_coarse", "_starts", "_widths")
 
 
 def number_rows(
@@ -76,16 +148,16 @@ def number_rows(
 
     Equal to ``row_number() over (partition by <by> order by <order_col>)``
     when the order is total (add ``tie_breakers`` otherwise).  ``bounds``
-    (a known min and max of ``order_col``, or a range covering it) saves the
-    pass that finds them.
+    (a known min and max of ``order_col``, or a range covering it) skips the
+    sampling pass and uses equal-width buckets over that range.
     """
     by = list(by or [])
     nb = _bucket_count(df, buckets)
-    tagged = df.withColumn("_bucket", _bucket_expr(df, order_col, nb, bounds))
+    tagged = _with_bucket(df, order_col, nb, bounds)
     counts = tagged.groupBy(*by, "_bucket").agg(F.count(F.lit(1)).alias("_n"))
     running = Window.partitionBy(*by).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(*by, "_bucket", F.coalesce(F.sum("_n").over(running), F.lit(0)).alias("_offset"))
-    # Without groups the offsets table has at most ``nb + 1`` rows: a proven
+    # Without groups the offsets table has one row per bucket: a proven
     # bound.  With groups its size grows with the groups, so it is counted.
     offsets = F.broadcast(offsets) if not by else checked_broadcast(offsets)
     order = [F.col(order_col).asc_nulls_first()] + [F.col(c).asc_nulls_first() for c in (tie_breakers or [])]

@@ -136,3 +136,27 @@ def test_lookup_by_id_pushes_to_scan(spark, scratch):
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "EqualTo(id,2)" in plan
     assert [r.title for r in df.collect()] == ["b"]
+
+
+def test_numbering_with_clustered_keys(spark):
+    from pyspark.sql import Window
+    # Nearly all keys in a narrow range plus far outliers: equal-width buckets
+    # would put everything in one bucket; quantile buckets must still number
+    # exactly like the global window.
+    df = spark.range(0, 3000).select(
+        F.when(F.col("id") % 500 == 0, F.col("id") * 1_000_000_000_000).otherwise(F.col("id")).alias("k"))
+    ours = number_rows(df, "k", buckets=64)
+    ref = df.select("k", F.row_number().over(Window.orderBy("k")).cast("long").alias("row_no"))
+    assert ours.exceptAll(ref).count() == 0 and ref.exceptAll(ours).count() == 0
+    sizes = ours.groupBy(F.floor((F.col("row_no") - 1) / 47)).count()
+    assert sizes.count() > 1
+
+
+def test_numbering_time_and_double_keys(spark):
+    from pyspark.sql import Window
+    df = spark.range(0, 500).select(
+        F.timestamp_seconds(F.col("id") * 3600 + 7).alias("t"), (F.col("id") * 0.37).alias("d"))
+    for key in ("t", "d"):
+        ours = number_rows(df.select(key), key, buckets=16)
+        ref = df.select(key, F.row_number().over(Window.orderBy(key)).cast("long").alias("row_no"))
+        assert ours.exceptAll(ref).count() == 0

@@ -2,6 +2,7 @@
 
 import json
 import os
+import uuid
 
 from folio.operators import changes as C
 from folio.sources import snapshots
@@ -26,7 +27,7 @@ def test_stream_applies_batches_once(spark, scratch):
         (3, "delete", 2, None),
         (4, "update", 1, json.dumps({"bio": "missing name"})),
     ])
-    q = start_change_stream(spark, incoming, root, "author", name="authors_test", available_now=True)
+    q = start_change_stream(spark, incoming, root, "author", name=f"authors_{uuid.uuid4().hex}", available_now=True)
     q.awaitTermination(120)
     got = {r.id: r.full_name for r in snapshots.read_latest(spark, root).collect()}
     assert got == {1: "a2", 3: "c"}
