@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from folio.functions import values as V
-from folio.operators.joins import checked_broadcast, unique_dimension
+from folio.operators.joins import checked_broadcasts, unique_dimension
 
 CATALOG_COLUMNS = [
     "id", "title", "author", "category", "published_year",
@@ -40,8 +40,7 @@ def enrich(
         c = unique_dimension(c_raw, "_category_key", {"category": "category"})
     else:
         a, c = a_raw, c_raw
-    a = checked_broadcast(a, broadcast_max_rows, measured=a_raw)
-    c = checked_broadcast(c, broadcast_max_rows, measured=c_raw)
+    a, c = checked_broadcasts([(a, a_raw), (c, c_raw)], broadcast_max_rows)
     joined = (
         books.join(a, books["author_id"] == a["_author_key"], "left")
         .join(c, books["category_id"] == c["_category_key"], "left")

@@ -24,13 +24,50 @@ def broadcast_max_rows(df: DataFrame) -> int:
     return int(value) if value else DEFAULT_BROADCAST_MAX_ROWS
 
 
-def has_at_most(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` holds at most ``max_rows`` rows.
+# Size facts already established in this process, keyed by the frame's plan,
+# its input files and the limit.  Inputs are immutable files (new versions are
+# new folders), so a fact stays true for the same key.
+_SIZE_FACTS: dict[tuple, bool] = {}
+
+
+def _fact_key(df: DataFrame, max_rows: int) -> tuple | None:
+    try:
+        return (df.semanticHash(), tuple(sorted(df.inputFiles())), max_rows)
+    except Exception:  # noqa: BLE001 -- frames without files are not memoised
+        return None
+
+
+def have_at_most(frames: list[DataFrame], max_rows: int) -> list[bool]:
+    """For each frame, True when it holds at most ``max_rows`` rows.
 
-    Each scan task stops after ``max_rows + 1`` rows, so the check costs one
-    bounded pass however large the frame is.
+    All frames not yet known are checked in one job: each is cut to
+    ``max_rows + 1`` rows (scan tasks stop there) and counted by tag.
     """
-    return df.limit(max_rows + 1).count() <= max_rows
+    keys = [_fact_key(df, max_rows) for df in frames]
+    todo = [i for i, k in enumerate(keys) if k is None or k not in _SIZE_FACTS]
+    if todo:
+        parts = [frames[i].limit(max_rows + 1).select(F.lit(i).alias("_frame")) for i in todo]
+        union = parts[0]
+        for p in parts[1:]:
+            union = union.unionByName(p)
+        counts = {r["_frame"]: r["count"] for r in union.groupBy("_frame").count().collect()}
+        for i in todo:
+            fits = counts.get(i, 0) <= max_rows
+            if keys[i] is not None:
+                _SIZE_FACTS[keys[i]] = fits
+            else:
+                _SIZE_FACTS[("unkeyed", i)] = fits
+                keys[i] = ("unkeyed", i)
+    out = [_SIZE_FACTS[k] for k in keys]
+    for k in keys:
+        if k and k[0] == "unkeyed":
+            _SIZE_FACTS.pop(k, None)
+    return out
+
+
+def has_at_most(df: DataFrame, max_rows: int) -> bool:
+    """True when ``df`` holds at most ``max_rows`` rows (see ``have_at_most``)."""
+    return have_at_most([df], max_rows)[0]
 
 
 def checked_broadcast(df: DataFrame, max_rows: int | None = None, measured: DataFrame | None = None) -> DataFrame:
@@ -47,6 +84,17 @@ def checked_broadcast(df: DataFrame, max_rows: int | None = None, measured: Data
     return df
 
 
+def checked_broadcasts(pairs: list[tuple[DataFrame, DataFrame]], max_rows: int | None = None) -> list[DataFrame]:
+    """``checked_broadcast`` for several (frame, measured) pairs in one check job."""
+    if not pairs:
+        return []
+    limit = broadcast_max_rows(pairs[0][0]) if max_rows is None else max_rows
+    if limit <= 0:
+        return [df for df, _ in pairs]
+    fits = have_at_most([m for _, m in pairs], limit)
+    return [F.broadcast(df) if ok else df for (df, _), ok in zip(pairs, fits)]
+
+
 def unique_dimension(dim: DataFrame, key: str, columns: dict[str, str]) -> DataFrame:
     """``dim`` reduced to one row per ``key`` with ``columns`` renamed.
 
