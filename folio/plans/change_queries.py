@@ -217,7 +217,8 @@ def content_coverage(spark, sf_dir):
 def content_inventory(spark, sf_dir):
     """S4 over the table folder itself (``*.parquet`` stands in for
     ``<id>.pdf``): file path, size, and the record id its name carries."""
-    return list_content(spark, sf_dir, suffix=".parquet")
+    files = list_content(spark, sf_dir, suffix=".parquet")
+    return files.select("path", "length", F.unix_timestamp("modified").alias("modified_epoch"), "content_id")
 
 
 QUERIES = {
@@ -405,6 +406,11 @@ ORACLE_SQL = {
                                        published_year := published_year, quantity := quantity,
                                        title := title)) AS VARCHAR) AS json
         FROM catalog"""),
+    "content_inventory": """
+        SELECT 'file:' || filename AS path, CAST(size AS BIGINT) AS length,
+               CAST(floor(epoch(last_modified)) AS BIGINT) AS modified_epoch,
+               TRY_CAST(NULLIF(regexp_extract(filename, '/([0-9]+)\.parquet$', 1), '') AS BIGINT) AS content_id
+        FROM read_blob('/root/testdata/sf0.01/*.parquet')""",
     "content_coverage": """
         SELECT doc_id, doc_id IN (SELECT doc_id FROM labels WHERE doc_id IS NOT NULL) AS has_content
         FROM documents""",

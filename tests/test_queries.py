@@ -37,7 +37,11 @@ def test_entry_smoke(spark):
     assert df.count() >= 0
 
 
-@pytest.mark.parametrize("name", sorted(entry.oracle_sql()))
+# The file listing oracle names the sf0.01 folder (the driver's check scale).
+FOLDER_BOUND = {"content_inventory"}
+
+
+@pytest.mark.parametrize("name", sorted(set(entry.oracle_sql()) - FOLDER_BOUND))
 def test_query_matches_oracle(spark, duck, name):
     df = entry.queries()[name](spark, SF)
     res = duck.execute(entry.oracle_sql()[name])
@@ -47,5 +51,4 @@ def test_query_matches_oracle(spark, duck, name):
 
 
 def test_every_query_has_an_oracle_or_is_listed():
-    without = set(entry.queries()) - set(entry.oracle_sql())
-    assert without <= {"content_inventory"}
+    assert set(entry.queries()) == set(entry.oracle_sql())
