@@ -80,8 +80,10 @@ def _edges(df: DataFrame, key: Column, n_edges: int) -> tuple:
         return lo, hi, []
     target = n_edges * SAMPLE_PER_EDGE
     fraction = min(1.0, target / rows)
+    # The sample is expected to hold ``target`` keys; the limit makes that a
+    # hard bound on what reaches the driver.
     sample = sorted(r[0] for r in df.select(key.alias("_k")).where("_k IS NOT NULL")
-                    .sample(fraction=fraction, seed=17).collect())
+                    .sample(fraction=fraction, seed=17).limit(4 * target).collect())
     if not sample:
         return lo, hi, []
     picks = {sample[min(len(sample) - 1, (i * len(sample)) // (n_edges + 1))] for i in range(1, n_edges + 1)}
