@@ -409,7 +409,7 @@ ORACLE_SQL = {
     "content_inventory": """
         SELECT 'file:' || filename AS path, CAST(size AS BIGINT) AS length,
                CAST(floor(epoch(last_modified)) AS BIGINT) AS modified_epoch,
-               TRY_CAST(NULLIF(regexp_extract(filename, '/([0-9]+)\.parquet$', 1), '') AS BIGINT) AS content_id
+               TRY_CAST(NULLIF(regexp_extract(filename, '/([0-9]+)[.]parquet$', 1), '') AS BIGINT) AS content_id
         FROM read_blob('/root/testdata/sf0.01/*.parquet')""",
     "content_coverage": """
         SELECT doc_id, doc_id IN (SELECT doc_id FROM labels WHERE doc_id IS NOT NULL) AS has_content
