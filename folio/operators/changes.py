@@ -17,7 +17,7 @@ one row per map task before the shuffle.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -36,7 +36,6 @@ class EntitySpec:
     fields: dict[str, str]               # body field -> Spark type
     zero_if_absent: tuple[str, ...] = () # data.get(k, 0)
     key: str = "id"
-    columns: tuple[str, ...] = field(default=())
 
     @property
     def table_columns(self) -> list[str]:

@@ -205,3 +205,28 @@ def test_json_rows_source_routes_malformed(spark, scratch):
 def test_default_role(spark):
     users = spark.createDataFrame([("a", "a@x.y", None), ("b", "b@x.y", "admin")], "username string, email string, role string")
     assert [r.role for r in C.with_default_role(users).orderBy("username").collect()] == ["user", "admin"]
+
+
+def test_write_json_sorted_keys_with_nulls(spark, scratch):
+    from folio.sources.json_io import write_json
+    df = spark.createDataFrame([(1, None, "t")], "id long, author string, title string")
+    write_json(df.coalesce(1), f"{scratch}/out")
+    lines = [r.value for r in spark.read.text(f"{scratch}/out").collect()]
+    assert lines == ['{"author":null,"id":1,"title":"t"}']
+
+
+def test_content_listing_and_read(spark, scratch):
+    import os
+    from folio.operators.enrich import content_coverage
+    from folio.sources.content import list_content, read_content
+    os.makedirs(f"{scratch}/contents/sub")
+    for name, data in [("12.pdf", b"%PDF-12"), ("sub/7.pdf", b"%PDF-7"), ("x3.pdf", b"x"), ("5.txt", b"t")]:
+        with open(f"{scratch}/contents/{name}", "wb") as fh:
+            fh.write(data)
+    listing = {r.content_id: r.length for r in list_content(spark, f"{scratch}/contents").collect()}
+    assert listing == {12: 7, 7: 6, None: 1}
+    books = spark.createDataFrame([(7,), (12,), (99,)], "id long")
+    got = {r.id: bytes(r.content) for r in read_content(spark, f"{scratch}/contents", books).collect()}
+    assert got == {7: b"%PDF-7", 12: b"%PDF-12"}
+    flags = {r.id: r.has_content for r in content_coverage(books, list_content(spark, f"{scratch}/contents")).collect()}
+    assert flags == {7: True, 12: True, 99: False}
