@@ -172,7 +172,9 @@ def apply_changes(spark, sf_dir):
     log = author_changes(table(spark, sf_dir, "events"))
     normalised = C.normalise_changes(log, C.AUTHOR)
     ok, _ = C.split_changes(normalised)
-    return C.apply_changes(base, ok, C.AUTHOR, with_status=True).drop("_created_seq")
+    out = C.apply_changes(base, ok, C.AUTHOR, with_status=True).drop("_created_seq")
+    # Dates leave as ISO text, the form the listings show.
+    return out.withColumn("birthdate", V.date_text("birthdate"))
 
 
 def change_rejects(spark, sf_dir):
@@ -366,7 +368,7 @@ ORACLE_SQL = {
         SELECT a.id,
                CASE WHEN u.id IS NOT NULL THEN u.full_name ELSE a.full_name END AS full_name,
                CASE WHEN u.id IS NOT NULL THEN u.bio ELSE a.bio END AS bio,
-               CASE WHEN u.id IS NOT NULL THEN u.birthdate ELSE a.birthdate END AS birthdate,
+               strftime(CASE WHEN u.id IS NOT NULL THEN u.birthdate ELSE a.birthdate END, '%Y-%m-%d') AS birthdate,
                u.id IS NOT NULL AS updated
         FROM authors_all a LEFT JOIN last_upd u ON a.id = u.id
         WHERE a.id NOT IN (SELECT id FROM ok WHERE op = 'delete')""",
