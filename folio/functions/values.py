@@ -83,14 +83,17 @@ def parse_int(c: Column | str, to: str = "int") -> Column:
     outside ``to`` become null.
     """
     s = _col(c).cast("string")
-    hex_head = F.regexp_extract(s, f"^{_JS_SPACE}*([+-]?)0[xX]", 0)
+    is_hex = s.rlike(f"^{_JS_SPACE}*[+-]?0[xX]")
     hex_sign = F.regexp_extract(s, f"^{_JS_SPACE}*([+-]?)0[xX]", 1)
     hex_digits = F.regexp_extract(s, f"^{_JS_SPACE}*[+-]?0[xX]([0-9a-fA-F]+)", 1)
-    dec = F.regexp_extract(s, f"^{_JS_SPACE}*([+-]?[0-9]+)", 1)
+    # No match gives '': make it null before casting, so the cast never takes
+    # its (slow) failure path for ordinary non-numeric text.
+    dec = F.nullif(F.regexp_extract(s, f"^{_JS_SPACE}*([+-]?[0-9]+)", 1), F.lit(""))
     hex_value = F.concat(hex_sign, F.conv(hex_digits, 16, 10))
+    # CASE evaluates only the chosen branch: decimal text costs two regexes.
     return (
         F.when(s.isNull(), F.lit(None).cast(to))
-        .when(hex_head != "", F.when(hex_digits != "", hex_value.try_cast(to)))
+        .when(is_hex, F.when(hex_digits != "", hex_value.try_cast(to)))
         .otherwise(dec.try_cast(to))
     )
 
