@@ -25,16 +25,20 @@ def broadcast_max_rows(df: DataFrame) -> int:
 
 
 # Size facts already established in this process, keyed by the frame's plan,
-# its input files and the limit.  Inputs are immutable files (new versions are
-# new folders), so a fact stays true for the same key.
+# its input files and the limit.  Only file-backed frames are remembered:
+# files are immutable (new versions are new folders), so a fact stays true for
+# the same key, while a JDBC table may change under the same plan.
 _SIZE_FACTS: dict[tuple, bool] = {}
 
 
 def _fact_key(df: DataFrame, max_rows: int) -> tuple | None:
     try:
-        return (df.semanticHash(), tuple(sorted(df.inputFiles())), max_rows)
-    except Exception:  # noqa: BLE001 -- frames without files are not memoised
+        files = df.inputFiles()
+    except Exception:  # noqa: BLE001 -- no file listing: never remembered
         return None
+    if not files:
+        return None
+    return (df.semanticHash(), tuple(sorted(files)), max_rows)
 
 
 def have_at_most(frames: list[DataFrame], max_rows: int) -> list[bool]:
