@@ -230,3 +230,19 @@ def test_content_listing_and_read(spark, scratch):
     assert got == {7: b"%PDF-7", 12: b"%PDF-12"}
     flags = {r.id: r.has_content for r in content_coverage(books, list_content(spark, f"{scratch}/contents")).collect()}
     assert flags == {7: True, 12: True, 99: False}
+
+
+def test_register_users(spark):
+    from folio.operators.users import register_users, role_of
+    users = spark.createDataFrame([("admin", "a@x.io", "admin")], "username string, email string, role string")
+    req = spark.createDataFrame([
+        (1, "u1", "e1@x.io", "p"), (2, "u1", "e2@x.io", "p"), (3, "u3", "e2@x.io", "p"),
+        (4, "u4", "a@x.io", "p"), (5, "", "bad", "p"), (6, "u6", "e6@x.io", ""),
+    ], "seq long, username string, email string, password string")
+    new_users, rejected = register_users(users, req)
+    assert sorted((r.username, r.role) for r in new_users.collect()) == [("admin", "admin"), ("u1", "user"), ("u3", "user")]
+    reasons = {r.seq: r.reasons for r in rejected.collect()}
+    assert reasons[2] == reasons[4] == "username or email already exists"
+    assert reasons[5] == "username required; email not an e-mail"
+    assert reasons[6] == "password required"
+    assert [r.role for r in role_of(new_users, "e2@x.io").collect()] == ["user"]
