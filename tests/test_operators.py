@@ -160,3 +160,14 @@ def test_numbering_time_and_double_keys(spark):
         ours = number_rows(df.select(key), key, buckets=16)
         ref = df.select(key, F.row_number().over(Window.orderBy(key)).cast("long").alias("row_no"))
         assert ours.exceptAll(ref).count() == 0
+
+
+def test_sql_views_with_bound_parameter(spark):
+    from folio.plans.bindings import catalog_tables
+    from folio.plans.views import register_catalog_views
+    books, authors, categories = catalog_tables(spark, "/root/testdata/sf0.001")
+    register_catalog_views(spark, books, authors, categories, prefix="t_")
+    rows = spark.sql("SELECT id, title FROM t_catalog WHERE id = ?", args=[12]).collect()
+    assert [(r.id, r.title) for r in rows] == [(12, "Order#000000012")]
+    n = spark.sql("SELECT count(*) AS n FROM t_catalog WHERE category_id = :c", args={"c": 2}).first().n
+    assert n == books.filter("category_id = 2").count()
