@@ -117,9 +117,10 @@ def _with_bucket(df: DataFrame, order_col: str, buckets: int, bounds: tuple | No
     )
     if edges:
         # Branchless binary search: after the steps, _coarse = number of
-        # edges <= key.  Padding with the top value keeps every probe in range.
+        # edges <= key.  A probe never exceeds 2 * size, and the array is
+        # padded that far, so no index is ever out of range.
         size = 1 << max(0, (len(edges) - 1).bit_length())
-        pad = [cast(v) for v in edges] + [cast(edges[-1])] * (size - len(edges))
+        pad = [cast(v) for v in edges] + [cast(edges[-1])] * (2 * size - len(edges))
         out = out.withColumn("_edges", _array_literal(pad, integral))
         step = size
         while step >= 1:
