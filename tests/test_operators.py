@@ -171,3 +171,16 @@ def test_sql_views_with_bound_parameter(spark):
     assert [(r.id, r.title) for r in rows] == [(12, "Order#000000012")]
     n = spark.sql("SELECT count(*) AS n FROM t_catalog WHERE category_id = :c", args={"c": 2}).first().n
     assert n == books.filter("category_id = 2").count()
+
+
+def test_numbering_edge_cases(spark):
+    from pyspark.sql import Window
+    empty = spark.createDataFrame([], "k long")
+    assert number_rows(empty, "k").count() == 0
+    nulls = spark.createDataFrame([(None,), (5,), (None,), (1,)], "k long")
+    got = sorted((r.row_no, r.k) for r in number_rows(nulls, "k").collect())
+    assert [k for _, k in got] == [None, None, 1, 5]
+    ties = spark.range(2000).select((F.col("id") % 3).alias("k"), F.col("id").alias("t"))
+    ours = number_rows(ties, "k", tie_breakers=["t"], buckets=64)
+    ref = ties.select("k", "t", F.row_number().over(Window.orderBy("k", "t")).cast("long").alias("row_no"))
+    assert ours.exceptAll(ref).count() == 0
