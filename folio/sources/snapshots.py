@@ -6,6 +6,9 @@ version into a new folder; only after that write job has committed is the
 version published by appending one row to the table's ``_versions`` log.
 Readers open the highest published version, so they never see a partial
 write, and a failed or retried job leaves no published trace.
+
+A version may record ``through_batch``: the last change batch folded into it
+(see ``streaming.change_stream``), so later batches are folded on read.
 """
 
 from __future__ import annotations
@@ -15,38 +18,39 @@ from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
 VERSIONS = "_versions"
+VERSIONS_SCHEMA = "version long, path string, through_batch long"
+
+
+def _root(root: str) -> str:
+    return root.rstrip("/")
 
 
 def _versions(spark: SparkSession, root: str) -> DataFrame | None:
     try:
-        return spark.read.parquet(f"{root.rstrip('/')}/{VERSIONS}")
+        return spark.read.schema(VERSIONS_SCHEMA).parquet(f"{_root(root)}/{VERSIONS}")
     except AnalysisException:
         return None
 
 
-def latest_version(spark: SparkSession, root: str) -> tuple[int, str] | None:
+def latest_entry(spark: SparkSession, root: str) -> dict | None:
+    """``{version, path, through_batch}`` of the newest published version."""
     log = _versions(spark, root)
     if log is None:
         return None
-    row = log.agg(F.max_by(F.struct("version", "path"), "version").alias("v")).first()["v"]
-    return (int(row["version"]), row["path"]) if row else None
+    row = log.agg(F.max_by(F.struct("version", "path", "through_batch"), "version").alias("v")).first()["v"]
+    return row.asDict() if row else None
 
 
-def published_batch(spark: SparkSession, root: str, batch_id: int) -> bool:
-    """True when a stream batch has already been published (a retried batch
-    must not be applied twice)."""
-    log = _versions(spark, root)
-    if log is None or "batch_id" not in log.columns:
-        return False
-    return not log.filter(F.col("batch_id") == batch_id).isEmpty()
+def latest_version(spark: SparkSession, root: str) -> tuple[int, str] | None:
+    entry = latest_entry(spark, root)
+    return (int(entry["version"]), entry["path"]) if entry else None
 
 
-def publish(df: DataFrame, root: str, version: int | None = None, batch_id: int | None = None) -> int:
+def publish(df: DataFrame, root: str, version: int | None = None, through_batch: int | None = None) -> int:
     """Write ``df`` as a new version under ``root`` and publish it.
 
     Returns the version number.  An existing version folder is never
-    overwritten once published.  ``batch_id`` tags the version with the
-    stream batch that produced it.
+    overwritten once published.  One writer per table is assumed.
     """
     spark = df.sparkSession
     current = latest_version(spark, root)
@@ -54,11 +58,11 @@ def publish(df: DataFrame, root: str, version: int | None = None, batch_id: int
         version = (current[0] + 1) if current else 1
     elif current and version <= current[0]:
         raise ValueError(f"version {version} is not after the published version {current[0]}")
-    path = f"{root.rstrip('/')}/v{version:010d}"
+    path = f"{_root(root)}/v{version:010d}"
     # Unpublished leftovers of a failed attempt at this version are replaced.
     df.write.mode("overwrite").parquet(path)
-    entry = spark.createDataFrame([(version, path, batch_id)], "version long, path string, batch_id long")
-    entry.coalesce(1).write.mode("append").parquet(f"{root.rstrip('/')}/{VERSIONS}")
+    entry = spark.createDataFrame([(version, path, through_batch)], VERSIONS_SCHEMA)
+    entry.coalesce(1).write.mode("append").parquet(f"{_root(root)}/{VERSIONS}")
     return version
 
 

@@ -2,14 +2,21 @@
 
 The reference applies each change request when it is posted.  Here change-log
 files (JSON lines of ``seq, entity, op, id, body``) landing in a folder are
-read by a file stream; every micro-batch is normalised, checked and folded
-into the newest published version of one table, and the result is published
-as the next version (``sources.snapshots``).  Rejected requests are appended
-to ``<table_root>/_rejects``.
-
-Exactly-once on the table: the stream's checkpoint lives in the shared
-checkpoint folder, and a batch that is re-run after a failure finds its own
-version already published and does nothing.
+read by a file stream.  Each micro-batch is normalised and checked; its
+accepted changes are written to ``<table_root>/_changes/batch_id=<n>`` and its
+rejects to ``<table_root>/_rejects/batch_id=<n>``, and the batch is then
+recorded as committed in ``<table_root>/_batches``.  The table itself is not
+rewritten per batch -- a batch costs a write the size of the batch:
+
+* ``read_current`` folds the committed batches after the newest version into
+  it on read (one aggregate per id over the pending changes, one join);
+* ``compact`` publishes that result as the next version, recording the last
+  batch it contains, so the pending part stays small.
+
+Exactly once: the stream's progress is kept in the shared checkpoint folder;
+a re-run batch overwrites its own folders, and a batch already recorded as
+committed is skipped.  Readers only see committed batches.  One stream (one
+name, hence one checkpoint) feeds a table, so batch ids only grow.
 """
 
 from __future__ import annotations
@@ -17,26 +24,87 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.utils import AnalysisException
 
 from folio.operators import changes as C
 from folio.session import require_checkpoint_dir
 from folio.sources import snapshots
 from folio.sources.tables import CHANGES_SCHEMA
 
+CHANGES = "_changes"
+REJECTS = "_rejects"
+BATCHES = "_batches"
+
+
+def _path(root: str, name: str) -> str:
+    return f"{root.rstrip('/')}/{name}"
+
+
+def _read(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame | None:
+    try:
+        reader = spark.read.schema(schema) if schema else spark.read
+        return reader.parquet(path)
+    except AnalysisException:
+        return None
+
+
+def committed_batches(spark: SparkSession, root: str) -> DataFrame | None:
+    return _read(spark, _path(root, BATCHES), "batch_id long")
+
 
-def fold_batch(spark: SparkSession, table_root: str, entity: str, batch: DataFrame, batch_id: int) -> None:
-    """Apply one micro-batch of changes to the table under ``table_root``."""
-    if snapshots.published_batch(spark, table_root, batch_id):
+def is_committed(spark: SparkSession, root: str, batch_id: int) -> bool:
+    done = committed_batches(spark, root)
+    return done is not None and not done.filter(F.col("batch_id") == batch_id).isEmpty()
+
+
+def append_batch(spark: SparkSession, table_root: str, entity: str, batch: DataFrame, batch_id: int) -> None:
+    """Normalise one micro-batch and store its accepted and rejected changes."""
+    if is_committed(spark, table_root, batch_id):
         return
     spec = C.ENTITIES[entity]
     mine = batch.filter(F.col("entity") == entity)
-    normalised = C.normalise_changes(mine, spec)
-    ok, bad = C.split_changes(normalised)
-    base = snapshots.read_latest(spark, table_root)
-    new = C.apply_changes(base, ok, spec)
-    bad.withColumn("batch_id", F.lit(batch_id)).write.mode("append").parquet(
-        f"{table_root.rstrip('/')}/_rejects")
-    snapshots.publish(new, table_root, batch_id=batch_id)
+    ok, bad = C.split_changes(C.normalise_changes(mine, spec))
+    ok.write.mode("overwrite").parquet(f"{_path(table_root, CHANGES)}/batch_id={batch_id}")
+    bad.write.mode("overwrite").parquet(f"{_path(table_root, REJECTS)}/batch_id={batch_id}")
+    spark.createDataFrame([(batch_id,)], "batch_id long").coalesce(1).write.mode("append").parquet(
+        _path(table_root, BATCHES))
+
+
+def pending_changes(spark: SparkSession, root: str, after_batch: int | None) -> DataFrame | None:
+    """Accepted changes of committed batches after ``after_batch``."""
+    done = committed_batches(spark, root)
+    log = _read(spark, _path(root, CHANGES))
+    if done is None or log is None:
+        return None
+    if after_batch is not None:
+        done = done.filter(F.col("batch_id") > after_batch)
+        log = log.filter(F.col("batch_id") > after_batch)
+    return log.join(done.distinct(), "batch_id", "left_semi")
+
+
+def read_current(spark: SparkSession, table_root: str, entity: str) -> DataFrame:
+    """The table as of the last committed batch: newest version + pending changes."""
+    latest = snapshots.latest_entry(spark, table_root)
+    if latest is None:
+        raise FileNotFoundError(f"no published version under {table_root}")
+    base = spark.read.parquet(latest["path"])
+    log = pending_changes(spark, table_root, latest["through_batch"])
+    if log is None:
+        return base
+    return C.apply_changes(base, log.drop("batch_id"), C.ENTITIES[entity])
+
+
+def compact(spark: SparkSession, table_root: str, entity: str) -> int | None:
+    """Publish ``read_current`` as the next version; None when nothing is pending."""
+    latest = snapshots.latest_entry(spark, table_root)
+    log = pending_changes(spark, table_root, latest["through_batch"] if latest else None)
+    if latest is None or log is None:
+        return None
+    last = log.agg(F.max("batch_id")).first()[0]
+    if last is None:
+        return None
+    current = read_current(spark, table_root, entity)
+    return snapshots.publish(current, table_root, through_batch=int(last))
 
 
 def start_change_stream(
@@ -58,7 +126,7 @@ def start_change_stream(
     writer = (
         stream.writeStream.queryName(name)
         .option("checkpointLocation", f"{folder.rstrip('/')}/streams/{name}")
-        .foreachBatch(lambda df, batch_id: fold_batch(spark, table_root, entity, df, batch_id))
+        .foreachBatch(lambda df, batch_id: append_batch(spark, table_root, entity, df, batch_id))
     )
     if available_now:
         writer = writer.trigger(availableNow=True)

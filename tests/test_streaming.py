@@ -1,12 +1,13 @@
-"""The change stream folds each batch into a new published version."""
+"""The change stream appends batches; reads fold them; compaction publishes."""
 
 import json
 import os
 import uuid
 
-from folio.operators import changes as C
 from folio.sources import snapshots
-from folio.streaming.change_stream import fold_batch, start_change_stream
+from folio.streaming.change_stream import append_batch, compact, read_current, start_change_stream
+
+LOG_SCHEMA = "seq long, entity string, op string, id long, body string"
 
 
 def write_log(path, rows):
@@ -15,11 +16,21 @@ def write_log(path, rows):
             fh.write(json.dumps({"seq": seq, "entity": "author", "op": op, "id": id_, "body": body}) + "\n")
 
 
-def test_stream_applies_batches_once(spark, scratch):
+def run_stream(spark, incoming, root, name):
+    q = start_change_stream(spark, incoming, root, "author", name=name, available_now=True)
+    q.awaitTermination(120)
+
+
+def current(spark, root):
+    return {r.id: r.full_name for r in read_current(spark, root, "author").collect()}
+
+
+def test_stream_appends_and_reads_fold(spark, scratch):
     root = f"{scratch}/authors"
     incoming = f"{scratch}/incoming"
     os.makedirs(incoming)
-    base = spark.createDataFrame([(1, "a", None, None), (2, "b", None, None)], "id long, full_name string, bio string, birthdate date")
+    base = spark.createDataFrame([(1, "a", None, None), (2, "b", None, None)],
+                                 "id long, full_name string, bio string, birthdate date")
     snapshots.publish(base, root)
     write_log(f"{incoming}/0001.json", [
         (1, "update", 1, json.dumps({"full_name": "a2"})),
@@ -27,15 +38,22 @@ def test_stream_applies_batches_once(spark, scratch):
         (3, "delete", 2, None),
         (4, "update", 1, json.dumps({"bio": "missing name"})),
     ])
-    q = start_change_stream(spark, incoming, root, "author", name=f"authors_{uuid.uuid4().hex}", available_now=True)
-    q.awaitTermination(120)
-    got = {r.id: r.full_name for r in snapshots.read_latest(spark, root).collect()}
-    assert got == {1: "a2", 3: "c"}
-    rejects = spark.read.parquet(f"{root}/_rejects").collect()
-    assert [r.seq for r in rejects] == [4]
-
-    # Re-running a published batch changes nothing.
-    batch = spark.read.json(f"{incoming}/0001.json", schema="seq long, entity string, op string, id long, body string")
-    before = snapshots.latest_version(spark, root)
-    fold_batch(spark, root, "author", batch, 0)
-    assert snapshots.latest_version(spark, root) == before
+    name = f"authors_{uuid.uuid4().hex}"
+    run_stream(spark, incoming, root, name)
+    assert current(spark, root) == {1: "a2", 3: "c"}
+    assert snapshots.latest_version(spark, root)[0] == 1          # table not rewritten
+    assert [r.seq for r in spark.read.parquet(f"{root}/_rejects").collect()] == [4]
+
+    # A re-run of a committed batch changes nothing.
+    batch = spark.read.schema(LOG_SCHEMA).json(f"{incoming}/0001.json")
+    append_batch(spark, root, "author", batch.filter("seq = 3"), 0)
+    assert current(spark, root) == {1: "a2", 3: "c"}
+
+    # Compaction publishes the folded table; later batches fold on top of it.
+    assert compact(spark, root, "author") == 2
+    assert compact(spark, root, "author") is None
+    write_log(f"{incoming}/0002.json", [(5, "update", 3, json.dumps({"full_name": "c2"})),
+                                       (6, "insert", None, json.dumps({"full_name": "d"}))])
+    run_stream(spark, incoming, root, name)          # same stream: next batch id
+    assert current(spark, root) == {1: "a2", 3: "c2", 4: "d"}
+    assert {r.id for r in snapshots.read_latest(spark, root).collect()} == {1, 3}
