@@ -41,10 +41,11 @@ def reader_link(id_col: Column | str, title_col: Column | str) -> Column:
 
 
 def query_param(url: Column | str, name: str) -> Column:
-    """First value of a query parameter, form-decoded; null when absent or
-    when the URL or its escapes are malformed (never an error)."""
+    """First value of a query parameter, form-decoded (``+`` is a space);
+    null when absent or when the URL is malformed (never an error).  Like
+    ``URLSearchParams``, a value with a bad ``%`` escape is kept as text."""
     raw = F.try_parse_url(_col(url), F.lit("QUERY"), F.lit(name))
-    return F.try_url_decode(raw)
+    return F.coalesce(F.try_url_decode(raw), F.replace(raw, F.lit("+"), F.lit(" ")))
 
 
 def link_fields(url: Column | str) -> dict[str, Column]:
