@@ -178,7 +178,8 @@ def apply_changes(base: DataFrame, accepted: DataFrame, spec: EntitySpec,
     fields = list(spec.fields)
     base_cols = [key, *fields]
     inserts = accepted.filter(F.col("op") == "insert").select("seq", *fields)
-    created = assign_ids(inserts, base, "seq", key, bounds=seq_bounds).select(key, *fields, F.col("seq").alias("_created_seq"))
+    created = assign_ids(inserts, base, "seq", key, bounds=seq_bounds).select(
+        key, *fields, F.col("seq").alias("_created_seq"))
     current = base.select(*base_cols, F.lit(None).cast("long").alias("_created_seq")).unionByName(created)
 
     mods = accepted.filter(F.col("op").isin("update", "delete"))
@@ -189,9 +190,14 @@ def apply_changes(base: DataFrame, accepted: DataFrame, spec: EntitySpec,
     ).withColumnRenamed("id", "_mod_key")
 
     joined = current.join(per_id, current[key] == per_id["_mod_key"], "left")
-    born = F.coalesce(F.col("_created_seq"), F.lit(-1).cast("long"))
-    deleted = F.coalesce(F.col("_deleted_seq") > born, F.lit(False))
-    updated = F.coalesce(F.col("_upd.seq") > born, F.lit(False))
+
+    def after_creation(seq):
+        # A change counts only if it comes after the row exists: base rows
+        # (no creation seq) always, inserted rows only for later requests.
+        return seq.isNotNull() & (F.col("_created_seq").isNull() | (seq > F.col("_created_seq")))
+
+    deleted = after_creation(F.col("_deleted_seq"))
+    updated = after_creation(F.col("_upd.seq"))
     kept = joined.filter(~deleted)
     out = [F.col(key)] + [F.when(updated, F.col("_upd")[c]).otherwise(F.col(c)).alias(c) for c in fields]
     if with_status:

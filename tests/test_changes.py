@@ -246,3 +246,8 @@ def test_register_users(spark):
     assert reasons[5] == "username required; email not an e-mail"
     assert reasons[6] == "password required"
     assert [r.role for r in role_of(new_users, "e2@x.io").collect()] == ["user"]
+
+
+def test_negative_sequence_numbers(spark):
+    out, _ = fold(spark, base(spark), [(-9, "author", "update", 1, body("neg")), (-5, "author", "delete", 2, None)])
+    assert {r.id: r.full_name for r in out.collect()} == {1: "neg"}
