@@ -184,3 +184,15 @@ def test_numbering_edge_cases(spark):
     ours = number_rows(ties, "k", tie_breakers=["t"], buckets=64)
     ref = ties.select("k", "t", F.row_number().over(Window.orderBy("k", "t")).cast("long").alias("row_no"))
     assert ours.exceptAll(ref).count() == 0
+
+
+def test_row_text_whitespace_runs(spark):
+    cat = spark.createDataFrame([(1, "t", "a", "c", 2001, 3), (2, "u", None, None, None, None)],
+                                "id long, title string, author string, category string, published_year int, quantity int")
+    cells = E.admin_cells(number_rows(cat, "id"))
+    cols = ["row_no", "title_text", "author_text", "category_text", "year_text", "quantity_shown"]
+    assert S.row_text_search(cells, " " * 16, cols).count() == 2
+    assert S.row_text_search(cells, " " * 17, cols).count() == 0
+    # A query may start inside the indentation before a cell, but not span two cells.
+    assert [r.id for r in S.row_text_search(cells, "          t\n", cols).collect()] == [1]
+    assert S.row_text_search(cells, "ta", cols).count() == 0
