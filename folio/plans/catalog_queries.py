@@ -77,7 +77,7 @@ def document_search(spark, sf_dir):
 
 def catalog_stats(spark, sf_dir):
     books, authors, categories = catalog_tables(spark, sf_dir)
-    return A.catalog_stats(E.enrich(books, authors, categories), categories)
+    return A.catalog_stats_by_keys(books, authors, categories)
 
 
 def entity_counts(spark, sf_dir):
@@ -86,7 +86,8 @@ def entity_counts(spark, sf_dir):
 
 
 def author_names(spark, sf_dir):
-    return A.distinct_names(catalog(spark, sf_dir), "author")
+    books, authors, _ = catalog_tables(spark, sf_dir)
+    return A.referenced_names(books, authors, "author_id", "id", "full_name", out="author")
 
 
 def numbered_rows(spark, sf_dir):
