@@ -19,13 +19,17 @@ the plan sees the same buckets:
 4. rows are numbered inside their bucket (a window partitioned by bucket,
    which spills if large) and shifted by the bucket's offset.
 
-Ties of the order key stay in one bucket; numbering among tied rows is
-arbitrary unless ``tie_breakers`` order them.
+Ties: a key value that fills a bucket's share of the sample gets a bucket
+of its own, and its rows are spread over many sub-buckets by a hash of the
+row -- tied rows may be numbered in any order, so a value holding a third of
+the rows is still numbered by many tasks.  With ``tie_breakers`` the ties are
+ordered and stay together.
 """
 
 from __future__ import annotations
 
 import math
+from collections import Counter
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -39,6 +43,10 @@ MIN_BUCKETS = 256
 # six steps.  Each quantile range is further cut into equal-width buckets.
 MAX_EDGES = 64
 SAMPLE_PER_EDGE = 32
+# Rows of a hot key value (ties in arbitrary order) are spread over this many
+# sub-buckets by a hash of the row; at most MAX_HOT values are treated so.
+HOT_SALTS = 256
+MAX_HOT = 32
 
 
 def _bucket_count(df: DataFrame, buckets: int | None) -> int:
@@ -72,12 +80,14 @@ def _array_literal(values: list, integral: bool) -> Column:
     return F.expr(f"array({body})") if values else F.expr("CAST(array() AS ARRAY<DOUBLE>)")
 
 
-def _edges(df: DataFrame, key: Column, n_edges: int) -> tuple:
-    """(min, max, sorted coarse edges) of the key from one aggregate and one
-    bounded sample."""
+def _edges(df: DataFrame, key: Column, n_edges: int, integral: bool) -> tuple:
+    """(min, max, sorted coarse edges, hot values) of the key from one
+    aggregate and one bounded sample.  A value is hot when it fills at least
+    one bucket's share of the sample; each hot value gets a bucket of its own
+    (edges at the value and just above it)."""
     rows, lo, hi = df.agg(F.count(key), F.min(key), F.max(key)).first()
     if not rows or n_edges <= 0:
-        return lo, hi, []
+        return lo, hi, [], []
     target = n_edges * SAMPLE_PER_EDGE
     fraction = min(1.0, target / rows)
     # The sample is expected to hold ``target`` keys; the limit makes that a
@@ -85,18 +95,30 @@ def _edges(df: DataFrame, key: Column, n_edges: int) -> tuple:
     sample = sorted(r[0] for r in df.select(key.alias("_k")).where("_k IS NOT NULL")
                     .sample(fraction=fraction, seed=17).limit(4 * target).collect())
     if not sample:
-        return lo, hi, []
+        return lo, hi, [], []
     picks = {sample[min(len(sample) - 1, (i * len(sample)) // (n_edges + 1))] for i in range(1, n_edges + 1)}
-    return lo, hi, sorted(v for v in picks if lo < v <= hi)
-
-
-def _with_bucket(df: DataFrame, order_col: str, buckets: int, bounds: tuple | None = None) -> DataFrame:
-    """``df`` plus ``_bucket``: a long that never decreases as the key grows."""
+    share = max(2, len(sample) // (n_edges + 1))
+    hot = sorted(v for v, n in Counter(sample).items() if n >= share)[:MAX_HOT]
+    for v in hot:
+        picks.add(v)
+        picks.add(v + 1 if integral else math.nextafter(v, math.inf))
+    return lo, hi, sorted(v for v in picks if lo < v <= hi), hot
+
+
+def _with_bucket(df: DataFrame, order_col: str, buckets: int, bounds: tuple | None = None,
+                 salt_ties: bool = True) -> DataFrame:
+    """``df`` plus ``_bucket``: a long that never decreases as the key grows.
+
+    With ``salt_ties`` the rows of a hot key value are spread over
+    ``HOT_SALTS`` consecutive bucket ids by a hash of the whole row (equal
+    keys may be numbered in any order; equal rows get equal salts, so every
+    pass of the plan agrees)."""
     key, integral = _numeric_key(df, order_col)
+    hot: list = []
     if bounds is not None:
         lo, hi, edges = bounds[0], bounds[1], []
     else:
-        lo, hi, edges = _edges(df, key, min(MAX_EDGES, max(0, buckets - 1)))
+        lo, hi, edges, hot = _edges(df, key, min(MAX_EDGES, max(0, buckets - 1)), integral)
     if lo is None:
         return df.withColumn("_bucket", F.lit(-1).cast("long"))
     sub = max(1, buckets // (len(edges) + 1))
@@ -133,6 +155,13 @@ def _with_bucket(df: DataFrame, order_col: str, buckets: int, bounds: tuple | No
     width = F.element_at(F.col("_widths"), F.col("_coarse") + 1)
     fine = F.least(F.floor((F.col("_key") - start) / width), F.lit(sub - 1))
     bucket = F.col("_coarse").cast("long") * F.lit(sub) + fine.cast("long")
+    salts = HOT_SALTS if (hot and salt_ties) else 1
+    if salts > 1:
+        cast = int if integral else float
+        hashable = [F.col(f.name) for f in df.schema.fields if not isinstance(f.dataType, T.MapType)]
+        salt = F.when(F.col("_key").isin([cast(v) for v in hot]),
+                      F.pmod(F.xxhash64(*hashable), F.lit(salts))).otherwise(F.lit(0))
+        bucket = bucket * F.lit(salts) + salt
     # Nulls sort first, as in an ascending Spark sort.
     bucket = F.when(F.col("_key").isNull(), F.lit(-1).cast("long")).otherwise(bucket)
     return out.withColumn("_bucket", bucket).drop("_key", "_coarse", "_starts", "_widths")
@@ -156,12 +185,13 @@ def number_rows(
     """
     by = list(by or [])
     nb = _bucket_count(df, buckets)
-    tagged = _with_bucket(df, order_col, nb, bounds)
+    tagged = _with_bucket(df, order_col, nb, bounds, salt_ties=not tie_breakers)
     counts = tagged.groupBy(*by, "_bucket").agg(F.count(F.lit(1)).alias("_n"))
     running = Window.partitionBy(*by).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(*by, "_bucket", F.coalesce(F.sum("_n").over(running), F.lit(0)).alias("_offset"))
-    # Without groups the offsets table has one row per bucket: a proven
-    # bound.  With groups its size grows with the groups, so it is counted.
+    # Without groups the offsets table has one row per non-empty bucket id
+    # (at most buckets x HOT_SALTS): a proven bound.  With groups its size
+    # grows with the groups, so it is counted.
     offsets = F.broadcast(offsets) if not by else checked_broadcast(offsets)
     order = [F.col(order_col).asc_nulls_first()] + [F.col(c).asc_nulls_first() for c in (tie_breakers or [])]
     within = Window.partitionBy(*by, "_bucket").orderBy(*order)

@@ -109,3 +109,20 @@ def test_numbering_runs_no_full_single_partition_sort(spark):
     # The only single-partition exchange is the one over the per-bucket counts.
     assert plan.count("SinglePartition") <= 1
     assert sorted(r.row_no for r in out.collect()) == list(range(1, N + 1))
+
+
+def test_numbering_splits_a_hot_tied_key(spark):
+    from folio.operators.numbering import _with_bucket
+    # Key 5 holds a third of the rows (ties in any order).
+    df = spark.range(N).select(F.when(F.col("id") % 3 == 0, F.lit(5)).otherwise(F.col("id") + 10).alias("k"),
+                               F.col("id").alias("payload"))
+    tagged = _with_bucket(df, "k", 64)
+    largest = tagged.groupBy("_bucket").count().agg(F.max("count")).first()[0]
+    assert largest < N // 30
+    out = number_rows(df, "k", buckets=64)
+    assert sorted(r.row_no for r in out.collect()) == list(range(1, N + 1))
+    # Every key occupies exactly the rank range it has in the sorted order.
+    ranges = {r.k: (r.lo, r.hi) for r in out.groupBy("k").agg(F.min("row_no").alias("lo"),
+                                                             F.max("row_no").alias("hi")).collect()}
+    assert ranges[5] == (1, N // 3)
+    assert ranges[11] == (N // 3 + 1, N // 3 + 1)
