@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from folio.functions.text import any_contains_ci, contains_ci, row_text, search_gate
+from folio.functions.values import template_text
 
 ALL = "all"
 
@@ -51,7 +52,8 @@ def facet(df: DataFrame, choice, column: str = "category_id") -> DataFrame:
     number = _canonical_int(choice)
     if number is not None:
         return df.filter(F.col(column) == F.lit(number))
-    return df.filter(F.col(column).cast("string") == F.lit(choice))
+    # String(null) is "null" in JavaScript, so that choice finds missing ids.
+    return df.filter(template_text(column) == F.lit(choice))
 
 
 def text_search(df: DataFrame, query: str | None, columns: tuple[str, ...] = ("title", "author")) -> DataFrame:

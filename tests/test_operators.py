@@ -22,6 +22,7 @@ def test_facet(spark):
     assert S.facet(df, "all").count() == 3
     assert [r.id for r in S.facet(df, "2").collect()] == [1]
     assert S.facet(df, "02").count() == 0
+    assert [r.id for r in S.facet(df, "null").collect()] == [3]
 
 
 def test_search_gate_and_match(spark):
