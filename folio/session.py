@@ -75,3 +75,42 @@ def require_checkpoint_dir(spark: SparkSession) -> str:
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(folder)
     return folder
+
+
+MAX_SHUFFLE_PARTITIONS = 100_000
+
+
+def scale_conf(
+    input_bytes: int,
+    executors: int,
+    cores_per_executor: int,
+    executor_memory_bytes: int,
+    target_partition_bytes: int = 256 * 1024 ** 2,
+) -> dict[str, str]:
+    """Settings that keep every task's data within its share of executor memory.
+
+    * scans: ``maxPartitionBytes`` = the target, so a 100 TB scan makes about
+      400,000 tasks of 256 MB (compressed) each;
+    * shuffles: about one partition per target of (compressed) input, never
+      fewer than two waves of all cores and never more than ``MAX_SHUFFLE_
+      PARTITIONS`` -- map-output metadata grows with maps x partitions, and
+      beyond that the driver, not the data, is the limit; AQE then coalesces
+      small partitions and splits skewed ones around the same size, and a
+      partition larger than its task's memory spills;
+    * a task's share of execution memory bounds the target: with less, the
+      target shrinks so sorts and hash tables spill rather than fail.
+    """
+    cores = max(1, executors * cores_per_executor)
+    per_task_memory = int(executor_memory_bytes * 0.6 / max(1, cores_per_executor))
+    target = max(32 * 1024 ** 2, min(target_partition_bytes, per_task_memory // 2))
+    shuffle_partitions = min(MAX_SHUFFLE_PARTITIONS, max(2 * cores, int(input_bytes / target)))
+    return {
+        "spark.sql.files.maxPartitionBytes": str(target),
+        "spark.sql.shuffle.partitions": str(shuffle_partitions),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * target),
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 * 1024 ** 2),
+    }

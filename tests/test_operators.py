@@ -197,3 +197,16 @@ def test_row_text_whitespace_runs(spark):
     # A query may start inside the indentation before a cell, but not span two cells.
     assert [r.id for r in S.row_text_search(cells, "          t\n", cols).collect()] == [1]
     assert S.row_text_search(cells, "ta", cols).count() == 0
+
+
+def test_scale_conf_sizes_partitions():
+    from folio.session import scale_conf
+    conf = scale_conf(100 * 1024 ** 4, executors=1000, cores_per_executor=8,
+                      executor_memory_bytes=64 * 1024 ** 3)
+    assert int(conf["spark.sql.files.maxPartitionBytes"]) == 256 * 1024 ** 2
+    assert int(conf["spark.sql.shuffle.partitions"]) == 100_000          # capped
+    mid = scale_conf(1024 ** 4, executors=100, cores_per_executor=8, executor_memory_bytes=64 * 1024 ** 3)
+    assert int(mid["spark.sql.shuffle.partitions"]) == 4096               # 1 TB / 256 MB
+    small = scale_conf(10 * 1024 ** 3, executors=2, cores_per_executor=4, executor_memory_bytes=1024 ** 3)
+    assert int(small["spark.sql.files.maxPartitionBytes"]) < 256 * 1024 ** 2
+    assert int(small["spark.sql.shuffle.partitions"]) >= 8
