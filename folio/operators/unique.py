@@ -94,7 +94,7 @@ def unique_insert_two_keys(requests: DataFrame, keys: tuple[str, str], order_col
         bad = bad | F.coalesce(F.col("_t1"), F.lit(False)) | F.coalesce(F.col("_t2"), F.lit(False))
     rows = rows.select("_seq", "_k1", "_k2", bad.alias("_bad")).checkpoint()
     decided = rows.filter("_bad").select("_seq", F.lit(False).alias("accepted"), F.lit(0).alias("decided_round"))
-    undecided = rows.filter(~F.col("_bad")).select("_seq", "_k1", "_k2").checkpoint()
+    undecided = rows.filter(~F.col("_bad")).select("_seq", "_k1", "_k2")
 
     round_no = 0
     parts = [decided]
@@ -102,20 +102,29 @@ def unique_insert_two_keys(requests: DataFrame, keys: tuple[str, str], order_col
         round_no += 1
         if max_rounds is not None and round_no > max_rounds:
             raise RuntimeError(f"unique insert did not settle in {max_rounds} rounds")
+        # Rows first on both keys among the undecided win this round ...
         first1 = undecided.groupBy("_k1").agg(F.min("_seq").alias("_seq"))
         first2 = undecided.groupBy("_k2").agg(F.min("_seq").alias("_seq"))
-        won_seq = first1.select("_seq").join(first2.select("_seq"), "_seq")
-        won = undecided.join(won_seq, "_seq", "left_semi").checkpoint()
-        rest = undecided.join(won.select("_seq"), "_seq", "left_anti")
-        lost = (
-            rest.join(won.select("_k1"), "_k1", "left_semi")
-            .unionByName(rest.join(won.select("_k2"), "_k2", "left_semi"))
-            .select("_seq").distinct()
+        won_seq = first1.select("_seq").join(first2.select("_seq"), "_seq").select("_seq", F.lit(True).alias("_won"))
+        won = undecided.join(won_seq.select("_seq"), "_seq", "left_semi")
+        # ... and the other rows sharing a key with a winner lose.  Winners
+        # hold distinct keys, so these joins never fan out.
+        taken1 = won.select("_k1", F.lit(True).alias("_t1"))
+        taken2 = won.select("_k2", F.lit(True).alias("_t2"))
+        marked = (
+            undecided.join(won_seq, "_seq", "left")
+            .join(taken1, "_k1", "left")
+            .join(taken2, "_k2", "left")
         )
-        lost = lost.checkpoint()
-        parts.append(won.select("_seq", F.lit(True).alias("accepted"), F.lit(round_no).alias("decided_round")))
-        parts.append(lost.select("_seq", F.lit(False).alias("accepted"), F.lit(round_no).alias("decided_round")))
-        undecided = rest.join(lost, "_seq", "left_anti").checkpoint()
+        state = (
+            F.when(F.col("_won"), F.lit("won"))
+            .when(F.col("_t1") | F.col("_t2"), F.lit("lost"))
+        )
+        # One checkpoint per round: every later step reads this frame.
+        round_state = marked.select("_seq", "_k1", "_k2", state.alias("_state")).checkpoint()
+        parts.append(round_state.filter(F.col("_state").isNotNull()).select(
+            "_seq", (F.col("_state") == "won").alias("accepted"), F.lit(round_no).alias("decided_round")))
+        undecided = round_state.filter(F.col("_state").isNull()).select("_seq", "_k1", "_k2")
 
     outcome = parts[0]
     for p in parts[1:]:
