@@ -70,14 +70,27 @@ def append_batch(spark: SparkSession, table_root: str, entity: str, batch: DataF
         _path(table_root, BATCHES))
 
 
+MAX_LISTED_BATCHES = 10_000
+
+
 def pending_changes(spark: SparkSession, root: str, after_batch: int | None) -> DataFrame | None:
-    """Accepted changes of committed batches after ``after_batch``."""
+    """Accepted changes of committed batches after ``after_batch``.
+
+    The committed batch ids (those since the last compaction) are applied as
+    a partition filter, so folders of batches still being written are pruned
+    before their files are listed.
+    """
     done = committed_batches(spark, root)
     log = _read(spark, _path(root, CHANGES))
     if done is None or log is None:
         return None
     if after_batch is not None:
         done = done.filter(F.col("batch_id") > after_batch)
+    ids = [r[0] for r in done.distinct().limit(MAX_LISTED_BATCHES + 1).collect()]
+    if len(ids) <= MAX_LISTED_BATCHES:
+        return log.filter(F.col("batch_id").isin(ids))
+    # Far too many batches since the last compaction: filter by a join.
+    if after_batch is not None:
         log = log.filter(F.col("batch_id") > after_batch)
     return log.join(done.distinct(), "batch_id", "left_semi")
 
