@@ -15,6 +15,9 @@ DEFAULT_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Checkpoints of finished rounds are deleted once unreachable, so the
+    # shared checkpoint folder does not grow with every iterative job.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
