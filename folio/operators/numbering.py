@@ -105,37 +105,42 @@ def _edges(df: DataFrame, key: Column, n_edges: int, integral: bool) -> tuple:
     return lo, hi, sorted(v for v in picks if lo < v <= hi), hot
 
 
-def _with_bucket(df: DataFrame, order_col: str, buckets: int, bounds: tuple | None = None,
-                 salt_ties: bool = True) -> DataFrame:
-    """``df`` plus ``_bucket``: a long that never decreases as the key grows.
-
-    With ``salt_ties`` the rows of a hot key value are spread over
-    ``HOT_SALTS`` consecutive bucket ids by a hash of the whole row (equal
-    keys may be numbered in any order; equal rows get equal salts, so every
-    pass of the plan agrees)."""
+def _bucket_spec(df: DataFrame, order_col: str, buckets: int, bounds: tuple | None = None,
+                 salt_ties: bool = True) -> dict:
+    """The constants of the bucket function (found once, on the driver)."""
     key, integral = _numeric_key(df, order_col)
     hot: list = []
     if bounds is not None:
         lo, hi, edges = bounds[0], bounds[1], []
     else:
         lo, hi, edges, hot = _edges(df, key, min(MAX_EDGES, max(0, buckets - 1)), integral)
+    spec = {"integral": integral, "lo": lo, "edges": edges, "hot": hot if salt_ties else []}
     if lo is None:
-        return df.withColumn("_bucket", F.lit(-1).cast("long"))
+        return spec
     sub = max(1, buckets // (len(edges) + 1))
     starts = [lo] + edges
     ends = edges + [hi + 1 if integral else hi]
     if integral:
         widths = [max(1, math.ceil((e - b) / sub)) for b, e in zip(starts, ends)]
-        cast = int
     else:
         widths = [((e - b) / sub) if e > b else 1.0 for b, e in zip(starts, ends)]
-        cast = float
+    spec.update(sub=sub, starts=starts, widths=widths)
+    return spec
+
+
+def _apply_bucket(df: DataFrame, order_col: str, spec: dict) -> DataFrame:
+    """``df`` plus ``_bucket`` computed with ``spec`` (any frame holding the key)."""
+    if spec["lo"] is None:
+        return df.withColumn("_bucket", F.lit(-1).cast("long"))
+    key, integral = _numeric_key(df, order_col)
+    cast = int if integral else float
+    edges, sub = spec["edges"], spec["sub"]
     # The edge, start and width arrays are plan constants; they are added once
     # as columns so the expression trees of the search steps stay small.
     out = df.select(
         "*", key.alias("_key"), F.lit(0).alias("_coarse"),
-        _array_literal(starts, integral).alias("_starts"),
-        _array_literal(widths, integral).alias("_widths"),
+        _array_literal(spec["starts"], integral).alias("_starts"),
+        _array_literal(spec["widths"], integral).alias("_widths"),
     )
     if edges:
         # Branchless binary search: after the steps, _coarse = number of
@@ -155,18 +160,55 @@ def _with_bucket(df: DataFrame, order_col: str, buckets: int, bounds: tuple | No
     width = F.element_at(F.col("_widths"), F.col("_coarse") + 1)
     fine = F.least(F.floor((F.col("_key") - start) / width), F.lit(sub - 1))
     bucket = F.col("_coarse").cast("long") * F.lit(sub) + fine.cast("long")
-    salts = HOT_SALTS if (hot and salt_ties) else 1
-    if salts > 1:
-        cast = int if integral else float
+    if spec["hot"]:
         hashable = [F.col(f.name) for f in df.schema.fields if not isinstance(f.dataType, T.MapType)]
-        salt = F.when(F.col("_key").isin([cast(v) for v in hot]),
-                      F.pmod(F.xxhash64(*hashable), F.lit(salts))).otherwise(F.lit(0))
-        bucket = bucket * F.lit(salts) + salt
+        salt = F.when(F.col("_key").isin([cast(v) for v in spec["hot"]]),
+                      F.pmod(F.xxhash64(*hashable), F.lit(HOT_SALTS))).otherwise(F.lit(0))
+        bucket = bucket * F.lit(HOT_SALTS) + salt
     # Nulls sort first, as in an ascending Spark sort.
     bucket = F.when(F.col("_key").isNull(), F.lit(-1).cast("long")).otherwise(bucket)
     return out.withColumn("_bucket", bucket).drop("_key", "_coarse", "_starts", "_widths")
 
 
+def _with_bucket(df: DataFrame, order_col: str, buckets: int, bounds: tuple | None = None,
+                 salt_ties: bool = True) -> DataFrame:
+    """``df`` plus ``_bucket``: a long that never decreases as the key grows.
+
+    With ``salt_ties`` the rows of a hot key value are spread over
+    ``HOT_SALTS`` consecutive bucket ids by a hash of the whole row (equal
+    keys may be numbered in any order; equal rows get equal salts, so every
+    pass of the plan agrees)."""
+    return _apply_bucket(df, order_col, _bucket_spec(df, order_col, buckets, bounds, salt_ties))
+
+
+def _offsets(tagged: DataFrame, by: list[str]) -> DataFrame:
+    counts = tagged.groupBy(*by, "_bucket").agg(F.count(F.lit(1)).alias("_n"))
+    running = Window.partitionBy(*by).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    return counts.select(*by, "_bucket", F.coalesce(F.sum("_n").over(running), F.lit(0)).alias("_offset"))
+
+
+def rank_rows(all_rows: DataFrame, order_col: str, subset: DataFrame, out_col: str = "row_no",
+              buckets: int | None = None) -> DataFrame:
+    """``subset`` plus the 1-based rank of each row's ``order_col`` among all
+    of ``all_rows`` -- the number ``number_rows(all_rows)`` would give it.
+
+    ``order_col`` must be unique in ``all_rows``, and ``subset`` keys must
+    occur there.  Only the key column of ``all_rows`` is read and shuffled,
+    and only the buckets holding subset keys are sorted, so ranking a few
+    matches costs a count of the keys, not a sort of every row.
+    """
+    keys = all_rows.select(order_col)
+    spec = _bucket_spec(keys, order_col, _bucket_count(keys, buckets), salt_ties=False)
+    tagged = _apply_bucket(keys, order_col, spec)
+    offsets = F.broadcast(_offsets(tagged, []))
+    # One row per touched bucket: bounded by the bucket count.
+    touched = F.broadcast(_apply_bucket(subset.select(order_col), order_col, spec).select("_bucket").distinct())
+    candidates = tagged.join(touched, "_bucket", "left_semi").join(offsets, "_bucket")
+    within = Window.partitionBy("_bucket").orderBy(F.col(order_col).asc_nulls_first())
+    ranked = candidates.select(order_col, (F.row_number().over(within) + F.col("_offset")).cast("long").alias(out_col))
+    return subset.join(ranked, order_col, "inner")
+
+
 def number_rows(
     df: DataFrame,
     order_col: str,
@@ -186,9 +228,7 @@ def number_rows(
     by = list(by or [])
     nb = _bucket_count(df, buckets)
     tagged = _with_bucket(df, order_col, nb, bounds, salt_ties=not tie_breakers)
-    counts = tagged.groupBy(*by, "_bucket").agg(F.count(F.lit(1)).alias("_n"))
-    running = Window.partitionBy(*by).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(*by, "_bucket", F.coalesce(F.sum("_n").over(running), F.lit(0)).alias("_offset"))
+    offsets = _offsets(tagged, by)
     # Without groups the offsets table has one row per non-empty bucket id
     # (at most buckets x HOT_SALTS): a proven bound.  With groups its size
     # grows with the groups, so it is counted.

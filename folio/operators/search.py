@@ -76,6 +76,33 @@ def row_text_search(cells: DataFrame, query: str, cell_columns: list[str]) -> Da
     return cells.filter(contains_ci(text, query))
 
 
+ADMIN_CELLS = ["row_no", "title_text", "author_text", "category_text", "year_text", "quantity_shown"]
+_ASCII_DIGITS = set("0123456789")
+
+
+def admin_row_search(catalog: DataFrame, query: str, key: str = "id") -> DataFrame:
+    """F7 over the admin listing: ``key, row_no`` of the rows whose text
+    contains ``query``.
+
+    The row number is the first cell and is all digits.  A query without
+    digits can match neither inside it nor across it, and what it matches in
+    the indentation before it also follows it, so such a query is decided on
+    the text after the number in the same pass that reads the rows; the
+    numbering then moves only ``(key, hit)`` instead of every cell.  A query
+    with digits is matched on fully numbered rows.
+    """
+    from folio.operators.enrich import admin_cells
+    from folio.operators.numbering import number_rows
+
+    if _ASCII_DIGITS & set(query):
+        cells = admin_cells(number_rows(catalog, key))
+        return row_text_search(cells, query, ADMIN_CELLS).select(key, "row_no")
+    cells = admin_cells(catalog.withColumn("row_no", F.lit(None).cast("long")))
+    text = row_text([F.col(c).cast("string") for c in ADMIN_CELLS[1:]])
+    flagged = cells.select(key, contains_ci(text, query).alias("_hit"))
+    return number_rows(flagged, key).filter("_hit").select(key, "row_no")
+
+
 def truthy(df: DataFrame, column: str) -> DataFrame:
     """F8: ``.filter(Boolean)`` on a text column."""
     return df.filter(F.col(column).isNotNull() & (F.col(column) != ""))

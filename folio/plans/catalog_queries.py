@@ -64,9 +64,7 @@ def facet_and_search(spark, sf_dir):
 
 
 def row_text_search(spark, sf_dir):
-    cells = admin_listing(spark, sf_dir)
-    cell_columns = ["row_no", "title_text", "author_text", "category_text", "year_text", "quantity_shown"]
-    return S.row_text_search(cells, ROW_QUERY, cell_columns).select("id", "row_no")
+    return S.admin_row_search(catalog(spark, sf_dir), ROW_QUERY)
 
 
 def document_search(spark, sf_dir):

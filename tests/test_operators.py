@@ -210,3 +210,23 @@ def test_scale_conf_sizes_partitions():
     small = scale_conf(10 * 1024 ** 3, executors=2, cores_per_executor=4, executor_memory_bytes=1024 ** 3)
     assert int(small["spark.sql.files.maxPartitionBytes"]) < 256 * 1024 ** 2
     assert int(small["spark.sql.shuffle.partitions"]) >= 8
+
+
+def test_admin_row_search_matches_full_numbering(spark):
+    from folio.plans.bindings import catalog_tables
+    books, authors, categories = catalog_tables(spark, "/root/testdata/sf0.001")
+    cat = E.enrich(books, authors, categories)
+    full = E.admin_cells(number_rows(cat, "id"))
+    for q in ("null", "—", " " * 16, "order#", "\n" + " " * 10 + "order", "0012", "1\n", "HIGH", "zz"):
+        want = sorted(tuple(r) for r in S.row_text_search(full, q, S.ADMIN_CELLS).select("id", "row_no").collect())
+        got = sorted(tuple(r) for r in S.admin_row_search(cat, q).collect())
+        assert got == want, q
+
+
+def test_rank_rows_equals_numbering(spark):
+    from folio.operators.numbering import rank_rows
+    df = spark.range(0, 3000).select((F.col("id") * 7919 % 100003).alias("k"))
+    full = {r.k: r.row_no for r in number_rows(df, "k").collect()}
+    subset = df.filter(F.col("k") % 97 == 5)
+    got = {r.k: r.row_no for r in rank_rows(df, "k", subset).collect()}
+    assert got and got == {k: full[k] for k in got} and len(got) == subset.count()
