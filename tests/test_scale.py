@@ -126,3 +126,24 @@ def test_numbering_splits_a_hot_tied_key(spark):
                                                              F.max("row_no").alias("hi")).collect()}
     assert ranges[5] == (1, N // 3)
     assert ranges[11] == (N // 3 + 1, N // 3 + 1)
+
+
+def test_bucketed_tables_join_without_shuffle(spark, scratch):
+    from folio.sources.tables import save_bucketed
+    name = f"t{abs(hash(scratch)) % 10**8}"
+    books = save_bucketed(skewed_books(spark), f"{name}_books", "author_id", 8, f"{scratch}/books")
+    authors = save_bucketed(
+        spark.range(1, 600).select(F.col("id"), F.format_string("A%d", "id").alias("full_name"),
+                                   F.lit(None).cast("string").alias("bio"),
+                                   F.lit(None).cast("date").alias("birthdate")),
+        f"{name}_authors", "id", 8, f"{scratch}/authors")
+    cats = spark.range(0, 3).select(F.col("id"), F.format_string("C%d", "id").alias("name"),
+                                    F.lit(None).cast("string").alias("description"))
+    with no_broadcast(spark):
+        out = E.enrich(books, authors, cats).select("id", "author")
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert out.count() == N
+    # The author join and the authors' uniqueness aggregate read the
+    # bucketing: no exchange on author ids anywhere in the plan.
+    assert "SortMergeJoin" in plan
+    assert "hashpartitioning(author_id" not in plan and "hashpartitioning(_author_key" not in plan
