@@ -24,7 +24,7 @@ from folio.functions.links import link_fields, query_param, reader_link
 from folio.operators import changes as C
 from folio.operators import enrich as E
 from folio.operators import validate as VAL
-from folio.operators.unique import unique_insert
+from folio.operators.unique import unique_insert, unique_insert_two_keys
 from folio.plans.bindings import catalog_tables, table, with_catalog
 from folio.plans.catalog_queries import catalog
 from folio.sources.content import list_content
@@ -189,6 +189,25 @@ def unique_documents(spark, sf_dir):
     return unique_insert(docs, "text", "doc_id", digest=True).select("doc_id", "accepted", "reason")
 
 
+def registration_requests(customer: DataFrame) -> DataFrame:
+    """Sign-ups derived from customers, in key order: username from market
+    segment and nation, e-mail from the balance in hundreds, so requests
+    collide on either key in crossing ways."""
+    return customer.select(
+        F.col("c_custkey").alias("seq"),
+        F.concat(F.lower("c_mktsegment"), F.lit("_"), F.col("c_nationkey").cast("string")).alias("username"),
+        F.concat(F.lit("u"), F.floor(F.col("c_acctbal") / 100).cast("string"), F.lit("@example.org")).alias("email"),
+    )
+
+
+def unique_pairs(spark, sf_dir):
+    """D5 on two keys: each request is accepted unless its username or e-mail
+    belongs to an earlier accepted request (rounds, checkpointed into the
+    session's spark.checkpoint.dir)."""
+    req = registration_requests(table(spark, sf_dir, "customer"))
+    return unique_insert_two_keys(req, ("username", "email"), "seq").select("seq", "username", "email", "accepted")
+
+
 def link_build(spark, sf_dir):
     books = catalog(spark, sf_dir)
     links = books.select("id", "title", reader_link("id", "title").alias("link"))
@@ -233,6 +252,7 @@ QUERIES = {
     "apply_changes": apply_changes,
     "change_rejects": change_rejects,
     "unique_insert": unique_documents,
+    "unique_insert_two_keys": unique_pairs,
     "link_build": link_build,
     "link_parse": link_parse,
     "json_rows": json_rows,
@@ -383,6 +403,27 @@ ORACLE_SQL = {
                CASE WHEN text IS NULL THEN 'text required' WHEN doc_id = first THEN NULL
                     ELSE 'text repeated in batch' END AS reason
         FROM (SELECT doc_id, text, min(doc_id) OVER (PARTITION BY text) AS first FROM documents)""",
+    # The sequential definition itself: walk the requests in order, keeping
+    # the usernames and e-mails taken so far.
+    "unique_insert_two_keys": """
+        WITH RECURSIVE req AS (
+          SELECT CAST(row_number() OVER (ORDER BY c_custkey) AS BIGINT) AS i, c_custkey AS seq,
+                 lower(c_mktsegment) || '_' || CAST(c_nationkey AS VARCHAR) AS username,
+                 'u' || CAST(CAST(floor(c_acctbal / 100) AS BIGINT) AS VARCHAR) || '@example.org' AS email
+          FROM customer),
+        walk(i, used_u, used_e, acc) AS (
+          SELECT CAST(0 AS BIGINT), CAST([] AS VARCHAR[]), CAST([] AS VARCHAR[]), CAST([] AS BIGINT[])
+          UNION ALL
+          SELECT r.i,
+                 CASE WHEN list_contains(w.used_u, r.username) OR list_contains(w.used_e, r.email)
+                      THEN w.used_u ELSE list_append(w.used_u, r.username) END,
+                 CASE WHEN list_contains(w.used_u, r.username) OR list_contains(w.used_e, r.email)
+                      THEN w.used_e ELSE list_append(w.used_e, r.email) END,
+                 CASE WHEN list_contains(w.used_u, r.username) OR list_contains(w.used_e, r.email)
+                      THEN w.acc ELSE list_append(w.acc, r.seq) END
+          FROM walk w JOIN req r ON r.i = w.i + 1)
+        SELECT r.seq, r.username, r.email, list_contains(f.acc, r.seq) AS accepted
+        FROM req r, (SELECT acc FROM walk ORDER BY i DESC LIMIT 1) f""",
     "link_build": with_catalog(f"""
         SELECT id, link, link_id,
                CASE WHEN coalesce(t, '') = '' THEN 'Không có tiêu đề' ELSE t END AS link_title,

@@ -46,6 +46,8 @@ def test_change_values(q):
     unique = q("unique_insert")
     assert unique.filter("accepted").count() == 927
     assert unique.filter(~F.col("accepted")).count() == 73
+    # Two keys: the sequential loop (simulated outside Spark) accepts 109.
+    assert q("unique_insert_two_keys").filter("accepted").count() == 109
 
 
 def test_link_and_content_values(q):
