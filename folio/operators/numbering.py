@@ -105,9 +105,33 @@ def _edges(df: DataFrame, key: Column, n_edges: int, integral: bool) -> tuple:
     return lo, hi, sorted(v for v in picks if lo < v <= hi), hot
 
 
+# Bucket constants already found for a frame, keyed by its plan, its input
+# files and the parameters.  Files are immutable (new versions are new
+# folders), so the constants stay valid; frames without files are not kept.
+_SPECS: dict[tuple, dict] = {}
+
+
+def _spec_key(df: DataFrame, *params) -> tuple | None:
+    try:
+        files = df.inputFiles()
+    except Exception:  # noqa: BLE001 -- no file listing: never remembered
+        return None
+    return (df.semanticHash(), tuple(sorted(files)), *params) if files else None
+
+
 def _bucket_spec(df: DataFrame, order_col: str, buckets: int, bounds: tuple | None = None,
                  salt_ties: bool = True) -> dict:
-    """The constants of the bucket function (found once, on the driver)."""
+    """The constants of the bucket function (found once per input, on the driver)."""
+    memo = _spec_key(df, order_col, buckets, bounds, salt_ties) if bounds is None else None
+    if memo is not None and memo in _SPECS:
+        return _SPECS[memo]
+    spec = _find_spec(df, order_col, buckets, bounds, salt_ties)
+    if memo is not None:
+        _SPECS[memo] = spec
+    return spec
+
+
+def _find_spec(df: DataFrame, order_col: str, buckets: int, bounds: tuple | None, salt_ties: bool) -> dict:
     key, integral = _numeric_key(df, order_col)
     hot: list = []
     if bounds is not None:
