@@ -182,7 +182,9 @@ def _apply_bucket(df: DataFrame, order_col: str, spec: dict) -> DataFrame:
         out = out.drop("_edges")
     start = F.element_at(F.col("_starts"), F.col("_coarse") + 1)
     width = F.element_at(F.col("_widths"), F.col("_coarse") + 1)
-    fine = F.least(F.floor((F.col("_key") - start) / width), F.lit(sub - 1))
+    # Clamped at both ends, the bucket never decreases as the key grows, even
+    # for keys outside the range the constants were found on.
+    fine = F.least(F.greatest(F.floor((F.col("_key") - start) / width), F.lit(0)), F.lit(sub - 1))
     bucket = F.col("_coarse").cast("long") * F.lit(sub) + fine.cast("long")
     if spec["hot"]:
         hashable = [F.col(f.name) for f in df.schema.fields if not isinstance(f.dataType, T.MapType)]

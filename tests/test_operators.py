@@ -230,3 +230,13 @@ def test_rank_rows_equals_numbering(spark):
     subset = df.filter(F.col("k") % 97 == 5)
     got = {r.k: r.row_no for r in rank_rows(df, "k", subset).collect()}
     assert got and got == {k: full[k] for k in got} and len(got) == subset.count()
+
+
+def test_numbering_with_constants_from_other_data(spark):
+    from folio.operators.numbering import _apply_bucket, _bucket_spec
+    narrow = spark.range(100, 200).select(F.col("id").alias("k"))
+    spec = _bucket_spec(narrow, "k", 16)
+    wide = spark.range(0, 400).select(F.col("id").alias("k"))
+    rows = _apply_bucket(wide, "k", spec).orderBy("k").collect()
+    buckets = [r._bucket for r in rows]
+    assert buckets == sorted(buckets) and min(buckets) >= 0
