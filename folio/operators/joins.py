@@ -48,7 +48,8 @@ def have_at_most(frames: list[DataFrame], max_rows: int) -> list[bool]:
     ``max_rows + 1`` rows (scan tasks stop there) and counted by tag.
     """
     keys = [_fact_key(df, max_rows) for df in frames]
-    todo = [i for i, k in enumerate(keys) if k is None or k not in _SIZE_FACTS]
+    known = {i: _SIZE_FACTS[k] for i, k in enumerate(keys) if k is not None and k in _SIZE_FACTS}
+    todo = [i for i in range(len(frames)) if i not in known]
     if todo:
         parts = [frames[i].limit(max_rows + 1).select(F.lit(i).alias("_frame")) for i in todo]
         union = parts[0]
@@ -56,17 +57,10 @@ def have_at_most(frames: list[DataFrame], max_rows: int) -> list[bool]:
             union = union.unionByName(p)
         counts = {r["_frame"]: r["count"] for r in union.groupBy("_frame").count().collect()}
         for i in todo:
-            fits = counts.get(i, 0) <= max_rows
+            known[i] = counts.get(i, 0) <= max_rows
             if keys[i] is not None:
-                _SIZE_FACTS[keys[i]] = fits
-            else:
-                _SIZE_FACTS[("unkeyed", i)] = fits
-                keys[i] = ("unkeyed", i)
-    out = [_SIZE_FACTS[k] for k in keys]
-    for k in keys:
-        if k and k[0] == "unkeyed":
-            _SIZE_FACTS.pop(k, None)
-    return out
+                _SIZE_FACTS[keys[i]] = known[i]
+    return [known[i] for i in range(len(frames))]
 
 
 def has_at_most(df: DataFrame, max_rows: int) -> bool:
