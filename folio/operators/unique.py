@@ -92,7 +92,10 @@ def unique_insert_two_keys(requests: DataFrame, keys: tuple[str, str], order_col
         t2 = _existing_keys(existing, k2).select(F.col(k2).alias("_k2"), F.lit(True).alias("_t2"))
         rows = rows.join(t1, "_k1", "left").join(t2, "_k2", "left")
         bad = bad | F.coalesce(F.col("_t1"), F.lit(False)) | F.coalesce(F.col("_t2"), F.lit(False))
-    rows = rows.select("_seq", "_k1", "_k2", bad.alias("_bad")).checkpoint()
+    rows = rows.select("_seq", "_k1", "_k2", bad.alias("_bad"))
+    if existing is not None:
+        # The joins against existing keys are done once, not in every round.
+        rows = rows.checkpoint()
     decided = rows.filter("_bad").select("_seq", F.lit(False).alias("accepted"), F.lit(0).alias("decided_round"))
     undecided = rows.filter(~F.col("_bad")).select("_seq", "_k1", "_k2")
 
