@@ -240,3 +240,15 @@ def test_numbering_with_constants_from_other_data(spark):
     rows = _apply_bucket(wide, "k", spec).orderBy("k").collect()
     buckets = [r._bucket for r in rows]
     assert buckets == sorted(buckets) and min(buckets) >= 0
+
+
+def test_assert_unique_and_conform(spark):
+    import pytest as _pytest
+    from folio.operators.joins import assert_unique
+    from folio.sources.tables import CATEGORIES_SCHEMA, conform
+    assert_unique(spark.createDataFrame([(1,), (2,)], "id long"), ["id"])
+    with _pytest.raises(ValueError, match="not unique"):
+        assert_unique(spark.createDataFrame([(1,), (1,)], "id long"), ["id"])
+    raw = spark.createDataFrame([("x", 3, "n")], "description string, id int, name string")
+    out = conform(raw, CATEGORIES_SCHEMA)
+    assert out.columns == ["id", "name", "description"] and dict(out.dtypes)["id"] == "bigint"
