@@ -166,19 +166,21 @@ def insert_rows(base: DataFrame, new_rows: DataFrame, order_col: str, key: str =
 
 
 def apply_changes(base: DataFrame, accepted: DataFrame, spec: EntitySpec,
-                  with_status: bool = False, seq_bounds: tuple | None = None) -> DataFrame:
+                  with_status: bool = False, seq_bounds: tuple | None = None,
+                  start_after: int | None = None) -> DataFrame:
     """Fold accepted, normalised changes of one entity into ``base``.
 
     ``accepted`` has ``seq, op, id`` and the entity's fields.  With
     ``with_status`` the result keeps ``_created_seq`` and an ``updated`` flag.
     ``seq_bounds`` (min, max of the log's seq) saves a pass over the log when
-    numbering inserts.
+    numbering inserts; ``start_after`` (the base's largest id, when known)
+    saves a pass over the base.
     """
     key = spec.key
     fields = list(spec.fields)
     base_cols = [key, *fields]
     inserts = accepted.filter(F.col("op") == "insert").select("seq", *fields)
-    created = assign_ids(inserts, base, "seq", key, bounds=seq_bounds).select(
+    created = assign_ids(inserts, base, "seq", key, start_after=start_after, bounds=seq_bounds).select(
         key, *fields, F.col("seq").alias("_created_seq"))
     current = base.select(*base_cols, F.lit(None).cast("long").alias("_created_seq")).unionByName(created)
 

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
 VERSIONS = "_versions"
-VERSIONS_SCHEMA = "version long, path string, through_batch long"
+VERSIONS_SCHEMA = "version long, path string, through_batch long, max_key long"
 
 
 def _root(root: str) -> str:
@@ -37,7 +37,7 @@ def latest_entry(spark: SparkSession, root: str) -> dict | None:
     log = _versions(spark, root)
     if log is None:
         return None
-    row = log.agg(F.max_by(F.struct("version", "path", "through_batch"), "version").alias("v")).first()["v"]
+    row = log.agg(F.max_by(F.struct("version", "path", "through_batch", "max_key"), "version").alias("v")).first()["v"]
     return row.asDict() if row else None
 
 
@@ -46,11 +46,15 @@ def latest_version(spark: SparkSession, root: str) -> tuple[int, str] | None:
     return (int(entry["version"]), entry["path"]) if entry else None
 
 
-def publish(df: DataFrame, root: str, version: int | None = None, through_batch: int | None = None) -> int:
+def publish(df: DataFrame, root: str, version: int | None = None, through_batch: int | None = None,
+            key: str | None = "id") -> int:
     """Write ``df`` as a new version under ``root`` and publish it.
 
     Returns the version number.  An existing version folder is never
-    overwritten once published.  One writer per table is assumed.
+    overwritten once published.  One writer per table is assumed.  When the
+    table has ``key``, its largest value is recorded with the version (read
+    from the written files, one column), so new ids can be assigned later
+    without scanning the table.
     """
     spark = df.sparkSession
     current = latest_version(spark, root)
@@ -61,7 +65,11 @@ def publish(df: DataFrame, root: str, version: int | None = None, through_batch:
     path = f"{_root(root)}/v{version:010d}"
     # Unpublished leftovers of a failed attempt at this version are replaced.
     df.write.mode("overwrite").parquet(path)
-    entry = spark.createDataFrame([(version, path, through_batch)], VERSIONS_SCHEMA)
+    max_key = None
+    if key and key in df.columns:
+        value = spark.read.parquet(path).agg(F.max(key)).first()[0]
+        max_key = int(value) if value is not None else None
+    entry = spark.createDataFrame([(version, path, through_batch, max_key)], VERSIONS_SCHEMA)
     entry.coalesce(1).write.mode("append").parquet(f"{_root(root)}/{VERSIONS}")
     return version
 

@@ -104,7 +104,7 @@ def read_current(spark: SparkSession, table_root: str, entity: str) -> DataFrame
     log = pending_changes(spark, table_root, latest["through_batch"])
     if log is None:
         return base
-    return C.apply_changes(base, log.drop("batch_id"), C.ENTITIES[entity])
+    return C.apply_changes(base, log.drop("batch_id"), C.ENTITIES[entity], start_after=latest["max_key"])
 
 
 def compact(spark: SparkSession, table_root: str, entity: str) -> int | None:
