@@ -12,7 +12,8 @@ from folio.session import build_session, checkpoint_dir, use_checkpoint_dir  # n
 @pytest.fixture(scope="session")
 def spark():
     session = build_session("local[4]", app_name="folio-tests", shuffle_partitions=8,
-                            conf={"spark.driver.memory": "4g"})
+                            conf={"spark.driver.memory": "4g",
+                                  "spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="folio-wh-", dir="/tmp")})
     session.sparkContext.setLogLevel("ERROR")
     if checkpoint_dir(session) is None:
         # Only where the session names no shared folder: a scratch one.
