@@ -52,3 +52,12 @@ def test_query_matches_oracle(spark, duck, name):
 
 def test_every_query_has_an_oracle_or_is_listed():
     assert set(entry.queries()) == set(entry.oracle_sql())
+
+
+def test_command_line_lists_and_runs(spark, capsys, scratch):
+    from folio.__main__ import main
+    assert main(["list"]) == 0
+    listed = capsys.readouterr().out.split()
+    assert set(listed) == set(entry.queries())
+    assert main(["run", "catalog_point", SF, "--out", f"{scratch}/point"]) == 0
+    assert spark.read.parquet(f"{scratch}/point").count() == 1
