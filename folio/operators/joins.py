@@ -29,6 +29,7 @@ def broadcast_max_rows(df: DataFrame) -> int:
 # files are immutable (new versions are new folders), so a fact stays true for
 # the same key, while a JDBC table may change under the same plan.
 _SIZE_FACTS: dict[tuple, bool] = {}
+MAX_REMEMBERED = 10_000
 
 
 def _fact_key(df: DataFrame, max_rows: int) -> tuple | None:
@@ -56,6 +57,8 @@ def have_at_most(frames: list[DataFrame], max_rows: int) -> list[bool]:
         for p in parts[1:]:
             union = union.unionByName(p)
         counts = {r["_frame"]: r["count"] for r in union.groupBy("_frame").count().collect()}
+        if len(_SIZE_FACTS) > MAX_REMEMBERED:
+            _SIZE_FACTS.clear()
         for i in todo:
             known[i] = counts.get(i, 0) <= max_rows
             if keys[i] is not None:

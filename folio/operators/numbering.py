@@ -35,7 +35,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from folio.operators.joins import checked_broadcast
+from folio.operators.joins import MAX_REMEMBERED, checked_broadcast
 
 DEFAULT_BUCKETS_PER_PARTITION = 64
 MIN_BUCKETS = 256
@@ -127,6 +127,8 @@ def _bucket_spec(df: DataFrame, order_col: str, buckets: int, bounds: tuple | No
         return _SPECS[memo]
     spec = _find_spec(df, order_col, buckets, bounds, salt_ties)
     if memo is not None:
+        if len(_SPECS) > MAX_REMEMBERED:
+            _SPECS.clear()
         _SPECS[memo] = spec
     return spec
 
