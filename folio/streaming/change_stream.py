@@ -73,8 +73,10 @@ def append_batch(spark: SparkSession, table_root: str, entity: str, batch: DataF
 MAX_LISTED_BATCHES = 10_000
 
 
-def pending_changes(spark: SparkSession, root: str, after_batch: int | None) -> DataFrame | None:
-    """Accepted changes of committed batches after ``after_batch``.
+def pending_changes(spark: SparkSession, root: str, after_batch: int | None,
+                    upto_batch: int | None = None) -> DataFrame | None:
+    """Accepted changes of committed batches after ``after_batch`` (and up to
+    ``upto_batch`` when given).
 
     The committed batch ids (those since the last compaction) are applied as
     a partition filter, so folders of batches still being written are pruned
@@ -86,37 +88,46 @@ def pending_changes(spark: SparkSession, root: str, after_batch: int | None) ->
         return None
     if after_batch is not None:
         done = done.filter(F.col("batch_id") > after_batch)
+    if upto_batch is not None:
+        done = done.filter(F.col("batch_id") <= upto_batch)
     ids = [r[0] for r in done.distinct().limit(MAX_LISTED_BATCHES + 1).collect()]
     if len(ids) <= MAX_LISTED_BATCHES:
         return log.filter(F.col("batch_id").isin(ids))
     # Far too many batches since the last compaction: filter by a join.
     if after_batch is not None:
         log = log.filter(F.col("batch_id") > after_batch)
+    if upto_batch is not None:
+        log = log.filter(F.col("batch_id") <= upto_batch)
     return log.join(done.distinct(), "batch_id", "left_semi")
 
 
-def read_current(spark: SparkSession, table_root: str, entity: str) -> DataFrame:
-    """The table as of the last committed batch: newest version + pending changes."""
+def read_current(spark: SparkSession, table_root: str, entity: str, upto_batch: int | None = None) -> DataFrame:
+    """The table as of the last committed batch (or ``upto_batch``): newest
+    version + pending changes."""
     latest = snapshots.latest_entry(spark, table_root)
     if latest is None:
         raise FileNotFoundError(f"no published version under {table_root}")
     base = spark.read.parquet(latest["path"])
-    log = pending_changes(spark, table_root, latest["through_batch"])
+    log = pending_changes(spark, table_root, latest["through_batch"], upto_batch)
     if log is None:
         return base
     return C.apply_changes(base, log.drop("batch_id"), C.ENTITIES[entity], start_after=latest["max_key"])
 
 
 def compact(spark: SparkSession, table_root: str, entity: str) -> int | None:
-    """Publish ``read_current`` as the next version; None when nothing is pending."""
+    """Publish the fold of the committed batches as the next version; None
+    when nothing is pending.  The batches folded are fixed first, so a batch
+    committed meanwhile stays pending for the next read or compaction."""
     latest = snapshots.latest_entry(spark, table_root)
-    log = pending_changes(spark, table_root, latest["through_batch"] if latest else None)
-    if latest is None or log is None:
+    done = committed_batches(spark, table_root)
+    if latest is None or done is None:
         return None
-    last = log.agg(F.max("batch_id")).first()[0]
+    if latest["through_batch"] is not None:
+        done = done.filter(F.col("batch_id") > latest["through_batch"])
+    last = done.agg(F.max("batch_id")).first()[0]
     if last is None:
         return None
-    current = read_current(spark, table_root, entity)
+    current = read_current(spark, table_root, entity, upto_batch=int(last))
     return snapshots.publish(current, table_root, through_batch=int(last))
 
 
