@@ -57,3 +57,18 @@ def test_stream_appends_and_reads_fold(spark, scratch):
     run_stream(spark, incoming, root, name)          # same stream: next batch id
     assert current(spark, root) == {1: "a2", 3: "c2", 4: "d"}
     assert {r.id for r in snapshots.read_latest(spark, root).collect()} == {1, 3}
+
+
+def test_reads_and_compaction_fold_a_fixed_batch_set(spark, scratch):
+    root = f"{scratch}/authors"
+    base = spark.createDataFrame([(1, "a", None, None)], "id long, full_name string, bio string, birthdate date")
+    snapshots.publish(base, root)
+    b0 = spark.createDataFrame([(1, "author", "insert", None, json.dumps({"full_name": "x"}))], LOG_SCHEMA)
+    b1 = spark.createDataFrame([(2, "author", "insert", None, json.dumps({"full_name": "y"}))], LOG_SCHEMA)
+    append_batch(spark, root, "author", b0, 0)
+    append_batch(spark, root, "author", b1, 1)
+    assert {r.full_name for r in read_current(spark, root, "author", upto_batch=0).collect()} == {"a", "x"}
+    assert compact(spark, root, "author") == 2
+    latest = snapshots.latest_entry(spark, root)
+    assert latest["through_batch"] == 1 and latest["max_key"] == 3
+    assert current(spark, root) == {1: "a", 2: "x", 3: "y"}
