@@ -63,9 +63,13 @@ def append_batch(spark: SparkSession, table_root: str, entity: str, batch: DataF
         return
     spec = C.ENTITIES[entity]
     mine = batch.filter(F.col("entity") == entity)
-    ok, bad = C.split_changes(C.normalise_changes(mine, spec))
+    # Two writes read the normalised batch: parse it once.  Lost cached
+    # blocks are recomputed from the batch's own lineage.
+    normalised = C.normalise_changes(mine, spec).persist()
+    ok, bad = C.split_changes(normalised)
     ok.write.mode("overwrite").parquet(f"{_path(table_root, CHANGES)}/batch_id={batch_id}")
     bad.write.mode("overwrite").parquet(f"{_path(table_root, REJECTS)}/batch_id={batch_id}")
+    normalised.unpersist()
     spark.createDataFrame([(batch_id,)], "batch_id long").coalesce(1).write.mode("append").parquet(
         _path(table_root, BATCHES))
 
