@@ -252,3 +252,14 @@ def test_assert_unique_and_conform(spark):
     raw = spark.createDataFrame([("x", 3, "n")], "description string, id int, name string")
     out = conform(raw, CATEGORIES_SCHEMA)
     assert out.columns == ["id", "name", "description"] and dict(out.dtypes)["id"] == "bigint"
+
+
+def test_stats_variants_agree(spark):
+    from folio.plans.bindings import catalog_tables
+    books, authors, categories = catalog_tables(spark, "/root/testdata/sf0.001")
+    via_join = A.catalog_stats(E.enrich(books, authors, categories), categories).first()
+    via_keys = A.catalog_stats_by_keys(books, authors, categories).first()
+    assert tuple(via_join) == tuple(via_keys)
+    names_join = {r.author for r in A.distinct_names(E.enrich(books, authors, categories), "author").collect()}
+    names_keys = {r.author for r in A.referenced_names(books, authors, "author_id", "id", "full_name", "author").collect()}
+    assert names_join == names_keys
