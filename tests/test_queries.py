@@ -61,3 +61,20 @@ def test_command_line_lists_and_runs(spark, capsys, scratch):
     assert set(listed) == set(entry.queries())
     assert main(["run", "catalog_point", SF, "--out", f"{scratch}/point"]) == 0
     assert spark.read.parquet(f"{scratch}/point").count() == 1
+
+
+def test_bench_prints_one_json_line():
+    import json
+    import os
+    import subprocess
+    import sys
+    repo = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    env = dict(os.environ, BENCH_SF_DIR=SF, BENCH_CPUS="2", BENCH_REPEAT="1",
+               BENCH_QUERIES="catalog_point,link_parse", BENCH_DRIVER_MEMORY="1g")
+    out = subprocess.run([sys.executable, os.path.join(repo, "bench.py")], env=env, cwd=repo,
+                         capture_output=True, text=True, timeout=600)
+    lines = [line for line in out.stdout.splitlines() if line.strip()]
+    assert len(lines) == 1, out.stdout
+    result = json.loads(lines[0])
+    assert {"metric", "value", "unit", "queries", "sf"} <= set(result)
+    assert set(result["queries"]) == {"catalog_point", "link_parse"} and result["sf"] == 0.001
