@@ -16,7 +16,7 @@ Stand-ins (every input is a driver table or derived from one by Spark):
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from folio.functions import values as V
@@ -25,7 +25,7 @@ from folio.operators import changes as C
 from folio.operators import enrich as E
 from folio.operators import validate as VAL
 from folio.operators.unique import unique_insert, unique_insert_two_keys
-from folio.plans.bindings import catalog_tables, table, with_catalog
+from folio.plans.bindings import table, with_catalog
 from folio.plans.catalog_queries import catalog
 from folio.sources.content import list_content
 from folio.sources.json_io import json_text

@@ -3,8 +3,6 @@
 import json
 import random
 
-from pyspark.sql import functions as F
-
 from folio.operators import changes as C
 from folio.operators import validate as VAL
 from folio.operators.unique import unique_insert, unique_insert_two_keys
