@@ -30,9 +30,15 @@ from folio.operators.enrich import (
     enrich,
     reader_cards,
 )
-from folio.operators.numbering import assign_ids, number_rows
-from folio.operators.search import facet, facet_and_search, lookup, row_text_search, text_search
-from folio.operators.stats import catalog_stats, distinct_names, entity_counts
+from folio.operators.numbering import assign_ids, number_rows, rank_rows
+from folio.operators.search import admin_row_search, facet, facet_and_search, lookup, row_text_search, text_search
+from folio.operators.stats import (
+    catalog_stats,
+    catalog_stats_by_keys,
+    distinct_names,
+    entity_counts,
+    referenced_names,
+)
 from folio.operators.unique import unique_insert, unique_insert_two_keys
 from folio.operators.users import register_users, role_of
 from folio.operators.validate import book_rules, split_valid, validation_report
@@ -41,10 +47,11 @@ from folio.session import build_session
 __version__ = "0.1.0"
 
 __all__ = [
-    "AUTHOR", "BOOK", "CATEGORY", "admin_cells", "apply_change_log", "apply_changes", "assign_ids",
-    "author_listing", "book_rules", "build_session", "catalog_stats", "category_listing", "content_coverage",
+    "AUTHOR", "BOOK", "CATEGORY", "admin_cells", "admin_row_search", "apply_change_log", "apply_changes", "assign_ids",
+    "author_listing", "book_rules", "build_session", "catalog_stats", "catalog_stats_by_keys", "category_listing", "content_coverage",
     "delete_by_key", "detail_rows", "distinct_names", "edit_projection", "enrich", "entity_counts", "facet",
-    "facet_and_search", "insert_rows", "lookup", "normalise_changes", "number_rows", "reader_cards",
+    "facet_and_search", "insert_rows", "lookup", "normalise_changes", "number_rows", "rank_rows", "reader_cards",
+    "referenced_names",
     "register_users", "reject_changes", "replace_by_key", "role_of", "row_text_search", "split_valid",
     "text_search", "unique_insert", "unique_insert_two_keys", "validation_report",
 ]
