@@ -80,7 +80,9 @@ def unique_insert(requests: DataFrame, key: str, order_col: str,
 def unique_insert_two_keys(requests: DataFrame, keys: tuple[str, str], order_col: str,
                            existing: DataFrame | None = None, max_rounds: int | None = None) -> DataFrame:
     """``requests`` plus ``accepted`` and ``decided_round``, equal to the
-    sequential one-by-one insert.  Needs ``spark.checkpoint.dir``."""
+    sequential one-by-one insert.  ``order_col`` must be unique (the request
+    sequence); rows with a missing key are rejected.  Needs
+    ``spark.checkpoint.dir``."""
     require_checkpoint_dir(requests.sparkSession)
     k1, k2 = keys
     rows = requests.select(F.col(order_col).alias("_seq"), F.col(k1).alias("_k1"), F.col(k2).alias("_k2"))
