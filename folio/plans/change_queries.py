@@ -235,6 +235,14 @@ def content_coverage(spark, sf_dir):
     return E.content_coverage(docs, files, key="doc_id")
 
 
+def content_missing(spark, sf_dir):
+    """J5, anti-join form: the records whose content file is missing (the
+    reader would fail to load them)."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source")
+    files = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("content_id"))
+    return E.content_coverage(docs, files, key="doc_id", how="without")
+
+
 def content_inventory(spark, sf_dir):
     """S4 over the table folder itself (``*.parquet`` stands in for
     ``<id>.pdf``): file path, size, and the record id its name carries."""
@@ -257,6 +265,7 @@ QUERIES = {
     "link_parse": link_parse,
     "json_rows": json_rows,
     "content_coverage": content_coverage,
+    "content_missing": content_missing,
     "content_inventory": content_inventory,
 }
 
@@ -454,6 +463,9 @@ ORACLE_SQL = {
                CAST(floor(epoch(last_modified)) AS BIGINT) AS modified_epoch,
                TRY_CAST(NULLIF(regexp_extract(filename, '/([0-9]+)[.]parquet$', 1), '') AS BIGINT) AS content_id
         FROM read_blob('/root/testdata/sf0.01/*.parquet')""",
+    "content_missing": """
+        SELECT doc_id, source FROM documents
+        WHERE doc_id NOT IN (SELECT doc_id FROM labels WHERE doc_id IS NOT NULL)""",
     "content_coverage": """
         SELECT doc_id, doc_id IN (SELECT doc_id FROM labels WHERE doc_id IS NOT NULL) AS has_content
         FROM documents""",

@@ -53,3 +53,4 @@ def test_change_values(q):
 def test_link_and_content_values(q):
     assert q("link_parse").filter("has_param").count() == 45
     assert q("content_coverage").filter("has_content").count() == 399
+    assert q("content_missing").count() == 1000 - 399
