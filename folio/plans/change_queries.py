@@ -197,6 +197,9 @@ def registration_requests(customer: DataFrame) -> DataFrame:
         F.col("c_custkey").alias("seq"),
         F.concat(F.lower("c_mktsegment"), F.lit("_"), F.col("c_nationkey").cast("string")).alias("username"),
         F.concat(F.lit("u"), F.floor(F.col("c_acctbal") / 100).cast("string"), F.lit("@example.org")).alias("email"),
+        # Customers of nation 0 leave the password blank (a form rule rejects them).
+        F.when(F.col("c_nationkey") == 0, F.lit("")).otherwise(
+            F.concat(F.lit("x"), F.col("c_custkey").cast("string"))).alias("password"),
     )
 
 
@@ -208,6 +211,16 @@ def unique_pairs(spark, sf_dir):
     return unique_insert_two_keys(req, ("username", "email"), "seq").select("seq", "username", "email", "accepted")
 
 
+def registration_rejects(spark, sf_dir):
+    """V1 + D5 + D9: sign-ups into an empty users table; the refused ones
+    with their reasons (form rules first, then a taken username or e-mail)."""
+    from folio.operators.users import register_users
+    req = registration_requests(table(spark, sf_dir, "customer"))
+    users = spark.createDataFrame([], "username string, email string, role string")
+    _, rejected = register_users(users, req)
+    return rejected
+
+
 def link_build(spark, sf_dir):
     books = catalog(spark, sf_dir)
     links = books.select("id", "title", reader_link("id", "title").alias("link"))
@@ -261,6 +274,7 @@ QUERIES = {
     "change_rejects": change_rejects,
     "unique_insert": unique_documents,
     "unique_insert_two_keys": unique_pairs,
+    "registration_rejects": registration_rejects,
     "link_build": link_build,
     "link_parse": link_parse,
     "json_rows": json_rows,
@@ -433,6 +447,32 @@ ORACLE_SQL = {
           FROM walk w JOIN req r ON r.i = w.i + 1)
         SELECT r.seq, r.username, r.email, list_contains(f.acc, r.seq) AS accepted
         FROM req r, (SELECT acc FROM walk ORDER BY i DESC LIMIT 1) f""",
+    "registration_rejects": """
+        WITH RECURSIVE req AS (
+          SELECT c_custkey AS seq,
+                 lower(c_mktsegment) || '_' || CAST(c_nationkey AS VARCHAR) AS username,
+                 'u' || CAST(CAST(floor(c_acctbal / 100) AS BIGINT) AS VARCHAR) || '@example.org' AS email,
+                 CASE WHEN c_nationkey = 0 THEN '' ELSE 'x' || CAST(c_custkey AS VARCHAR) END AS password
+          FROM customer),
+        valid AS (
+          SELECT CAST(row_number() OVER (ORDER BY seq) AS BIGINT) AS i, seq, username, email
+          FROM req WHERE password <> ''),
+        walk(i, used_u, used_e, acc) AS (
+          SELECT CAST(0 AS BIGINT), CAST([] AS VARCHAR[]), CAST([] AS VARCHAR[]), CAST([] AS BIGINT[])
+          UNION ALL
+          SELECT v.i,
+                 CASE WHEN list_contains(w.used_u, v.username) OR list_contains(w.used_e, v.email)
+                      THEN w.used_u ELSE list_append(w.used_u, v.username) END,
+                 CASE WHEN list_contains(w.used_u, v.username) OR list_contains(w.used_e, v.email)
+                      THEN w.used_e ELSE list_append(w.used_e, v.email) END,
+                 CASE WHEN list_contains(w.used_u, v.username) OR list_contains(w.used_e, v.email)
+                      THEN w.acc ELSE list_append(w.acc, v.seq) END
+          FROM walk w JOIN valid v ON v.i = w.i + 1)
+        SELECT seq, username, email, 'password required' AS reasons FROM req WHERE password = ''
+        UNION ALL
+        SELECT v.seq, v.username, v.email, 'username or email already exists' AS reasons
+        FROM valid v, (SELECT acc FROM walk ORDER BY i DESC LIMIT 1) f
+        WHERE NOT list_contains(f.acc, v.seq)""",
     "link_build": with_catalog(f"""
         SELECT id, link, link_id,
                CASE WHEN coalesce(t, '') = '' THEN 'Không có tiêu đề' ELSE t END AS link_title,
