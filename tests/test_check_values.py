@@ -8,10 +8,19 @@ import __spark_entry__ as entry
 SF = "/root/testdata/sf0.01"
 
 
+def table_count(q, name, condition):
+    return q.spark.read.parquet(f"{SF}/{name}.parquet").filter(condition).count()
+
+
 @pytest.fixture(scope="module")
 def q(spark):
     queries = entry.queries()
-    return lambda name: queries[name](spark, SF)
+
+    def run(name):
+        return queries[name](spark, SF)
+
+    run.spark = spark
+    return run
 
 
 def test_catalog_values(q):
@@ -48,6 +57,12 @@ def test_change_values(q):
     assert unique.filter(~F.col("accepted")).count() == 73
     # Two keys: the sequential loop (simulated outside Spark) accepts 109.
     assert q("unique_insert_two_keys").filter("accepted").count() == 109
+    # Sign-ups: nation-0 customers lack a password; of the rest all but the
+    # accepted ones collide on username or e-mail.
+    rejects = q("registration_rejects")
+    assert rejects.count() == 1393
+    assert rejects.filter(F.col("reasons") == "password required").count() == \
+        table_count(q, "customer", "c_nationkey = 0")
 
 
 def test_link_and_content_values(q):
