@@ -147,3 +147,29 @@ def test_bucketed_tables_join_without_shuffle(spark, scratch):
     # bucketing: no exchange on author ids anywhere in the plan.
     assert "SortMergeJoin" in plan
     assert "hashpartitioning(author_id" not in plan and "hashpartitioning(_author_key" not in plan
+
+
+def test_broadcast_follows_the_row_count(spark):
+    books = skewed_books(spark)
+    authors = spark.range(1, 600).select(F.col("id"), F.format_string("A%d", "id").alias("full_name"),
+                                         F.lit(None).cast("string").alias("bio"),
+                                         F.lit(None).cast("date").alias("birthdate"))
+    cats = spark.range(0, 3).select(F.col("id"), F.format_string("C%d", "id").alias("name"),
+                                    F.lit(None).cast("string").alias("description"))
+    old = {k: spark.conf.get(k, None) for k in ("spark.sql.autoBroadcastJoinThreshold",
+                                                "spark.sql.adaptive.autoBroadcastJoinThreshold")}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    try:
+        # 599 authors and 3 categories fit under 1,000 rows: both broadcast.
+        small = E.enrich(books, authors, cats, broadcast_max_rows=1000)
+        plan = small._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("BroadcastHashJoin") == 2
+        # Under 100 rows only the categories fit; authors are sort-merge joined.
+        mixed = E.enrich(books, authors, cats, broadcast_max_rows=100)
+        plan = mixed._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("BroadcastHashJoin") == 1 and "SortMergeJoin" in plan
+        assert mixed.count() == small.count() == N
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
