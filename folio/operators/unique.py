@@ -15,7 +15,7 @@ round every undecided row that is first on *both* its keys is accepted -- the
 sequential loop would accept it too -- and every undecided row sharing a key
 with a newly accepted one is rejected.  The globally first undecided row is
 always accepted, so the rounds end; each round's state is checkpointed into
-the shared checkpoint folder to cut the lineage.
+the shared checkpoint folder (``spark.checkpoint.dir``) to cut the lineage.
 """
 
 from __future__ import annotations
@@ -23,7 +23,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from folio.session import require_checkpoint_dir
+import warnings
+
+from folio.session import checkpoint_dir
 
 
 def _existing_keys(existing: DataFrame | None, key: str) -> DataFrame | None:
@@ -81,9 +83,20 @@ def unique_insert_two_keys(requests: DataFrame, keys: tuple[str, str], order_col
                            existing: DataFrame | None = None, max_rounds: int | None = None) -> DataFrame:
     """``requests`` plus ``accepted`` and ``decided_round``, equal to the
     sequential one-by-one insert.  ``order_col`` must be unique (the request
-    sequence); rows with a missing key are rejected.  Needs
-    ``spark.checkpoint.dir``."""
-    require_checkpoint_dir(requests.sparkSession)
+    sequence); rows with a missing key are rejected.  Each round is cut into
+    the shared folder named by ``spark.checkpoint.dir``; a session without
+    one keeps the rounds' lineage (same results, longer plans) rather than
+    writing to a folder of its own."""
+    spark = requests.sparkSession
+    folder = checkpoint_dir(spark)
+    if folder and spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(folder)
+    if not folder:
+        warnings.warn("spark.checkpoint.dir is not set: unique-insert rounds keep their lineage", stacklevel=2)
+
+    def cut(df: DataFrame) -> DataFrame:
+        return df.checkpoint() if folder else df
+
     k1, k2 = keys
     rows = requests.select(F.col(order_col).alias("_seq"), F.col(k1).alias("_k1"), F.col(k2).alias("_k2"))
 
@@ -97,7 +110,7 @@ def unique_insert_two_keys(requests: DataFrame, keys: tuple[str, str], order_col
     rows = rows.select("_seq", "_k1", "_k2", bad.alias("_bad"))
     if existing is not None:
         # The joins against existing keys are done once, not in every round.
-        rows = rows.checkpoint()
+        rows = cut(rows)
     decided = rows.filter("_bad").select("_seq", F.lit(False).alias("accepted"), F.lit(0).alias("decided_round"))
     undecided = rows.filter(~F.col("_bad")).select("_seq", "_k1", "_k2")
 
@@ -126,7 +139,7 @@ def unique_insert_two_keys(requests: DataFrame, keys: tuple[str, str], order_col
             .when(F.col("_t1") | F.col("_t2"), F.lit("lost"))
         )
         # One checkpoint per round: every later step reads this frame.
-        round_state = marked.select("_seq", "_k1", "_k2", state.alias("_state")).checkpoint()
+        round_state = cut(marked.select("_seq", "_k1", "_k2", state.alias("_state")))
         parts.append(round_state.filter(F.col("_state").isNotNull()).select(
             "_seq", (F.col("_state") == "won").alias("accepted"), F.lit(round_no).alias("decided_round")))
         undecided = round_state.filter(F.col("_state").isNull()).select("_seq", "_k1", "_k2")
