@@ -347,6 +347,22 @@ def _normalised_sql(log: str, required: list[str], fields: dict[str, str], zero_
             FROM {log})"""
 
 
+def _walk(requests: str) -> str:
+    """The sequential definition of two-key uniqueness as a recursive step:
+    take ``requests`` (columns i, seq, username, email; i = 1..n in order)
+    one at a time, accepting a request unless its username or e-mail is
+    already taken by an accepted one."""
+    taken = "list_contains(w.used_u, r.username) OR list_contains(w.used_e, r.email)"
+    return f"""
+          SELECT CAST(0 AS BIGINT), CAST([] AS VARCHAR[]), CAST([] AS VARCHAR[]), CAST([] AS BIGINT[])
+          UNION ALL
+          SELECT r.i,
+                 CASE WHEN {taken} THEN w.used_u ELSE list_append(w.used_u, r.username) END,
+                 CASE WHEN {taken} THEN w.used_e ELSE list_append(w.used_e, r.email) END,
+                 CASE WHEN {taken} THEN w.acc ELSE list_append(w.acc, r.seq) END
+          FROM walk w JOIN {requests} r ON r.i = w.i + 1"""
+
+
 _BOOK_FIELDS = dict(C.BOOK.fields)
 _AUTHOR_FIELDS = dict(C.AUTHOR.fields)
 
@@ -434,17 +450,7 @@ ORACLE_SQL = {
                  lower(c_mktsegment) || '_' || CAST(c_nationkey AS VARCHAR) AS username,
                  'u' || CAST(CAST(floor(c_acctbal / 100) AS BIGINT) AS VARCHAR) || '@example.org' AS email
           FROM customer),
-        walk(i, used_u, used_e, acc) AS (
-          SELECT CAST(0 AS BIGINT), CAST([] AS VARCHAR[]), CAST([] AS VARCHAR[]), CAST([] AS BIGINT[])
-          UNION ALL
-          SELECT r.i,
-                 CASE WHEN list_contains(w.used_u, r.username) OR list_contains(w.used_e, r.email)
-                      THEN w.used_u ELSE list_append(w.used_u, r.username) END,
-                 CASE WHEN list_contains(w.used_u, r.username) OR list_contains(w.used_e, r.email)
-                      THEN w.used_e ELSE list_append(w.used_e, r.email) END,
-                 CASE WHEN list_contains(w.used_u, r.username) OR list_contains(w.used_e, r.email)
-                      THEN w.acc ELSE list_append(w.acc, r.seq) END
-          FROM walk w JOIN req r ON r.i = w.i + 1)
+        walk(i, used_u, used_e, acc) AS (""" + _walk("req") + """)
         SELECT r.seq, r.username, r.email, list_contains(f.acc, r.seq) AS accepted
         FROM req r, (SELECT acc FROM walk ORDER BY i DESC LIMIT 1) f""",
     "registration_rejects": """
@@ -457,17 +463,7 @@ ORACLE_SQL = {
         valid AS (
           SELECT CAST(row_number() OVER (ORDER BY seq) AS BIGINT) AS i, seq, username, email
           FROM req WHERE password <> ''),
-        walk(i, used_u, used_e, acc) AS (
-          SELECT CAST(0 AS BIGINT), CAST([] AS VARCHAR[]), CAST([] AS VARCHAR[]), CAST([] AS BIGINT[])
-          UNION ALL
-          SELECT v.i,
-                 CASE WHEN list_contains(w.used_u, v.username) OR list_contains(w.used_e, v.email)
-                      THEN w.used_u ELSE list_append(w.used_u, v.username) END,
-                 CASE WHEN list_contains(w.used_u, v.username) OR list_contains(w.used_e, v.email)
-                      THEN w.used_e ELSE list_append(w.used_e, v.email) END,
-                 CASE WHEN list_contains(w.used_u, v.username) OR list_contains(w.used_e, v.email)
-                      THEN w.acc ELSE list_append(w.acc, v.seq) END
-          FROM walk w JOIN valid v ON v.i = w.i + 1)
+        walk(i, used_u, used_e, acc) AS (""" + _walk("valid") + """)
         SELECT seq, username, email, 'password required' AS reasons FROM req WHERE password = ''
         UNION ALL
         SELECT v.seq, v.username, v.email, 'username or email already exists' AS reasons
