@@ -50,3 +50,13 @@ def crc_mod(column: str, n: int) -> Column:
 
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+
+
+def bounded_sample(rows: DataFrame, id_col: str, size: int) -> list:
+    """About ``size`` rows on the driver, chosen by a hash of their ids (all
+    rows where there are fewer).  For fitting classifiers only."""
+    total = rows.agg(F.count(F.lit(1))).first()[0]
+    cells = 1 << 30
+    part = F.pmod(F.xxhash64(F.col(id_col), F.lit(23)), F.lit(cells))
+    picked = rows if total <= size else rows.filter(part < int(cells * size / total))
+    return picked.collect()

@@ -16,9 +16,13 @@ confirmed on the full sets.  Work stays linear where copies are many:
 * equal sets are one class (a digest of the set), so copies never meet;
 * a band bucket first proposes only (smallest member, member) pairs;
 * pairs inside one component of the links found so far cannot change any
-  component; only buckets that still hold several components propose the
-  pairs between different components, thinned by size and by the one-bit
-  sketch (6 standard deviations beyond 0.75) before their sets are read.
+  component; only buckets that still hold several components are compared in
+  full, in blocks: a task multiplies the incidence matrices of two blocks of a
+  bucket's sets and returns links that join components, so the pairs are never
+  rows.
+
+The joins that move texts, sets and band keys carry a merge hint: their sides
+grow with the input, and the plan is the same at every size.
 """
 
 from __future__ import annotations
@@ -35,9 +39,11 @@ from folio.llm.textscan import chunks, mix, shingles
 SHINGLE_WORDS = 5
 BANDS, ROWS = 50, 5
 BINS = BANDS * ROWS
-BIT_WORDS = 4                   # one sketch bit per coordinate, in 64-bit words
+BLOCK_DOCS = 512                # members of a bucket compared as one block
+BLOCK_ITEMS = 400_000           # shingles of a block
+MATRIX_COLUMNS = 4096
 PERCENT = 75                    # link when 100 * intersection >= PERCENT * union
-SKETCH_SCHEMA = "doc_id long, n_shingles long, set_a long, set_b long, bands array<long>, bits array<long>"
+SKETCH_SCHEMA = "doc_id long, n_shingles long, set_a long, set_b long, bands array<long>"
 _U = np.uint64
 
 
@@ -73,19 +79,13 @@ def _band_keys(sketch: np.ndarray) -> np.ndarray:
     return key.view(np.int64)
 
 
-def _bit_words(sketch: np.ndarray) -> np.ndarray:
-    bits = np.zeros((len(sketch), BIT_WORDS * 64), np.uint8)
-    bits[:, :BINS] = mix(sketch, 5) & _U(1)
-    return np.packbits(bits, axis=1, bitorder="little").view(np.int64)
-
-
 def _sketch_batches(batches):
     for pdf in batches:
         ids, texts = pdf["doc_id"].tolist(), pdf["text"].tolist()
         for first, docs in chunks(texts):
             sets = shingles(docs, SHINGLE_WORDS)
             sketch = fast_similarity_sketch(sets)
-            keys, bits = _band_keys(sketch), _bit_words(sketch)
+            keys = _band_keys(sketch)
             sums = [(int(s.sum(dtype=_U)), int(np.bitwise_xor.reduce(mix(s, 6))) if len(s) else 0) for s in sets]
             yield pd.DataFrame({
                 "doc_id": ids[first: first + len(docs)],
@@ -93,7 +93,6 @@ def _sketch_batches(batches):
                 "set_a": np.array([a for a, _ in sums], _U).view(np.int64),
                 "set_b": np.array([b for _, b in sums], _U).view(np.int64),
                 "bands": [k if len(s) else k[:0] for k, s in zip(keys, sets)],
-                "bits": [b if len(s) else b[:0] for b, s in zip(bits, sets)],
             })
 
 
@@ -117,17 +116,76 @@ def _confirm_batches(batches):
         yield pdf.loc[keep, ["a", "b"]]
 
 
-def _confirm(pairs: DataFrame, docs: DataFrame) -> DataFrame:
+def _confirm(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The rows of ``pairs(a, b)`` whose full shingle sets are similar enough."""
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    sets = stage(docs.join(wanted, "doc_id", "left_semi").mapInPandas(_set_batches, "doc_id long, items binary"),
-                 "minhash-sets")
-    one = sets.select(F.col("doc_id").alias("a"), F.col("items").alias("items_a"))
-    two = sets.select(F.col("doc_id").alias("b"), F.col("items").alias("items_b"))
+    one = sets.select(F.col("doc_id").alias("a"), F.col("items").alias("items_a")).hint("merge")
+    two = sets.select(F.col("doc_id").alias("b"), F.col("items").alias("items_b")).hint("merge")
     return pairs.join(one, "a").join(two, "b").select("a", "b", "items_a", "items_b") \
         .mapInPandas(_confirm_batches, "a long, b long")
 
 
+def _blocks_linked(a: list[np.ndarray], b: list[np.ndarray]) -> np.ndarray:
+    """Boolean matrix: which sets of ``a`` and ``b`` are similar enough."""
+    items = np.concatenate([*a, *b])
+    row = np.repeat(np.arange(len(a) + len(b)), [len(x) for x in [*a, *b]])
+    column = np.unique(items, return_inverse=True)[1]
+    often = np.bincount(column) > 1         # others are in no intersection
+    column, row = (np.cumsum(often) - 1)[column[often[column]]], row[often[column]]
+    order = np.argsort(column, kind="stable")
+    column, row = column[order], row[order]
+    same = np.zeros((len(a), len(b)), np.float32)
+    last = int(column[-1]) + 1 if len(column) else 0
+    for low in range(0, last, MATRIX_COLUMNS):
+        s, e = np.searchsorted(column, [low, low + MATRIX_COLUMNS])
+        has = np.zeros((len(a) + len(b), MATRIX_COLUMNS), np.float32)
+        has[row[s:e], column[s:e] - low] = 1
+        same += has[: len(a)] @ has[len(a):].T
+    size = np.array([len(x) for x in a])[:, None] + np.array([len(x) for x in b])[None, :]
+    return 100 * same.astype(np.int64) >= PERCENT * (size - same.astype(np.int64))
+
+
+def _compare_blocks(pdf: pd.DataFrame) -> pd.DataFrame:
+    """Links between different components in one pair of blocks: enough of
+    them to join what the block's links join."""
+    same = pdf["one"].iloc[0] == pdf["two"].iloc[0]
+    left = pdf[pdf["block"] == pdf["one"]]
+    right = left if same else pdf[pdf["block"] == pdf["two"]]
+    sets = lambda part: [np.frombuffer(x, _U) for x in part["items"]]
+    linked = _blocks_linked(sets(left), sets(right))
+    ids, others = left["doc_id"].tolist(), right["doc_id"].tolist()
+    part, other_part = left["component"].to_numpy(), right["component"].to_numpy()
+    linked &= part[:, None] != other_part[None, :]
+    parent: dict = {}
+
+    def root(x):
+        while parent.setdefault(x, x) != x:
+            parent[x] = parent[parent[x]]
+            x = parent[x]
+        return x
+
+    out = []
+    for i in np.flatnonzero(linked.any(axis=1)):
+        for j in np.flatnonzero(linked[i]):
+            x, y = root(part[i]), root(other_part[j])
+            if x != y:
+                parent[x] = y
+                out.append((ids[i], others[j]))
+    return pd.DataFrame(out, columns=["a", "b"])
+
+
+def _links_across(open_rows: DataFrame, sets: DataFrame) -> DataFrame:
+    """(a, b) links between components within the buckets of ``open_rows(key,
+    doc_id, component, n_shingles)``."""
+    cuts = open_rows.groupBy("key").agg(F.ceil(F.greatest(
+        F.count(F.lit(1)) / BLOCK_DOCS, F.sum("n_shingles") / BLOCK_ITEMS)).cast("int").alias("cuts"))
+    placed = open_rows.join(cuts, "key").withColumn("block", F.pmod(F.xxhash64("doc_id"), "cuts").cast("int"))
+    # A block meets every block of its bucket, itself included, once.
+    met = placed.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("cuts") - 1)))
+    met = met.select("key", "doc_id", "component", "block", F.least("block", "with").alias("one"), F.greatest("block", "with").alias("two"))
+    return (met.join(sets.hint("merge"), "doc_id").groupBy("key", "one", "two")
+            .applyInPandas(_compare_blocks, "a long, b long").distinct())
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of ``docs``: doc_id, n_shingles, component_id, kept.
 
@@ -142,39 +200,31 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     linkable = sketched.filter("n_shingles > 0 and doc_id is not null")
     classes = linkable.groupBy("n_shingles", "set_a", "set_b").agg(F.min("doc_id").alias("rep"))
     member = stage(linkable.select("doc_id", "n_shingles", "set_a", "set_b").distinct()
-                   .join(classes, ["n_shingles", "set_a", "set_b"]).select("doc_id", "rep"), "minhash-classes")
+                   .join(classes.hint("merge"), ["n_shingles", "set_a", "set_b"]).select("doc_id", "n_shingles", "rep"), "minhash-classes")
     reps = member.filter("doc_id = rep").select("doc_id")
-    rep_rows = sketched.join(reps, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    rep_rows = stage(rep_rows.select("doc_id", "n_shingles", "bands", "bits"), "minhash-reps")
-
-    rows = rep_rows.select("doc_id", F.explode("bands").alias("key"))
+    rows = sketched.select("doc_id", "bands").join(reps.hint("merge"), "doc_id", "left_semi") \
+        .select("doc_id", F.explode("bands").alias("key"))
+    rows = stage(rows, "minhash-bands")
     shared = rows.groupBy("key").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")) \
         .filter("low < high").select("key", "low")
-    buckets = stage(rows.join(shared, "key"), "minhash-buckets")
+    buckets = stage(rows.join(shared.hint("merge"), "key"), "minhash-buckets")
+
+    # Links to the smallest member of each bucket.
     first = stage(buckets.filter("doc_id > low").select(F.col("low").alias("a"), F.col("doc_id").alias("b"))
                   .distinct(), "minhash-pairs")
-    links = stage(_confirm(first, texts), "minhash-links")
+    wanted = first.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
+    sets = stage(texts.join(wanted.hint("merge"), "doc_id", "left_semi").mapInPandas(_set_batches, "doc_id long, items binary")
+                 .dropDuplicates(["doc_id"]), "minhash-sets")
+    links = stage(_confirm(first, sets), "minhash-links")
     found = connected_components(links)
 
+    # Buckets that still hold several components, in full.
     named = (buckets.select("key", "doc_id").join(found.withColumnRenamed("id", "doc_id"), "doc_id", "left")
              .select("key", "doc_id", F.coalesce("component", "doc_id").alias("component")))
     mixed = named.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")) \
         .filter("x < y").select("key")
-    open_rows = stage(named.join(mixed, "key").join(rep_rows.select("doc_id", "n_shingles", "bits"), "doc_id"),
-                      "minhash-open")
-    one = open_rows.select("key", F.col("doc_id").alias("a"), F.col("component").alias("ca"),
-                           F.col("n_shingles").alias("na"), F.col("bits").alias("wa"))
-    two = open_rows.select("key", F.col("doc_id").alias("b"), F.col("component").alias("cb"),
-                           F.col("n_shingles").alias("nb"), F.col("bits").alias("wb"))
-    share = PERCENT / 100
-    agree = share + (1 - share) / 2
-    most = BINS * (1 - agree) + 6 * (BINS * agree * (1 - agree)) ** 0.5
-    differ = sum((F.bit_count(F.col("wa")[k].bitwiseXOR(F.col("wb")[k])) for k in range(BIT_WORDS)), F.lit(0))
-    fits = (F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")) \
-        & (100 * F.least("na", "nb") >= PERCENT * F.greatest("na", "nb")) & (differ <= most)
-    second = stage(one.join(two, "key").filter(fits).select("a", "b").distinct()
-                   .join(first, ["a", "b"], "left_anti"), "minhash-second")
-    more = _confirm(second, texts)
+    open_rows = stage(named.join(mixed, "key").join(member.select("doc_id", "n_shingles").distinct(), "doc_id"), "minhash-open")
+    more = _links_across(open_rows, sets)
     final = connected_components(links.select("a", "b").union(more))
 
     named = (member.join(final.withColumnRenamed("id", "rep"), "rep", "left")

@@ -7,7 +7,7 @@ OP8 = f"""
 WITH RECURSIVE w AS (SELECT doc_id, {_WORDS.format(text=_LOWER)} AS ws FROM documents),
 s AS (SELECT doc_id, list_distinct(CASE WHEN len(ws) = 0 THEN []
         WHEN len(ws) < 5 THEN [array_to_string(ws, ' ')]
-        ELSE list_transform(range(1, len(ws) - 3), i -> array_to_string(ws[i:i + 4], ' ')) END) AS items FROM w),
+        ELSE list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i:i + 4], ' ')) END) AS items FROM w),
 n AS (SELECT doc_id, CAST(len(items) AS BIGINT) AS n_shingles FROM s),
 e AS (SELECT doc_id, unnest(items) AS item FROM s),
 c AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS same
@@ -21,6 +21,41 @@ SELECT n.doc_id, n.n_shingles, m.component_id, n.doc_id = m.component_id AS kept
 FROM n JOIN (SELECT a, min(b) AS component_id FROM reach GROUP BY a) m ON m.a = n.doc_id
 """
 
+# A line goes when an equal line of 40 characters or more, or three equal lines
+# in a row that hold it, start earlier.
+OP9 = """
+WITH l AS (SELECT doc_id, generate_subscripts(parts, 1) - 1 AS i, unnest(parts) AS t
+           FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS parts FROM documents)),
+x AS (SELECT doc_id, i, t, lead(t, 1) OVER d AS t1, lead(t, 2) OVER d AS t2 FROM l
+      WINDOW d AS (PARTITION BY doc_id ORDER BY i)),
+y AS (SELECT doc_id, i, t, t2,
+             row_number() OVER (PARTITION BY t ORDER BY doc_id, i) > 1 AND length(t) >= 40 AS one,
+             t2 IS NOT NULL AND row_number() OVER (PARTITION BY t, t1, t2 ORDER BY doc_id, i) > 1 AS three FROM x),
+z AS (SELECT doc_id, i, t, one OR three OR coalesce(lag(three, 1) OVER d, false) OR coalesce(lag(three, 2) OVER d, false) AS gone
+      FROM y WINDOW d AS (PARTITION BY doc_id ORDER BY i)),
+r AS (SELECT *, gone AND NOT coalesce(lag(gone) OVER (PARTITION BY doc_id ORDER BY i), false) AS opens FROM z)
+SELECT doc_id, count(*) AS n_lines, CAST(sum(CAST(gone AS INT)) AS BIGINT) AS n_removed,
+       CAST(sum(CAST(opens AS INT)) AS BIGINT) AS n_runs,
+       md5(coalesce(string_agg(CASE WHEN NOT gone THEN t END, chr(10) ORDER BY i), '')) AS kept_md5
+FROM r GROUP BY doc_id
+"""
+
+OP1 = """
+WITH RECURSIVE v AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+l AS (SELECT x.vec_id AS a, y.vec_id AS b FROM v x JOIN v y ON x.label = y.label AND x.vec_id <> y.vec_id
+      AND len(x.e) = len(y.e) WHERE list_cosine_similarity(x.e, y.e) >= 0.93),
+reach AS (SELECT vec_id AS a, vec_id AS b FROM embeddings UNION SELECT r.a, l.b FROM reach r JOIN l ON l.a = r.b),
+c AS (SELECT a, min(b) AS component_id FROM reach GROUP BY a),
+n AS (SELECT a, count(*) AS n_links FROM l GROUP BY a)
+SELECT e.vec_id, CAST(coalesce(n.n_links, 0) AS BIGINT) AS n_links, c.component_id, e.vec_id = c.component_id AS kept
+FROM embeddings e JOIN c ON c.a = e.vec_id LEFT JOIN n ON n.a = e.vec_id
+"""
+
 ORACLE_SQL = {
+    "op1_embedding_near_dedup": OP1,
     "op8_minhash_near_dedup": OP8,
+    "op9_line_runs": OP9,
 }

@@ -6,16 +6,81 @@ production parameters and derives the contract's columns.
 
 from __future__ import annotations
 
-from folio.llm import minhash
-from folio.llm.common import documents
+import public_tokenizers
+from pyspark.sql import functions as F
+
+from folio.llm import embeddings, language, line_runs, main_text, minhash, mixing, packing, piecewise, suffix_runs, toxicity
+from folio.llm.common import crc_mod, documents
 from folio.llm.oracles import ORACLE_SQL  # noqa: F401  (re-exported)
 
 
+def op5_main_text(spark, sf_dir):
+    """Main text of all pages."""
+    return main_text.extract(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
+def op6_piecewise_fingerprint(spark, sf_dir):
+    """Fingerprints of all documents, their edited texts and their neighbours."""
+    return piecewise.fingerprint_neighbours(documents(spark, sf_dir))
+
+
+def op7_suffix_dedup(spark, sf_dir):
+    """What is left of all documents without repeated 400-byte strings."""
+    return suffix_runs.remove_repeated_strings(documents(spark, sf_dir)).drop("kept")
+
+
 def op8_minhash_near_dedup(spark, sf_dir):
     """Near-duplicate components of all documents."""
     return minhash.near_duplicates(documents(spark, sf_dir))
 
 
+def op1_embedding_near_dedup(spark, sf_dir):
+    """Links and components of all embeddings."""
+    return embeddings.near_duplicates(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+def op2_mixture_packing(spark, sf_dir):
+    """Pieces of all documents in windows of 1024 tokens."""
+    return packing.pack(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.tiktoken"))
+
+
+def op3_toxicity(spark, sf_dir):
+    """Toxicity of every document; learned from ids whose crc32 mod 5 is not 0."""
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    model = toxicity.train(docs, labels, learn=crc_mod("doc_id", 5) != 0)
+    held = F.coalesce(crc_mod("doc_id", 5) == 0, F.lit(False))
+    return toxicity.predict(docs, model).select("doc_id", held.alias("held_out"), "score", "predicted")
+
+
+def op4_language_id(spark, sf_dir):
+    """Language of every document; learned from ids whose crc32 mod 3 is not 1."""
+    docs = documents(spark, sf_dir)
+    model = language.train(docs, learn=crc_mod("doc_id", 3) != 1)
+    held = F.coalesce(crc_mod("doc_id", 3) == 1, F.lit(False))
+    return language.predict(docs.select("doc_id", "text"), model).select("doc_id", held.alias("held_out"), "lang_pred", "score")
+
+
+def op9_line_runs(spark, sf_dir):
+    """Line counts and the digest of what is left of every document."""
+    out = line_runs.remove_repeated_runs(documents(spark, sf_dir).select("doc_id", "text"))
+    return out.select("doc_id", "n_lines", "n_removed", "n_runs", F.md5(F.coalesce("text", F.lit(""))).alias("kept_md5"))
+
+
+def op10_mix_sources(spark, sf_dir):
+    """Words that the mix takes of every document."""
+    return mixing.taken_words(documents(spark, sf_dir))
+
+
 QUERIES = {
+    "op1_embedding_near_dedup": op1_embedding_near_dedup,
+    "op2_mixture_packing": op2_mixture_packing,
+    "op3_toxicity": op3_toxicity,
+    "op4_language_id": op4_language_id,
+    "op5_main_text": op5_main_text,
+    "op6_piecewise_fingerprint": op6_piecewise_fingerprint,
+    "op7_suffix_dedup": op7_suffix_dedup,
     "op8_minhash_near_dedup": op8_minhash_near_dedup,
+    "op9_line_runs": op9_line_runs,
+    "op10_mix_sources": op10_mix_sources,
 }
