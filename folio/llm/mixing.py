@@ -111,8 +111,8 @@ def schedule(plan: DataFrame, block: int) -> DataFrame:
               .select("slot", "_source", (F.col("_base") + F.col("_k")).alias("rank"), "goal", "need").filter("rank < need"))
     have = counts.groupBy("_source").agg(F.sum("_n").alias("_n"))
     short = (plan.join(have, "_source", "left").withColumn("_n", F.coalesce("_n", F.lit(0))).filter("_n < need")
-             .select((F.lit(slots) + F.explode(F.sequence("_n", F.col("need") - 1))).alias("slot"), "_source", "goal", "need", "_n"))
-    short = short.select("slot", "_source", (F.col("slot") - slots).alias("rank"), "goal", "need")
+             .select(F.explode(F.sequence("_n", F.col("need") - 1)).alias("rank"), "_source", "goal", "need"))
+    short = short.select((F.col("rank") + slots).alias("slot"), "_source", "rank", "goal", "need")
     words = F.least(F.lit(block), F.col("goal") - F.col("rank") * block)
     return ranked.union(short).select("slot", "_source", "rank", words.cast("long").alias("words"))
 

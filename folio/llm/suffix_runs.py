@@ -289,22 +289,22 @@ def repeated_offsets(lefts: list[bytes], rights: list[bytes], lcps: list[int], l
 
 # -- the job ------------------------------------------------------------------
 
-_HEAD = struct.Struct("<HHHqqb")            # prefix, rest, left, document, position, alone
+_HEAD = "<HHHqqb"                            # prefix, rest, left, document, position, alone
 
 
 def _encode_run(entries: list[tuple[bytes, bytes, int, int, int]]) -> bytes:
     """A sorted run of (suffix, left, document, position, alone), front-coded."""
     out = []
     for (k, rest), (_, left, doc, pos, alone) in zip(front_code([e[0] for e in entries]), entries):
-        out += [_HEAD.pack(k, len(rest), len(left), doc, pos, alone), rest, left]
+        out += [struct.pack(_HEAD, k, len(rest), len(left), doc, pos, alone), rest, left]
     return b"".join(out)
 
 
 def _decode_run(data: bytes) -> list[tuple[int, bytes, tuple]]:
     out, at = [], 0
     while at < len(data):
-        k, n, m, doc, pos, alone = _HEAD.unpack_from(data, at)
-        at += _HEAD.size
+        k, n, m, doc, pos, alone = struct.unpack_from(_HEAD, data, at)
+        at += struct.calcsize(_HEAD)
         out.append((k, data[at: at + n], (data[at + n: at + n + m], doc, pos, alone)))
         at += n + m
     return out

@@ -42,7 +42,7 @@ DECAY = 0.6
 CLASSES = 64                    # letter classes; a..z and what else hashes to
 ROUNDS = 4                      # choices of the sentences' units
 NEGATIVES = 5000                # frequent clean words, and as many of the rest
-PENALTY = 20.0
+PENALTY = 0.2
 MIN_SUPPORT = 3                 # toxic documents a word needs to be a first guess
 CHUNK_CHARS = 1_000_000
 END = b"\xfe\xfe"
@@ -239,7 +239,8 @@ def fit(texts: list[str], labels: list[int]) -> ToxicityModel:
     negatives = common[:NEGATIVES] + common[NEGATIVES:: max(1, len(common) // NEGATIVES)]
     negatives = list(dict.fromkeys(negatives))
     z_neg = _against(as_codes(negatives), landmarks) @ root.astype(np.float32)
-    chosen = Counter(u for units, t in zip(sentences, toxic) if t for u in set(units) & set(first))
+    sure = Counter(u for units, t in zip(sentences, toxic) if t for u in set(units) & set(first))
+    chosen = sure
     weights, bias = np.zeros(CLASSES ** 3), 0.0
     for _ in range(ROUNDS):
         names = sorted(chosen)
@@ -247,7 +248,7 @@ def fit(texts: list[str], labels: list[int]) -> ToxicityModel:
         y = np.concatenate((np.ones(len(names)), -np.ones(len(negatives))))
         heavy = np.array([chosen[u] for u in names], float)
         light = np.sqrt([clean[u] for u in negatives])
-        cost = PENALTY * np.concatenate((np.sqrt(heavy), light)) / 100
+        cost = PENALTY * np.concatenate((np.sqrt(heavy), light))
         w, bias = _svm(z, y, cost)
         weights = folded(w)
         every = sorted(guess)
@@ -258,10 +259,9 @@ def fit(texts: list[str], labels: list[int]) -> ToxicityModel:
             if t:
                 best = max(units, key=lambda u: (margin[u], u))
                 # A unit that clean documents hold as often is no witness.
-                if margin[best] > 0 and excess(best) > 0.5:
+                if margin[best] > 0 and excess(best) > 2:
                     chosen[best] += 1
-        if not chosen:
-            break
+        chosen |= sure
     table[0] = 255
     model = ToxicityModel(weights, bias, np.zeros(4))
     x = np.array([model.facts(t, table) for t in texts])
