@@ -78,15 +78,20 @@ class Scanner:
     def anchors(self, docs: list[bytes]):
         """Batches of (document, position, gram digest, context digest, bytes
         of context before, behind)."""
-        held, size = [], 0
-        for part in self._parts(docs):
+        held, size, known = [], 0, np.zeros(0, np.int64)
+        parts = list(self._parts(docs))
+        for k, part in enumerate(parts):
             held.append(part)
             size += part[2] - part[1]
-            if size >= BLOCK:
-                yield self._scan(docs, held)
-                held, size = [], 0
-        if held:
-            yield self._scan(docs, held)
+            if size < BLOCK and k + 1 < len(parts):
+                continue
+            found = self._scan(docs, held)
+            # Parts of a document overlap: an anchor counts once.
+            keys, first = np.unique(found[0] * (1 << 40) + found[1], return_index=True)
+            first = first[~np.isin(keys, known)]
+            known = keys[keys >> 40 == part[0]]
+            yield tuple(x[first] for x in found)
+            held, size = [], 0
 
     def _digests(self, buf: np.ndarray):
         tables = self._tables(len(buf) + 1)
@@ -264,7 +269,8 @@ def repeated_offsets(lefts: list[bytes], rights: list[bytes], lcps: list[int], l
         by = np.lexsort((rank, group))
         g, k = group[by], rank[by]
         same = g[1:] == g[:-1]
-        common = np.where(same, left_common(k[:-1], k[1:]), -1)
+        common = np.full(n - 1, -1, np.int64)
+        common[same] = left_common(k[:-1][same], k[1:][same])
         best = np.full(n, -1, np.int64)
         best[by[1:]] = common
         best[by[:-1]] = np.maximum(best[by[:-1]], common)

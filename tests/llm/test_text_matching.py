@@ -84,7 +84,7 @@ def test_scanner_blocks_give_the_same_anchors(monkeypatch):
 
     whole = found()
     monkeypatch.setattr(suffix_runs, "BLOCK", 1 << 11)
-    assert sorted(set(found())) == whole
+    assert found() == whole
 
 
 def test_suffix_odd_rows(spark):
