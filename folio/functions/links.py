@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -42,10 +44,14 @@ def reader_link(id_col: Column | str, title_col: Column | str) -> Column:
 
 def query_param(url: Column | str, name: str) -> Column:
     """First value of a query parameter, form-decoded (``+`` is a space);
-    null when absent or when the URL is malformed (never an error).  Like
-    ``URLSearchParams``, a value with a bad ``%`` escape is kept as text."""
-    raw = F.try_parse_url(_col(url), F.lit("QUERY"), F.lit(name))
-    return F.coalesce(F.try_url_decode(raw), F.replace(raw, F.lit("+"), F.lit(" ")))
+    null when absent (never an error).  Like ``URLSearchParams``, any text
+    after the first ``?`` up to a ``#`` is the query, and a ``%`` that starts no
+    escape is kept as text."""
+    query = F.regexp_extract(_col(url), r"^[^?#]*\?([^#]*)", 1)
+    pair = rf"(?:^|&){re.escape(name)}(?:=([^&]*))?(?=&|$)"
+    raw = F.when(query.rlike(pair), F.regexp_extract(query, pair, 1))
+    # Escapes that are none are kept: their percent sign stands for itself.
+    return F.try_url_decode(F.regexp_replace(raw, "%(?![0-9A-Fa-f]{2})", "%25"))
 
 
 def link_fields(url: Column | str) -> dict[str, Column]:

@@ -11,8 +11,8 @@ new version of each table in one pass of joins and aggregates:
 * an update or delete of an unknown id is a silent no-op;
 * inserts get new ids after the largest id, in request order.
 
-Per-id work is an aggregate (``max_by`` / ``max``), so a hot id collapses to
-one row per map task before the shuffle.
+Per-id work is a hash aggregate (``max`` of the sequence numbers), so a hot id
+collapses to one row per map task before the shuffle.
 """
 
 from __future__ import annotations
@@ -24,7 +24,9 @@ from pyspark.sql import functions as F
 
 from folio.functions import values as V
 from folio.operators.numbering import assign_ids
-from folio.sources.json_io import parse_object
+from folio.session import shared_checkpoint_dir
+from folio.operators.joins import checked_broadcast
+from folio.sources.json_io import member, object_entries, parse_whole
 
 
 @dataclass(frozen=True)
@@ -60,6 +62,11 @@ ENTITIES = {spec.name: spec for spec in (BOOK, AUTHOR, CATEGORY)}
 OPS = ("insert", "update", "delete")
 
 
+def _given(text: Column, type_name: str) -> Column:
+    """A blank date says nothing (D7); other blanks are values."""
+    return V.blank_to_null(text) if type_name == "date" else text
+
+
 def _typed(text: Column, type_name: str) -> Column:
     if type_name == "string":
         return text
@@ -74,21 +81,20 @@ def normalise_changes(changes: DataFrame, spec: EntitySpec) -> DataFrame:
     Returns ``seq, op, id, <fields>, reasons`` where ``reasons`` is null for
     an accepted change and lists every problem otherwise (malformed body,
     missing required key, value of the wrong type, missing id).  The body is
-    parsed once for its key list and once for its values; every other
-    expression reads those results and stays in generated code.
+    parsed once: the members it yields stand behind a generator, which no
+    later filter is pushed through.
     """
     rows = changes.filter(F.col("entity") == spec.name)
     names = list(spec.fields)
-    parsed = rows.select(
-        "seq", "op", F.col("id").cast("bigint").alias("id"),
-        F.json_object_keys("body").alias("_keys"),
-        parse_object("body", names).alias("_b"),
-    )
-    present = parsed.select(
-        "seq", "op", "id",
-        F.col("_keys").isNotNull().alias("_is_obj"),
-        *[F.coalesce(F.array_contains("_keys", F.lit(k)), F.lit(False)).alias(f"_has_{k}") for k in names],
-        *[F.col("_b")[k].alias(f"_t_{k}") for k in names],
+    parsed = rows.select("seq", "op", F.col("id").cast("bigint").alias("id"),
+                         F.inline(F.array(F.struct(parse_whole("body").alias("_parsed")))))
+    parsed = parsed.select("seq", "op", "id", object_entries(F.col("_parsed")).alias("_entries"))
+    entries = F.col("_entries")
+    members = [member(entries, k).alias(f"_m_{k}") for k in names]
+    present = parsed.select("seq", "op", "id", entries.isNotNull().alias("_is_obj"), *members).select(
+        "seq", "op", "id", "_is_obj",
+        *[F.col(f"_m_{k}").isNotNull().alias(f"_has_{k}") for k in names],
+        *[_given(F.col(f"_m_{k}")["value"], t).alias(f"_t_{k}") for k, t in spec.fields.items()],
     )
     typed = present.select(
         "*", *[_typed(F.col(f"_t_{k}"), t).alias(f"_v_{k}") for k, t in spec.fields.items()]
@@ -126,18 +132,23 @@ def route_op(editing_id: Column | str) -> Column:
     return V.editing_route(editing_id)
 
 
-def last_per_key(df: DataFrame, key: str, order_col: str, columns: list[str]) -> DataFrame:
-    """The row with the largest ``order_col`` per ``key`` (an aggregate:
-    map-side partial ``max_by`` collapses a hot key before the shuffle)."""
-    packed = F.struct(*[F.col(c) for c in [order_col, *columns]])
-    last = df.groupBy(key).agg(F.max_by(packed, F.col(order_col)).alias("_last"))
-    return last.select(key, *[F.col("_last")[c].alias(c) for c in [order_col, *columns]])
+def last_per_key(df: DataFrame, key: str, order_cols: list[str], columns: list[str]) -> DataFrame:
+    """The row that is largest by ``order_cols`` per ``key``.
+
+    ``order_cols`` together are unique per key and not null.  Each is a hash
+    aggregate (``max``; a hot key leaves a map task as one row), joined back.
+    """
+    last = df.select(key, *order_cols, *columns)
+    for c in order_cols:
+        top = last.groupBy(F.col(key).alias("_key")).agg(F.max(c).alias("_top"))
+        last = last.join(top, (F.col(key) == F.col("_key")) & (F.col(c) == F.col("_top"))).drop("_key", "_top")
+    return last
 
 
 def delete_by_key(base: DataFrame, keys: DataFrame, key: str = "id") -> DataFrame:
     """Drop base rows whose key is listed; unknown keys do nothing."""
     ids = keys.select(F.col(key)).where(F.col(key).isNotNull()).distinct()
-    return base.join(ids, key, "left_anti")
+    return base.join(checked_broadcast(ids, measured=keys), key, "left_anti")
 
 
 def replace_by_key(base: DataFrame, updates: DataFrame, key: str = "id",
@@ -150,7 +161,7 @@ def replace_by_key(base: DataFrame, updates: DataFrame, key: str = "id",
     cols = [c for c in base.columns if c != key]
     upd = updates.select(F.col(key).alias("_ukey"), *[F.col(c).alias(f"_u_{c}") for c in cols],
                          F.lit(True).alias("_matched"))
-    joined = base.join(upd, base[key] == upd["_ukey"], "left")
+    joined = base.join(checked_broadcast(upd), base[key] == upd["_ukey"], "left")
     matched = F.coalesce(F.col("_matched"), F.lit(False))
     out = [base[key]] + [F.when(matched, F.col(f"_u_{c}")).otherwise(base[c]).alias(c) for c in cols]
     if flag:
@@ -166,32 +177,33 @@ def insert_rows(base: DataFrame, new_rows: DataFrame, order_col: str, key: str =
 
 
 def apply_changes(base: DataFrame, accepted: DataFrame, spec: EntitySpec,
-                  with_status: bool = False, seq_bounds: tuple | None = None,
-                  start_after: int | None = None) -> DataFrame:
+                  with_status: bool = False, start_after: int | None = None) -> DataFrame:
     """Fold accepted, normalised changes of one entity into ``base``.
 
-    ``accepted`` has ``seq, op, id`` and the entity's fields.  With
-    ``with_status`` the result keeps ``_created_seq`` and an ``updated`` flag.
-    ``seq_bounds`` (min, max of the log's seq) saves a pass over the log when
-    numbering inserts; ``start_after`` (the base's largest id, when known)
+    ``accepted`` has ``seq, op, id`` and the entity's fields; ``seq`` is
+    unique.  With ``with_status`` the result keeps ``_created_seq`` and an
+    ``updated`` flag.  ``start_after`` (the base's largest id, when known)
     saves a pass over the base.
     """
     key = spec.key
     fields = list(spec.fields)
     base_cols = [key, *fields]
+    current = base.select(*base_cols, F.lit(None).cast("long").alias("_created_seq"))
     inserts = accepted.filter(F.col("op") == "insert").select("seq", *fields)
-    created = assign_ids(inserts, base, "seq", key, start_after=start_after, bounds=seq_bounds).select(
-        key, *fields, F.col("seq").alias("_created_seq"))
-    current = base.select(*base_cols, F.lit(None).cast("long").alias("_created_seq")).unionByName(created)
+    if not inserts.isEmpty():
+        created = assign_ids(inserts, base, "seq", key, start_after=start_after)
+        current = current.unionByName(created.select(key, *fields, F.col("seq").alias("_created_seq")))
 
+    # Per id the last delete and the last update (hash aggregates), then the
+    # values of that update by its sequence number.
     mods = accepted.filter(F.col("op").isin("update", "delete"))
-    per_id = mods.groupBy("id").agg(
+    last = mods.groupBy(F.col("id").alias("_mod_key")).agg(
         F.max(F.when(F.col("op") == "delete", F.col("seq"))).alias("_deleted_seq"),
-        F.max_by(F.struct(F.col("seq"), *[F.col(c) for c in fields]),
-                 F.when(F.col("op") == "update", F.col("seq"))).alias("_upd"),
-    ).withColumnRenamed("id", "_mod_key")
+        F.max(F.when(F.col("op") == "update", F.col("seq"))).alias("_upd_seq"))
+    values = mods.filter(F.col("op") == "update").select(F.col("seq").alias("_value_seq"), F.struct("seq", *fields).alias("_upd"))
+    per_id = last.join(values, last["_upd_seq"] == values["_value_seq"], "left").drop("_upd_seq", "_value_seq")
 
-    joined = current.join(per_id, current[key] == per_id["_mod_key"], "left")
+    joined = current.join(checked_broadcast(per_id, measured=mods), current[key] == per_id["_mod_key"], "left")
 
     def after_creation(seq):
         # A change counts only if it comes after the row exists: base rows
@@ -223,15 +235,19 @@ def apply_change_log(tables: dict[str, DataFrame], changes: DataFrame) -> tuple[
     """Dispatch a mixed log to each entity's table.
 
     Returns the new version of every table in ``tables`` and all rejected
-    changes (``entity, seq, op, id, reasons``).
+    changes (``entity, seq, op, id, reasons``).  Each entity's normalised log
+    is checkpointed, so bodies are parsed once for the fold and the rejects.
     """
-    seq_bounds = changes.agg(F.min("seq"), F.max("seq")).first()
+    shared_checkpoint_dir(changes.sparkSession)
     new_tables = {}
+    rejected = changes.filter(~F.col("entity").isin(*tables)).select(
+        "entity", "seq", "op", F.col("id").cast("bigint").alias("id"), F.lit("unknown entity").alias("reasons"))
     for name, base in tables.items():
         spec = ENTITIES[name]
-        ok, _ = split_changes(normalise_changes(changes, spec))
-        new_tables[name] = apply_changes(base, ok, spec, seq_bounds=tuple(seq_bounds))
-    return new_tables, reject_changes(changes, list(tables))
+        ok, bad = split_changes(normalise_changes(changes, spec).checkpoint())
+        new_tables[name] = apply_changes(base, ok, spec)
+        rejected = rejected.unionByName(bad.select(F.lit(name).alias("entity"), "seq", "op", "id", "reasons"))
+    return new_tables, rejected
 
 
 def with_default_role(users: DataFrame, role_col: str = "role") -> DataFrame:

@@ -24,46 +24,19 @@ def broadcast_max_rows(df: DataFrame) -> int:
     return int(value) if value else DEFAULT_BROADCAST_MAX_ROWS
 
 
-# Size facts already established in this process, keyed by the frame's plan,
-# its input files and the limit.  Only file-backed frames are remembered:
-# files are immutable (new versions are new folders), so a fact stays true for
-# the same key, while a JDBC table may change under the same plan.
-_SIZE_FACTS: dict[tuple, bool] = {}
-MAX_REMEMBERED = 10_000
-
-
-def _fact_key(df: DataFrame, max_rows: int) -> tuple | None:
-    try:
-        files = df.inputFiles()
-    except Exception:  # noqa: BLE001 -- no file listing: never remembered
-        return None
-    if not files:
-        return None
-    return (df.semanticHash(), tuple(sorted(files)), max_rows)
-
-
 def have_at_most(frames: list[DataFrame], max_rows: int) -> list[bool]:
     """For each frame, True when it holds at most ``max_rows`` rows.
 
-    All frames not yet known are checked in one job: each is cut to
-    ``max_rows + 1`` rows (scan tasks stop there) and counted by tag.
+    All frames are counted in one job by a partial count (one row per task
+    and frame reaches the driver's side); nothing is remembered between calls,
+    so a table that has grown is seen to have grown.
     """
-    keys = [_fact_key(df, max_rows) for df in frames]
-    known = {i: _SIZE_FACTS[k] for i, k in enumerate(keys) if k is not None and k in _SIZE_FACTS}
-    todo = [i for i in range(len(frames)) if i not in known]
-    if todo:
-        parts = [frames[i].limit(max_rows + 1).select(F.lit(i).alias("_frame")) for i in todo]
-        union = parts[0]
-        for p in parts[1:]:
-            union = union.unionByName(p)
-        counts = {r["_frame"]: r["count"] for r in union.groupBy("_frame").count().collect()}
-        if len(_SIZE_FACTS) > MAX_REMEMBERED:
-            _SIZE_FACTS.clear()
-        for i in todo:
-            known[i] = counts.get(i, 0) <= max_rows
-            if keys[i] is not None:
-                _SIZE_FACTS[keys[i]] = known[i]
-    return [known[i] for i in range(len(frames))]
+    union = None
+    for i, df in enumerate(frames):
+        one = df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(i).alias("frame"), "n")
+        union = one if union is None else union.unionByName(one)
+    counts = {r["frame"]: r["n"] for r in union.collect()}
+    return [counts[i] <= max_rows for i in range(len(frames))]
 
 
 def has_at_most(df: DataFrame, max_rows: int) -> bool:
@@ -75,9 +48,8 @@ def checked_broadcast(df: DataFrame, max_rows: int | None = None, measured: Data
     """``broadcast(df)`` when its size is proven small, else ``df`` unchanged.
 
     ``measured`` is a frame with at least as many rows as ``df`` that is
-    cheaper to count -- e.g. the dimension's projected scan before a
-    de-duplicating aggregate, where each task can stop after ``max_rows + 1``
-    rows instead of finishing the aggregate.
+    cheaper to count -- e.g. the dimension's scan before a de-duplicating
+    aggregate.
     """
     limit = broadcast_max_rows(df) if max_rows is None else max_rows
     if limit > 0 and has_at_most(measured if measured is not None else df, limit):

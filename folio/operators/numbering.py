@@ -1,240 +1,24 @@
 """Dense row numbering (W1) and new-id assignment (D1) without a global window.
 
-``row_number().over(Window.orderBy(k))`` sends every row to one task.  Here the
-order key is cut into buckets by a pure function of the key, so every pass of
-the plan sees the same buckets:
-
-1. one aggregate finds the row count, min and max of the key, and a bounded
-   random sample of keys (at most ~32 per coarse bucket) gives the coarse
-   edges on the driver -- they become literals of the plan, so the counting
-   pass and the numbering pass cut identically;
-2. a branchless binary search over the edge array (one small projection per
-   step, log2(edges) steps) gives a coarse bucket holding about
-   ``1/65`` of the rows however the keys cluster; each coarse range is then
-   split into equal-width sub-buckets, so evenly spread keys (ids) land in
-   ``buckets`` about equal buckets and clustered keys in at worst ``1/65``;
-3. rows are counted per bucket -- the shuffle carries one row per bucket and
-   map task -- and a running sum over those counts gives each bucket's
-   offset (the offsets table has one row per bucket: a proven bound);
-4. rows are numbered inside their bucket (a window partitioned by bucket,
-   which spills if large) and shifted by the bucket's offset.
-
-Ties: a key value that fills a bucket's share of the sample gets a bucket
-of its own, and its rows are spread over many sub-buckets by a hash of the
-row -- tied rows may be numbered in any order, so a value holding a third of
-the rows is still numbered by many tasks.  With ``tie_breakers`` the ties are
-ordered and stay together.
+``row_number().over(Window.orderBy(k))`` sends every row to one task.  Here
+Spark's own range partitioning deals the rows out by the order key -- and, for
+equal keys, by the tie-breakers and a hash of the row, so that a key value
+holding a third of the rows is cut like any other stretch of the order.  Each
+partition is sorted, every row gets its place in its partition, and the result
+is checkpointed into the cluster's shared folder.  Counting the rows of each
+partition gives its offset (one row per partition), and number = offset +
+place.  Works for every type Spark can order.
 """
 
 from __future__ import annotations
 
-import math
-from collections import Counter
-
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
-from folio.operators.joins import MAX_REMEMBERED, checked_broadcast
-
-DEFAULT_BUCKETS_PER_PARTITION = 64
-MIN_BUCKETS = 256
-# Quantile edges are plan literals; 64 keeps the plan small and the search at
-# six steps.  Each quantile range is further cut into equal-width buckets.
-MAX_EDGES = 64
-SAMPLE_PER_EDGE = 32
-# Rows of a hot key value (ties in arbitrary order) are spread over this many
-# sub-buckets by a hash of the row; at most MAX_HOT values are treated so.
-HOT_SALTS = 256
-MAX_HOT = 32
-
-
-def _bucket_count(df: DataFrame, buckets: int | None) -> int:
-    if buckets:
-        return buckets
-    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
-    return max(MIN_BUCKETS, partitions * DEFAULT_BUCKETS_PER_PARTITION)
-
-
-def _numeric_key(df: DataFrame, order_col: str) -> tuple[Column, bool]:
-    """The order key as a number with the same order, and whether it is integral."""
-    field = df.schema[order_col].dataType
-    c = F.col(order_col)
-    if isinstance(field, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
-        return c.cast("long"), True
-    if isinstance(field, T.DateType):
-        return F.unix_date(c).cast("long"), True
-    if isinstance(field, (T.TimestampType, T.TimestampNTZType)):
-        return F.unix_micros(c.cast("timestamp")), True
-    if isinstance(field, (T.FloatType, T.DoubleType, T.DecimalType)):
-        return c.cast("double"), False
-    raise TypeError(f"numbering needs a numeric or time order key, got {field}")
-
-
-def _array_literal(values: list, integral: bool) -> Column:
-    """A constant array built from one SQL literal (one call, not one per value)."""
-    if integral:
-        body = ", ".join(f"{int(v)}L" for v in values)
-        return F.expr(f"array({body})") if values else F.expr("CAST(array() AS ARRAY<BIGINT>)")
-    body = ", ".join(f"CAST('{float(v)!r}' AS DOUBLE)" for v in values)
-    return F.expr(f"array({body})") if values else F.expr("CAST(array() AS ARRAY<DOUBLE>)")
-
-
-def _edges(df: DataFrame, key: Column, n_edges: int, integral: bool) -> tuple:
-    """(min, max, sorted coarse edges, hot values) of the key from one
-    aggregate and one bounded sample.  A value is hot when it fills at least
-    one bucket's share of the sample; each hot value gets a bucket of its own
-    (edges at the value and just above it)."""
-    rows, lo, hi = df.agg(F.count(key), F.min(key), F.max(key)).first()
-    if not rows or n_edges <= 0:
-        return lo, hi, [], []
-    target = n_edges * SAMPLE_PER_EDGE
-    fraction = min(1.0, target / rows)
-    # The sample is expected to hold ``target`` keys; the limit makes that a
-    # hard bound on what reaches the driver.
-    sample = sorted(r[0] for r in df.select(key.alias("_k")).where("_k IS NOT NULL")
-                    .sample(fraction=fraction, seed=17).limit(4 * target).collect())
-    if not sample:
-        return lo, hi, [], []
-    picks = {sample[min(len(sample) - 1, (i * len(sample)) // (n_edges + 1))] for i in range(1, n_edges + 1)}
-    share = max(2, len(sample) // (n_edges + 1))
-    hot = sorted(v for v, n in Counter(sample).items() if n >= share)[:MAX_HOT]
-    for v in hot:
-        picks.add(v)
-        picks.add(v + 1 if integral else math.nextafter(v, math.inf))
-    return lo, hi, sorted(v for v in picks if lo < v <= hi), hot
-
-
-# Bucket constants already found for a frame, keyed by its plan, its input
-# files and the parameters.  Files are immutable (new versions are new
-# folders), so the constants stay valid; frames without files are not kept.
-_SPECS: dict[tuple, dict] = {}
-
 
-def _spec_key(df: DataFrame, *params) -> tuple | None:
-    try:
-        files = df.inputFiles()
-    except Exception:  # noqa: BLE001 -- no file listing: never remembered
-        return None
-    return (df.semanticHash(), tuple(sorted(files)), *params) if files else None
+from folio.session import shared_checkpoint_dir
 
-
-def _bucket_spec(df: DataFrame, order_col: str, buckets: int, bounds: tuple | None = None,
-                 salt_ties: bool = True) -> dict:
-    """The constants of the bucket function (found once per input, on the driver)."""
-    memo = _spec_key(df, order_col, buckets, bounds, salt_ties) if bounds is None else None
-    if memo is not None and memo in _SPECS:
-        return _SPECS[memo]
-    spec = _find_spec(df, order_col, buckets, bounds, salt_ties)
-    if memo is not None:
-        if len(_SPECS) > MAX_REMEMBERED:
-            _SPECS.clear()
-        _SPECS[memo] = spec
-    return spec
-
-
-def _find_spec(df: DataFrame, order_col: str, buckets: int, bounds: tuple | None, salt_ties: bool) -> dict:
-    key, integral = _numeric_key(df, order_col)
-    hot: list = []
-    if bounds is not None:
-        lo, hi, edges = bounds[0], bounds[1], []
-    else:
-        lo, hi, edges, hot = _edges(df, key, min(MAX_EDGES, max(0, buckets - 1)), integral)
-    spec = {"integral": integral, "lo": lo, "edges": edges, "hot": hot if salt_ties else []}
-    if lo is None:
-        return spec
-    sub = max(1, buckets // (len(edges) + 1))
-    starts = [lo] + edges
-    ends = edges + [hi + 1 if integral else hi]
-    if integral:
-        widths = [max(1, math.ceil((e - b) / sub)) for b, e in zip(starts, ends)]
-    else:
-        widths = [((e - b) / sub) if e > b else 1.0 for b, e in zip(starts, ends)]
-    spec.update(sub=sub, starts=starts, widths=widths)
-    return spec
-
-
-def _apply_bucket(df: DataFrame, order_col: str, spec: dict) -> DataFrame:
-    """``df`` plus ``_bucket`` computed with ``spec`` (any frame holding the key)."""
-    if spec["lo"] is None:
-        return df.withColumn("_bucket", F.lit(-1).cast("long"))
-    key, integral = _numeric_key(df, order_col)
-    cast = int if integral else float
-    edges, sub = spec["edges"], spec["sub"]
-    # The edge, start and width arrays are plan constants; they are added once
-    # as columns so the expression trees of the search steps stay small.
-    out = df.select(
-        "*", key.alias("_key"), F.lit(0).alias("_coarse"),
-        _array_literal(spec["starts"], integral).alias("_starts"),
-        _array_literal(spec["widths"], integral).alias("_widths"),
-    )
-    if edges:
-        # Branchless binary search: after the steps, _coarse = number of
-        # edges <= key.  A probe never exceeds 2 * size, and the array is
-        # padded that far, so no index is ever out of range.
-        size = 1 << max(0, (len(edges) - 1).bit_length())
-        pad = [cast(v) for v in edges] + [cast(edges[-1])] * (2 * size - len(edges))
-        out = out.withColumn("_edges", _array_literal(pad, integral))
-        step = size
-        while step >= 1:
-            probe = F.col("_coarse") + F.lit(step)
-            hit = (probe <= F.lit(len(edges))) & (F.element_at(F.col("_edges"), probe) <= F.col("_key"))
-            out = out.withColumn("_coarse", F.col("_coarse") + F.when(hit, F.lit(step)).otherwise(F.lit(0)))
-            step //= 2
-        out = out.drop("_edges")
-    start = F.element_at(F.col("_starts"), F.col("_coarse") + 1)
-    width = F.element_at(F.col("_widths"), F.col("_coarse") + 1)
-    # Clamped at both ends, the bucket never decreases as the key grows, even
-    # for keys outside the range the constants were found on.
-    fine = F.least(F.greatest(F.floor((F.col("_key") - start) / width), F.lit(0)), F.lit(sub - 1))
-    bucket = F.col("_coarse").cast("long") * F.lit(sub) + fine.cast("long")
-    if spec["hot"]:
-        hashable = [F.col(f.name) for f in df.schema.fields if not isinstance(f.dataType, T.MapType)]
-        salt = F.when(F.col("_key").isin([cast(v) for v in spec["hot"]]),
-                      F.pmod(F.xxhash64(*hashable), F.lit(HOT_SALTS))).otherwise(F.lit(0))
-        bucket = bucket * F.lit(HOT_SALTS) + salt
-    # Nulls sort first, as in an ascending Spark sort.
-    bucket = F.when(F.col("_key").isNull(), F.lit(-1).cast("long")).otherwise(bucket)
-    return out.withColumn("_bucket", bucket).drop("_key", "_coarse", "_starts", "_widths")
-
-
-def _with_bucket(df: DataFrame, order_col: str, buckets: int, bounds: tuple | None = None,
-                 salt_ties: bool = True) -> DataFrame:
-    """``df`` plus ``_bucket``: a long that never decreases as the key grows.
-
-    With ``salt_ties`` the rows of a hot key value are spread over
-    ``HOT_SALTS`` consecutive bucket ids by a hash of the whole row (equal
-    keys may be numbered in any order; equal rows get equal salts, so every
-    pass of the plan agrees)."""
-    return _apply_bucket(df, order_col, _bucket_spec(df, order_col, buckets, bounds, salt_ties))
-
-
-def _offsets(tagged: DataFrame, by: list[str]) -> DataFrame:
-    counts = tagged.groupBy(*by, "_bucket").agg(F.count(F.lit(1)).alias("_n"))
-    running = Window.partitionBy(*by).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    return counts.select(*by, "_bucket", F.coalesce(F.sum("_n").over(running), F.lit(0)).alias("_offset"))
-
-
-def rank_rows(all_rows: DataFrame, order_col: str, subset: DataFrame, out_col: str = "row_no",
-              buckets: int | None = None) -> DataFrame:
-    """``subset`` plus the 1-based rank of each row's ``order_col`` among all
-    of ``all_rows`` -- the number ``number_rows(all_rows)`` would give it.
-
-    ``order_col`` must be unique in ``all_rows``, and ``subset`` keys must
-    occur there.  Only the key column of ``all_rows`` is read and shuffled,
-    and only the buckets holding subset keys are sorted, so ranking a few
-    matches costs a count of the keys, not a sort of every row.
-    """
-    keys = all_rows.select(order_col)
-    spec = _bucket_spec(keys, order_col, _bucket_count(keys, buckets), salt_ties=False)
-    tagged = _apply_bucket(keys, order_col, spec)
-    offsets = F.broadcast(_offsets(tagged, []))
-    # One row per touched bucket: bounded by the bucket count.
-    touched = F.broadcast(_apply_bucket(subset.select(order_col), order_col, spec).select("_bucket").distinct())
-    candidates = tagged.join(touched, "_bucket", "left_semi").join(offsets, "_bucket")
-    within = Window.partitionBy("_bucket").orderBy(F.col(order_col).asc_nulls_first())
-    ranked = candidates.select(order_col, (F.row_number().over(within) + F.col("_offset")).cast("long").alias(out_col))
-    return subset.join(ranked, order_col, "inner")
+# monotonically_increasing_id keeps the partition above this many bits.
+_PLACE_BITS = 33
 
 
 def number_rows(
@@ -243,30 +27,39 @@ def number_rows(
     out_col: str = "row_no",
     by: list[str] | None = None,
     tie_breakers: list[str] | None = None,
-    buckets: int | None = None,
-    bounds: tuple | None = None,
 ) -> DataFrame:
     """Add ``out_col`` = 1..n in ``order_col`` order (per ``by`` group).
 
-    Equal to ``row_number() over (partition by <by> order by <order_col>)``
-    when the order is total (add ``tie_breakers`` otherwise).  ``bounds``
-    (a known min and max of ``order_col``, or a range covering it) skips the
-    sampling pass and uses equal-width buckets over that range.
+    Equal to ``row_number() over (partition by <by> order by <order_col>)``,
+    nulls first, when the order is total (add ``tie_breakers`` otherwise; rows
+    that remain equal are numbered in any order).
     """
+    shared_checkpoint_dir(df.sparkSession)
     by = list(by or [])
-    nb = _bucket_count(df, buckets)
-    tagged = _with_bucket(df, order_col, nb, bounds, salt_ties=not tie_breakers)
-    offsets = _offsets(tagged, by)
-    # Without groups the offsets table has one row per non-empty bucket id
-    # (at most buckets x HOT_SALTS): a proven bound.  With groups its size
-    # grows with the groups, so it is counted.
-    offsets = F.broadcast(offsets) if not by else checked_broadcast(offsets)
-    order = [F.col(order_col).asc_nulls_first()] + [F.col(c).asc_nulls_first() for c in (tie_breakers or [])]
-    within = Window.partitionBy(*by, "_bucket").orderBy(*order)
-    numbered = tagged.join(offsets, [*by, "_bucket"], "inner")
-    return numbered.withColumn(out_col, (F.row_number().over(within) + F.col("_offset")).cast("long")).drop(
-        "_bucket", "_offset"
+    plain = [f.name for f in df.schema.fields if "map<" not in f.dataType.simpleString()]
+    keys = [F.col(c).asc_nulls_first() for c in [*by, order_col, *(tie_breakers or [])]]
+    order = [*keys, F.col("_tie").asc()]
+    placed = (
+        df.withColumn("_tie", F.xxhash64(*plain))
+        .repartitionByRange(*order)
+        .sortWithinPartitions(*order)
+        .withColumn("_at", F.monotonically_increasing_id())
+        .drop("_tie")
+        .checkpoint()
     )
+    part = F.shiftright("_at", _PLACE_BITS)
+    counts = placed.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select("_part", (F.coalesce(F.sum("_n").over(before), F.lit(0)) + 1).alias("_offset"))
+    # One row per partition of the range partitioning above: a fixed bound.
+    numbered = placed.withColumn("_part", part).join(F.broadcast(offsets), "_part")
+    place = F.col("_at") - F.shiftleft("_part", _PLACE_BITS)
+    numbered = numbered.withColumn(out_col, (F.col("_offset") + place).cast("long"))
+    if by:
+        firsts = numbered.groupBy(*[F.col(c).alias(f"_by_{c}") for c in by]).agg(F.min(out_col).alias("_first"))
+        same = [F.col(c).eqNullSafe(F.col(f"_by_{c}")) for c in by]
+        numbered = numbered.join(firsts, same).withColumn(out_col, F.col(out_col) - F.col("_first") + 1)
+    return numbered.select(*df.columns, out_col)
 
 
 def max_key(df: DataFrame, key: str) -> int:
@@ -276,9 +69,9 @@ def max_key(df: DataFrame, key: str) -> int:
 
 
 def assign_ids(new_rows: DataFrame, base: DataFrame, order_col: str, id_col: str = "id",
-               start_after: int | None = None, bounds: tuple | None = None) -> DataFrame:
+               start_after: int | None = None) -> DataFrame:
     """Ids for inserted rows, as a store with an identity column gives
     them: after the largest id in ``base``, dense, in request order."""
     start = max_key(base, id_col) if start_after is None else start_after
-    numbered = number_rows(new_rows, order_col, out_col="_n", bounds=bounds)
+    numbered = number_rows(new_rows, order_col, out_col="_n")
     return numbered.withColumn(id_col, (F.col("_n") + F.lit(start)).cast("long")).drop("_n")

@@ -51,7 +51,8 @@ def facet(df: DataFrame, choice, column: str = "category_id") -> DataFrame:
         return df
     number = _canonical_int(choice)
     if number is not None:
-        return df.filter(F.col(column) == F.lit(number))
+        # No stored id lies beyond 64 bits.
+        return df.filter(F.col(column) == F.lit(number)) if abs(number) < 2 ** 63 else df.filter(F.lit(False))
     # String(null) is "null" in JavaScript, so that choice finds missing ids.
     return df.filter(template_text(column) == F.lit(choice))
 

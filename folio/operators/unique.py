@@ -23,9 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-import warnings
-
-from folio.session import checkpoint_dir
+from folio.session import shared_checkpoint_dir
 
 
 def _existing_keys(existing: DataFrame | None, key: str) -> DataFrame | None:
@@ -50,33 +48,31 @@ def unique_insert(requests: DataFrame, key: str, order_col: str,
     ``order_col`` must be unique (the request sequence).  ``digest`` groups
     long text keys by ``key_digest`` instead of the text itself.
     """
-    gkey = key_digest(key) if digest else F.col(key)
-    firsts = (
-        requests.where(F.col(key).isNotNull())
-        .groupBy(gkey.alias("_gkey"))
-        .agg(F.min(order_col).alias("_first"))
-    )
-    taken = _existing_keys(existing, key)
-    if taken is not None:
-        taken_g = taken.select((key_digest(key) if digest else F.col(key)).alias("_gkey"))
-        firsts = firsts.join(taken_g, "_gkey", "left_anti")
+    def stand_in(name: str) -> Column:
+        return key_digest(name) if digest else F.col(name)
+
+    # What the joins need of the key is computed before them, so a long key
+    # is not carried along unless the caller reads it.
+    rows = requests.withColumns({"_key_null": F.col(key).isNull(), "_gkey": stand_in(key)})
+    firsts = rows.where(~F.col("_key_null")).groupBy("_gkey").agg(F.min(order_col).alias("_first"))
+    if existing is not None:
+        taken = existing.where(F.col(key).isNotNull()).select(stand_in(key).alias("_gkey")).distinct()
+        firsts = firsts.join(taken.withColumn("_exists", F.lit(True)), "_gkey", "left")
+        # Every request of an existing key fails; its digest says so.
+        rows = rows.join(taken.withColumn("_exists", F.lit(True)), "_gkey", "left")
+        firsts = firsts.where(F.col("_exists").isNull()).drop("_exists")
+    else:
+        rows = rows.withColumn("_exists", F.lit(None).cast("boolean"))
     winners = firsts.select(F.col("_first").alias("_win_seq"), F.lit(True).alias("_won"))
-    joined = requests.join(winners, requests[order_col] == winners["_win_seq"], "left")
+    joined = rows.join(winners, rows[order_col] == winners["_win_seq"], "left")
     won = F.coalesce(F.col("_won"), F.lit(False))
-    if taken is not None:
-        flagged = joined.join(taken.select(F.col(key).alias("_taken"), F.lit(True).alias("_exists")),
-                              F.col(key) == F.col("_taken"), "left")
-        # The key join fans out on nothing: ``taken`` holds each key once.
-    else:
-        flagged = joined.withColumn("_exists", F.lit(None).cast("boolean"))
-    exists = F.coalesce(F.col("_exists"), F.lit(False))
     reason = (
-        F.when(F.col(key).isNull(), F.lit(f"{key} required"))
+        F.when(F.col("_key_null"), F.lit(f"{key} required"))
         .when(won, F.lit(None).cast("string"))
-        .when(exists, F.lit(f"{key} exists"))
+        .when(F.col("_exists"), F.lit(f"{key} exists"))
         .otherwise(F.lit(f"{key} repeated in batch"))
     )
-    return flagged.select(*requests.columns, won.alias("accepted"), reason.alias("reason"))
+    return joined.select(*requests.columns, won.alias("accepted"), reason.alias("reason"))
 
 
 def unique_insert_two_keys(requests: DataFrame, keys: tuple[str, str], order_col: str,
@@ -84,18 +80,11 @@ def unique_insert_two_keys(requests: DataFrame, keys: tuple[str, str], order_col
     """``requests`` plus ``accepted`` and ``decided_round``, equal to the
     sequential one-by-one insert.  ``order_col`` must be unique (the request
     sequence); rows with a missing key are rejected.  Each round is cut into
-    the shared folder named by ``spark.checkpoint.dir``; a session without
-    one keeps the rounds' lineage (same results, longer plans) rather than
-    writing to a folder of its own."""
-    spark = requests.sparkSession
-    folder = checkpoint_dir(spark)
-    if folder and spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(folder)
-    if not folder:
-        warnings.warn("spark.checkpoint.dir is not set: unique-insert rounds keep their lineage", stacklevel=2)
+    the shared folder named by ``spark.checkpoint.dir``."""
+    shared_checkpoint_dir(requests.sparkSession)
 
     def cut(df: DataFrame) -> DataFrame:
-        return df.checkpoint() if folder else df
+        return df.checkpoint()
 
     k1, k2 = keys
     rows = requests.select(F.col(order_col).alias("_seq"), F.col(k1).alias("_k1"), F.col(k2).alias("_k2"))

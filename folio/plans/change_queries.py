@@ -23,15 +23,18 @@ from folio.functions import values as V
 from folio.functions.links import link_fields, query_param, reader_link
 from folio.operators import changes as C
 from folio.operators import enrich as E
+from folio.operators import search as S
 from folio.operators import validate as VAL
+from folio.operators.numbering import number_rows
 from folio.operators.unique import unique_insert, unique_insert_two_keys
 from folio.plans.bindings import table, with_catalog
 from folio.plans.catalog_queries import catalog
-from folio.sources.content import list_content
 from folio.sources.json_io import json_text
 
 DELETE_VALUE_OVER = 200
 LINK_PARAM = "page"
+LOOKUP_EMAIL = "customer.000000012@example.org"
+EMPTY_QUERIES = ("no such title", "#00000012", "customer#000000012", "   ")
 
 
 def _q(c: Column) -> Column:
@@ -110,16 +113,45 @@ def author_changes(events: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------------------
 
 def validate_rows(spark, sf_dir):
-    customer = table(spark, sf_dir, "customer")
-    forms = customer.select(
-        F.col("c_custkey").alias("id"), F.col("c_name").alias("title"),
-        F.col("c_custkey").alias("author_id"), F.col("c_nationkey").cast("bigint").alias("category_id"),
-        F.lit(None).cast("int").alias("published_year"),
-        F.floor("c_acctbal").cast("int").alias("quantity"),
+    """V1 on book forms derived from orders; every rule has rows that fail it."""
+    o = table(spark, sf_dir, "orders")
+    urgent, low = F.col("o_orderpriority").startswith("1"), F.col("o_orderpriority").startswith("5")
+    year = F.year("o_orderdate")
+    forms = o.select(
+        F.col("o_orderkey").alias("id"),
+        F.when(F.col("o_orderstatus") == "P", F.lit("")).when(F.col("o_orderstatus") == "F", F.col("o_orderpriority")).alias("title"),
+        F.when(~F.col("o_orderpriority").startswith("2"), F.col("o_custkey")).alias("author_id"),
+        F.when(F.col("o_orderstatus") != "O", F.lit(1).cast("bigint")).alias("category_id"),
+        F.when(urgent, year - 1000).when(low, year + 104).when(F.col("o_orderstatus") == "F", year).cast("int").alias("published_year"),
+        F.floor((F.col("o_totalprice") - 100000) / 1000).cast("int").alias("quantity"),
     )
     return VAL.validation_report(forms, VAL.book_rules())
 
 
+def validate_people(spark, sf_dir):
+    """V1 on the author, category and sign-up forms derived from customers."""
+    c = table(spark, sf_dir, "customer")
+    nation, segment = F.col("c_nationkey"), F.col("c_mktsegment")
+    month = F.lpad((nation + 1).cast("string"), 2, "0")          # months 13..25 are none
+    authors = c.select(
+        F.col("c_custkey").alias("id"), F.when(nation != 3, F.col("c_name")).alias("full_name"),
+        F.when(nation == 4, F.lit("")).when(nation != 5, F.concat(F.lit("1970-"), month, F.lit("-01"))).alias("birthdate"))
+    categories = c.select(F.col("c_custkey").alias("id"), F.when(segment == "MACHINERY", F.lit("")).otherwise(segment).alias("name"))
+    host = F.when(nation < 5, F.lit("example.org")).when(nation < 10, F.lit("-bad.org")).when(nation < 15, F.lit("")).otherwise(
+        F.lit("mail.example.org"))
+    users = c.select(
+        F.col("c_custkey").alias("id"), F.when(segment != "BUILDING", F.col("c_name")).alias("username"),
+        F.when(nation == 24, F.lit("")).when(F.col("c_acctbal") < 0, F.col("c_name")).otherwise(
+            F.concat(F.col("c_name"), F.lit("@"), host)).alias("email"),
+        F.when(nation == 2, F.lit("")).when(nation != 7, F.lit("x")).alias("password"))
+    out = None
+    for form, frame, rules in (("author", authors, VAL.author_rules()), ("category", categories, VAL.category_rules()),
+                               ("user", users, VAL.user_rules())):
+        one = VAL.validation_report(frame, rules).withColumn("form", F.lit(form))
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
 def normalise_changes(spark, sf_dir):
     log = book_changes(table(spark, sf_dir, "events"))
     return C.normalise_changes(log, C.BOOK)
@@ -152,11 +184,11 @@ def replace_by_key(spark, sf_dir):
     base = authors_all(table(spark, sf_dir, "customer")).select("id", "full_name", "bio")
     ev = table(spark, sf_dir, "events").filter(F.col("event_type").isin("view", "click"))
     upd = ev.select(
-        F.col("user_id").alias("id"), F.col("ts"),
+        F.col("user_id").alias("id"), "ts", "event_id",
         F.concat(F.col("event_type"), F.lit(" "), F.col("event_id").cast("string")).alias("full_name"),
         F.lit(None).cast("string").alias("bio"),
     )
-    last = C.last_per_key(upd, "id", "ts", ["full_name", "bio"]).drop("ts")
+    last = C.last_per_key(upd, "id", ["ts", "event_id"], ["full_name", "bio"]).drop("ts", "event_id")
     return C.replace_by_key(base, last, "id", flag="changed")
 
 
@@ -256,11 +288,116 @@ def content_missing(spark, sf_dir):
     return E.content_coverage(docs, files, key="doc_id", how="without")
 
 
-def content_inventory(spark, sf_dir):
-    """S4 over the table folder itself (``*.parquet`` stands in for
-    ``<id>.pdf``): file path, size, and the record id its name carries."""
-    files = list_content(spark, sf_dir, suffix=".parquet")
-    return files.select("path", "length", F.unix_timestamp("modified").alias("modified_epoch"), "content_id")
+def mixed_log(events: DataFrame) -> DataFrame:
+    """Requests of two entities in event order.  Tables start with the
+    suppliers as authors and the nations as categories, so ids of users beyond
+    them are rows that the log itself has inserted, or none.
+
+    purchase -> insert an author, its birthdate blank or the event's day
+    view     -> update of author user_id; click -> the same, name missing
+    error    -> delete of author user_id if its value is over 200
+    signup   -> insert a category; error up to 200 -> update of category
+                user_id; a signup of value over 300 has text behind its body
+    """
+    et, value = F.col("event_type"), F.col("value")
+    named = F.concat(et, F.lit(" "), F.col("event_id").cast("string"))
+    day = F.when(value > 100, F.date_format("ts", "yyyy-MM-dd")).otherwise(F.lit(""))
+    author = F.concat(F.lit('{"full_name": '), _q(named), F.lit(', "bio": '), _q(et), F.lit(', "birthdate": '), _q(day), F.lit("}"))
+    category = F.concat(F.lit('{"name": '), _q(named), F.lit("}"), F.when(value > 300, F.lit(" and more")).otherwise(F.lit("")))
+    of_author = et.isin("purchase", "view", "click") | (et == "error") & (value > DELETE_VALUE_OVER)
+    return events.select(
+        F.col("event_id").alias("seq"), F.when(of_author, F.lit("author")).otherwise(F.lit("category")).alias("entity"),
+        F.when(et.isin("purchase", "signup"), F.lit("insert")).when((et == "error") & (value > DELETE_VALUE_OVER), F.lit("delete"))
+        .otherwise(F.lit("update")).alias("op"),
+        F.when(~et.isin("purchase", "signup"), F.col("user_id")).alias("id"),
+        F.when(et.isin("purchase", "view"), author).when(et == "click", F.concat(F.lit('{"bio": '), _q(et), F.lit("}")))
+        .when(~of_author, category).alias("body"))
+
+
+def _mixed_tables(spark, sf_dir):
+    authors = table(spark, sf_dir, "supplier").select(
+        F.col("s_suppkey").cast("bigint").alias("id"), F.col("s_name").alias("full_name"),
+        F.lit(None).cast("string").alias("bio"), F.lit(None).cast("date").alias("birthdate"))
+    categories = table(spark, sf_dir, "nation").select(
+        F.col("n_nationkey").cast("bigint").alias("id"), F.col("n_name").alias("name"), F.lit("nation").alias("description"))
+    return {"author": authors, "category": categories}
+
+
+def apply_mixed_log(spark, sf_dir):
+    """D8 + D4 + D1: a log of two entities folded into both tables, with
+    inserted rows that later requests update or delete."""
+    new, _ = C.apply_change_log(_mixed_tables(spark, sf_dir), mixed_log(table(spark, sf_dir, "events")))
+    authors = new["author"].select(F.lit("author").alias("entity"), "id", F.col("full_name").alias("name"),
+                                   F.col("bio").alias("note"), V.date_text("birthdate").alias("birthdate"))
+    categories = new["category"].select(F.lit("category").alias("entity"), "id", "name", F.col("description").alias("note"),
+                                        F.lit(None).cast("string").alias("birthdate"))
+    return authors.unionByName(categories)
+
+
+def mixed_log_rejects(spark, sf_dir):
+    """The requests of the same log that are refused, with reasons."""
+    return C.reject_changes(mixed_log(table(spark, sf_dir, "events")), ["author", "category"])
+
+
+def existing_users(customer: DataFrame) -> DataFrame:
+    """Users on file: the customers of nation 5, under the next nation's name,
+    so both their usernames and their e-mails meet requests of others."""
+    own = registration_requests(customer.filter(F.col("c_nationkey") == 5))
+    return own.select(F.regexp_replace("username", "_5$", "_6").alias("username"), "email",
+                      F.when(F.col("seq") > 1000, F.lit("admin")).otherwise(F.lit("user")).alias("role")).dropDuplicates(["username", "email"])
+
+
+def registered_users(spark, sf_dir):
+    """V1 + J4 + D5 + D9 + U1: sign-ups against users on file; all users
+    afterwards, with their roles."""
+    from folio.operators.users import register_users
+    customer = table(spark, sf_dir, "customer")
+    users, _ = register_users(existing_users(customer), registration_requests(customer.filter(F.col("c_nationkey") != 5)))
+    return users
+
+
+def unique_insert_existing(spark, sf_dir):
+    """D5 + J4, one key: documents inserted under unique texts beside those on
+    file (the documents of one source)."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    on_file = F.coalesce(F.col("source") == "src1", F.lit(False))
+    out = unique_insert(docs.filter(~on_file), "text", "doc_id", existing=docs.filter(on_file), digest=True)
+    return out.select("doc_id", "accepted", "reason")
+
+
+def role_lookup(spark, sf_dir):
+    """the role of the user with an e-mail."""
+    from folio.operators.users import role_of
+    c = table(spark, sf_dir, "customer")
+    users = c.select(F.col("c_name").alias("username"), F.lower(F.concat(F.replace("c_name", F.lit("#"), F.lit(".")), F.lit("@example.org"))).alias("email"),
+                     F.when(F.col("c_acctbal") > 5000, F.lit("admin")).otherwise(F.lit("user")).alias("role"))
+    return role_of(users, LOOKUP_EMAIL)
+
+
+def empty_results(spark, sf_dir):
+    """whether searches find nothing, beside their counts."""
+    books = catalog(spark, sf_dir)
+    out = None
+    for query in EMPTY_QUERIES:
+        one = S.text_search(books, query).agg(F.count(F.lit(1)).alias("n")).select(
+            F.lit(query).alias("query"), "n", (F.col("n") == 0).alias("is_empty"))
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+def numbered_by_price(spark, sf_dir):
+    """W1 on a decimal key that is not unique, ties by order key."""
+    o = table(spark, sf_dir, "orders").select("o_orderkey", F.col("o_totalprice").cast("decimal(20,0)").alias("price"))
+    return number_rows(o, "price", tie_breakers=["o_orderkey"]).withColumn("price", F.col("price").cast("bigint"))
+
+
+def link_texts(spark, sf_dir):
+    """X14 on links whose titles are raw text: spaces, bars, percent signs."""
+    docs = table(spark, sf_dir, "documents")
+    title = F.regexp_replace(F.left(F.coalesce("text", F.lit("")), F.lit(40)), "[&#=\\n+]", "%")
+    links = docs.select("doc_id", F.concat(F.lit("reader.html?id="), F.col("doc_id").cast("string"), F.lit("&title="), title).alias("link"))
+    fields = link_fields("link")
+    return links.select("doc_id", fields["link_id"].alias("link_id"), fields["missing_id"].alias("missing_id"))
 
 
 QUERIES = {
@@ -280,7 +417,15 @@ QUERIES = {
     "json_rows": json_rows,
     "content_coverage": content_coverage,
     "content_missing": content_missing,
-    "content_inventory": content_inventory,
+    "validate_people": validate_people,
+    "apply_mixed_log": apply_mixed_log,
+    "mixed_log_rejects": mixed_log_rejects,
+    "registered_users": registered_users,
+    "unique_insert_existing": unique_insert_existing,
+    "role_lookup": role_lookup,
+    "empty_results": empty_results,
+    "numbered_by_price": numbered_by_price,
+    "link_texts": link_texts,
 }
 
 
@@ -363,8 +508,36 @@ def _walk(requests: str) -> str:
           FROM walk w JOIN {requests} r ON r.i = w.i + 1"""
 
 
-_BOOK_FIELDS = dict(C.BOOK.fields)
-_AUTHOR_FIELDS = dict(C.AUTHOR.fields)
+# Written out here, not taken from the library's own tables of fields.
+_BOOK_FIELDS = {"title": "string", "author_id": "bigint", "category_id": "bigint", "published_year": "int",
+                "description": "string", "quantity": "int"}
+_BOOK_REQUIRED = ["title", "author_id", "category_id"]
+_AUTHOR_FIELDS = {"full_name": "string", "bio": "string", "birthdate": "date"}
+_AUTHOR_REQUIRED = ["full_name"]
+
+_MIXED = """
+WITH log AS (
+  SELECT event_id AS seq, CASE WHEN event_type IN ('purchase', 'view', 'click') OR event_type = 'error' AND value > 200
+                               THEN 'author' ELSE 'category' END AS entity,
+         CASE WHEN event_type IN ('purchase', 'signup') THEN 'insert' WHEN event_type = 'error' AND value > 200 THEN 'delete'
+              ELSE 'update' END AS op,
+         CASE WHEN event_type NOT IN ('purchase', 'signup') THEN CAST(user_id AS BIGINT) END AS id,
+         event_type || ' ' || event_id AS name,
+         CASE WHEN event_type IN ('purchase', 'view') THEN event_type END AS note,
+         CASE WHEN event_type IN ('purchase', 'view') AND value > 100 THEN strftime(ts, '%Y-%m-%d') END AS birthdate,
+         CASE WHEN event_type = 'click' THEN 'full_name missing'
+              WHEN (event_type = 'signup' OR event_type = 'error' AND value <= 200) AND value > 300
+              THEN 'body is not a JSON object' END AS reasons
+  FROM events),
+ok AS (SELECT * FROM log WHERE reasons IS NULL),
+rows_ AS (
+  SELECT 'author' AS entity, CAST(s_suppkey AS BIGINT) AS id, s_name AS name, CAST(NULL AS VARCHAR) AS note,
+         CAST(NULL AS VARCHAR) AS birthdate, -1 AS created FROM supplier
+  UNION ALL SELECT 'category', CAST(n_nationkey AS BIGINT), n_name, 'nation', NULL, -1 FROM nation
+  UNION ALL SELECT entity, row_number() OVER (PARTITION BY entity ORDER BY seq)
+         + CASE entity WHEN 'author' THEN (SELECT max(s_suppkey) FROM supplier) ELSE (SELECT max(n_nationkey) FROM nation) END,
+         name, note, birthdate, seq FROM ok WHERE op = 'insert')
+"""
 
 _AUTHORS_ALL = """
 authors_all AS (
@@ -378,19 +551,86 @@ _ENCODE = ("replace(replace(replace(replace(replace(url_encode({x}), '%2A', '*')
 
 ORACLE_SQL = {
     "validate_rows": """
-        SELECT id, n = 0 AS is_valid, NULLIF(reasons, '') AS reasons, CAST(n AS INTEGER) AS n_reasons
-        FROM (SELECT id, concat_ws('; ', r1, r2, r3, r4, r5) AS reasons,
-                     (r1 IS NOT NULL)::INT + (r2 IS NOT NULL)::INT + (r3 IS NOT NULL)::INT
-                     + (r4 IS NOT NULL)::INT + (r5 IS NOT NULL)::INT AS n
-              FROM (SELECT c_custkey AS id,
-                      CASE WHEN c_name IS NULL OR c_name = '' THEN 'title required' END AS r1,
-                      CASE WHEN c_custkey IS NULL THEN 'author_id required' END AS r2,
-                      CASE WHEN c_nationkey IS NULL THEN 'category_id required' END AS r3,
-                      CAST(NULL AS VARCHAR) AS r4,
-                      CASE WHEN floor(c_acctbal) < 0 THEN 'quantity below 0' END AS r5
-                    FROM customer))""",
+        WITH f AS (
+          SELECT o_orderkey AS id,
+                 CASE o_orderstatus WHEN 'P' THEN '' WHEN 'F' THEN o_orderpriority END AS title,
+                 CASE WHEN o_orderpriority NOT LIKE '2%' THEN o_custkey END AS author_id,
+                 CASE WHEN o_orderstatus <> 'O' THEN 1 END AS category_id,
+                 CASE WHEN o_orderpriority LIKE '1%' THEN year(o_orderdate) - 1000
+                      WHEN o_orderpriority LIKE '5%' THEN year(o_orderdate) + 104
+                      WHEN o_orderstatus = 'F' THEN year(o_orderdate) END AS y,
+                 floor((o_totalprice - 100000) / 1000) AS q
+          FROM orders),
+        r AS (SELECT id, list_filter([
+                 CASE WHEN coalesce(title, '') = '' THEN 'title required' END,
+                 CASE WHEN author_id IS NULL THEN 'author_id required' END,
+                 CASE WHEN category_id IS NULL THEN 'category_id required' END,
+                 CASE WHEN y NOT BETWEEN 1000 AND 2099 THEN 'published_year out of range' END,
+                 CASE WHEN q < 0 THEN 'quantity below 0' END], lambda x: x IS NOT NULL) AS bad FROM f)
+        SELECT id, len(bad) = 0 AS is_valid, NULLIF(array_to_string(bad, '; '), '') AS reasons, CAST(len(bad) AS INTEGER) AS n_reasons
+        FROM r""",
+    "validate_people": """
+        WITH a AS (SELECT c_custkey AS id, 'author' AS form, [
+            CASE WHEN c_nationkey = 3 OR coalesce(c_name, '') = '' THEN 'full_name required' END,
+            CASE WHEN c_nationkey >= 12 THEN 'birthdate not a date' END] AS bad FROM customer),
+        c AS (SELECT c_custkey AS id, 'category' AS form, [
+            CASE WHEN c_mktsegment = 'MACHINERY' OR coalesce(c_mktsegment, '') = '' THEN 'name required' END] AS bad FROM customer),
+        u AS (SELECT c_custkey AS id, 'user' AS form, [
+            CASE WHEN c_mktsegment = 'BUILDING' OR coalesce(c_name, '') = '' THEN 'username required' END,
+            CASE WHEN c_nationkey = 24 THEN 'email required' END,
+            CASE WHEN c_nationkey <> 24 AND (c_acctbal < 0 OR c_nationkey BETWEEN 5 AND 14) THEN 'email not an e-mail' END,
+            CASE WHEN c_nationkey IN (2, 7) THEN 'password required' END] AS bad FROM customer),
+        r AS (SELECT id, form, list_filter(bad, lambda x: x IS NOT NULL) AS bad
+              FROM (SELECT * FROM a UNION ALL SELECT * FROM c UNION ALL SELECT * FROM u))
+        SELECT id, form, len(bad) = 0 AS is_valid, NULLIF(array_to_string(bad, '; '), '') AS reasons, CAST(len(bad) AS INTEGER) AS n_reasons
+        FROM r""",
+    # The log told in SQL of its own: what each request means, which are
+    # refused, the id of every insert, and per row the last word on it.
+    "apply_mixed_log": _MIXED + """
+        SELECT entity, id, name, note, birthdate FROM (
+          SELECT r.entity, r.id, coalesce(u.name, r.name) AS name,
+                 CASE WHEN u.seq IS NOT NULL THEN u.note ELSE r.note END AS note,
+                 CASE WHEN u.seq IS NOT NULL THEN u.birthdate ELSE r.birthdate END AS birthdate,
+                 row_number() OVER (PARTITION BY r.entity, r.id ORDER BY u.seq DESC NULLS LAST) AS k
+          FROM rows_ r LEFT JOIN ok u ON u.op = 'update' AND u.entity = r.entity AND u.id = r.id AND u.seq > r.created
+          WHERE NOT EXISTS (SELECT 1 FROM ok d WHERE d.op = 'delete' AND d.entity = r.entity AND d.id = r.id AND d.seq > r.created))
+        WHERE k = 1""",
+    "mixed_log_rejects": _MIXED + "SELECT entity, seq, op, id, reasons FROM log WHERE reasons IS NOT NULL",
+    "registered_users": """
+        WITH RECURSIVE req AS (
+          SELECT c_custkey AS seq, c_nationkey AS nation,
+                 lower(c_mktsegment) || '_' || CAST(c_nationkey AS VARCHAR) AS username,
+                 'u' || CAST(CAST(floor(c_acctbal / 100) AS BIGINT) AS VARCHAR) || '@example.org' AS email
+          FROM customer),
+        on_file AS (SELECT regexp_replace(username, '_5$', '_6') AS username, email, seq FROM req WHERE nation = 5),
+        valid AS (SELECT CAST(row_number() OVER (ORDER BY seq) AS BIGINT) AS i, seq, username, email FROM req
+                  WHERE nation NOT IN (0, 5) AND username NOT IN (SELECT username FROM on_file) AND email NOT IN (SELECT email FROM on_file)),
+        walk(i, used_u, used_e, acc) AS (""" + _walk("valid") + """)
+        SELECT username, email, CASE WHEN min(seq) > 1000 THEN 'admin' ELSE 'user' END AS role FROM on_file GROUP BY username, email
+        UNION ALL
+        SELECT v.username, v.email, 'user' AS role FROM valid v, (SELECT acc FROM walk ORDER BY i DESC LIMIT 1) f
+        WHERE list_contains(f.acc, v.seq)""",
+    "unique_insert_existing": """
+        SELECT doc_id, coalesce(text IS NOT NULL AND NOT taken AND doc_id = first, false) AS accepted,
+               CASE WHEN text IS NULL THEN 'text required' WHEN taken THEN 'text exists'
+                    WHEN doc_id = first THEN NULL ELSE 'text repeated in batch' END AS reason
+        FROM (SELECT doc_id, text, min(doc_id) OVER (PARTITION BY text) AS first,
+                     coalesce(text IN (SELECT text FROM documents WHERE source = 'src1' AND text IS NOT NULL), false) AS taken
+              FROM documents WHERE source IS DISTINCT FROM 'src1')""",
+    "role_lookup": f"""
+        SELECT CASE WHEN c_acctbal > 5000 THEN 'admin' ELSE 'user' END AS role FROM customer
+        WHERE lower(replace(c_name, '#', '.') || '@example.org') = '{LOOKUP_EMAIL}'""",
+    "empty_results": with_catalog(" UNION ALL ".join(f"""
+        SELECT '{q}' AS query, count(*) AS n, count(*) = 0 AS is_empty FROM catalog
+        WHERE trim('{q}') = '' OR contains(lower(coalesce(title, '')), lower('{q}')) OR contains(lower(coalesce(author, '')), lower('{q}'))"""
+        for q in EMPTY_QUERIES)),
+    "numbered_by_price": """
+        SELECT o_orderkey, CAST(CAST(o_totalprice AS DECIMAL(20,0)) AS BIGINT) AS price,
+               CAST(row_number() OVER (ORDER BY CAST(o_totalprice AS DECIMAL(20,0)), o_orderkey) AS BIGINT) AS row_no FROM orders""",
+    "link_texts": """
+        SELECT doc_id, CAST(doc_id AS VARCHAR) AS link_id, false AS missing_id FROM documents""",
     "normalise_changes": "WITH " + _BOOK_LOG + _normalised_sql(
-        "book_log", list(C.BOOK.required), _BOOK_FIELDS, C.BOOK.zero_if_absent),
+        "book_log", _BOOK_REQUIRED, _BOOK_FIELDS, ("quantity",)),
     "form_payload": """
         SELECT event_id,
                CASE WHEN user_id = 0 THEN 'insert' ELSE 'update' END AS op,
@@ -408,7 +648,7 @@ ORACLE_SQL = {
     "replace_by_key": "WITH " + _AUTHORS_ALL + """,
         upd AS (
           SELECT user_id AS id, event_type || ' ' || event_id AS full_name
-          FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC) AS rn
+          FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn
                 FROM events WHERE event_type IN ('view', 'click')) WHERE rn = 1)
         SELECT a.id,
                CASE WHEN u.id IS NOT NULL THEN u.full_name ELSE a.full_name END AS full_name,
@@ -419,7 +659,7 @@ ORACLE_SQL = {
         SELECT id, full_name FROM authors_all
         WHERE id NOT IN (SELECT user_id FROM events WHERE event_type = 'error' AND user_id IS NOT NULL)""",
     "apply_changes": "WITH " + _AUTHORS_ALL + ", " + _AUTHOR_LOG + ", norm AS (" + _normalised_sql(
-        "author_log", list(C.AUTHOR.required), _AUTHOR_FIELDS, ()) + """),
+        "author_log", _AUTHOR_REQUIRED, _AUTHOR_FIELDS, ()) + """),
         ok AS (SELECT * FROM norm WHERE reasons IS NULL),
         last_upd AS (
           SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY seq DESC) AS rn
@@ -432,8 +672,8 @@ ORACLE_SQL = {
         FROM authors_all a LEFT JOIN last_upd u ON a.id = u.id
         WHERE a.id NOT IN (SELECT id FROM ok WHERE op = 'delete')""",
     "change_rejects": "WITH " + _BOOK_LOG + ", " + _AUTHOR_LOG + ", bn AS (" + _normalised_sql(
-        "book_log", list(C.BOOK.required), _BOOK_FIELDS, C.BOOK.zero_if_absent) + "), an AS (" + _normalised_sql(
-        "author_log", list(C.AUTHOR.required), _AUTHOR_FIELDS, ()) + """)
+        "book_log", _BOOK_REQUIRED, _BOOK_FIELDS, ("quantity",)) + "), an AS (" + _normalised_sql(
+        "author_log", _AUTHOR_REQUIRED, _AUTHOR_FIELDS, ()) + """)
         SELECT 'book' AS entity, seq, op, id, reasons FROM bn WHERE reasons IS NOT NULL
         UNION ALL
         SELECT 'author' AS entity, seq, op, id, reasons FROM an WHERE reasons IS NOT NULL""",
@@ -494,11 +734,6 @@ ORACLE_SQL = {
                                        published_year := published_year, quantity := quantity,
                                        title := title)) AS VARCHAR) AS json
         FROM catalog"""),
-    "content_inventory": """
-        SELECT 'file:' || filename AS path, CAST(size AS BIGINT) AS length,
-               CAST(floor(epoch(last_modified)) AS BIGINT) AS modified_epoch,
-               TRY_CAST(NULLIF(regexp_extract(filename, '/([0-9]+)[.]parquet$', 1), '') AS BIGINT) AS content_id
-        FROM read_blob('/root/testdata/sf0.01/*.parquet')""",
     "content_missing": """
         SELECT doc_id, source FROM documents
         WHERE doc_id NOT IN (SELECT doc_id FROM labels WHERE doc_id IS NOT NULL)""",

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+
 from pyspark.sql import SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
@@ -80,7 +82,12 @@ def require_checkpoint_dir(spark: SparkSession) -> str:
     return folder
 
 
-MAX_SHUFFLE_PARTITIONS = 100_000
+def shared_checkpoint_dir(spark: SparkSession) -> str:
+    """The session's shared folder; a scratch folder only where the session
+    names none at all (a local run), never on a cluster that names one."""
+    folder = checkpoint_dir(spark) or tempfile.mkdtemp(prefix="folio-ckpt-")
+    use_checkpoint_dir(spark, fallback=folder)
+    return folder
 
 
 def scale_conf(
@@ -94,19 +101,16 @@ def scale_conf(
 
     * scans: ``maxPartitionBytes`` = the target, so a 100 TB scan makes about
       400,000 tasks of 256 MB (compressed) each;
-    * shuffles: about one partition per target of (compressed) input, never
-      fewer than two waves of all cores and never more than ``MAX_SHUFFLE_
-      PARTITIONS`` -- map-output metadata grows with maps x partitions, and
-      beyond that the driver, not the data, is the limit; AQE then coalesces
-      small partitions and splits skewed ones around the same size, and a
-      partition larger than its task's memory spills;
+    * shuffles: one partition per target of (compressed) input and never
+      fewer than two waves of all cores; AQE then coalesces small partitions
+      and splits skewed ones around the same size;
     * a task's share of execution memory bounds the target: with less, the
       target shrinks so sorts and hash tables spill rather than fail.
     """
     cores = max(1, executors * cores_per_executor)
     per_task_memory = int(executor_memory_bytes * 0.6 / max(1, cores_per_executor))
     target = max(32 * 1024 ** 2, min(target_partition_bytes, per_task_memory // 2))
-    shuffle_partitions = min(MAX_SHUFFLE_PARTITIONS, max(2 * cores, int(input_bytes / target)))
+    shuffle_partitions = max(2 * cores, int(input_bytes / target))
     return {
         "spark.sql.files.maxPartitionBytes": str(target),
         "spark.sql.shuffle.partitions": str(shuffle_partitions),

@@ -26,9 +26,29 @@ def parse_object(text: Column | str, fields: list[str]) -> Column:
 
 
 def is_json_object(text: Column | str) -> Column:
-    """True when the text parses as a JSON object (never null)."""
+    """True when the whole text is one JSON object (never null)."""
+    return object_entries(parse_whole(text)).isNotNull()
+
+
+def parse_whole(text: Column | str) -> Column:
+    """A JSON object text parsed as the only element of an array.
+
+    The parser stops at the end of a value, so ``{..} more`` would pass as an
+    object; within an array, text behind the object is malformed.
+    """
     c = F.col(text) if isinstance(text, str) else text
-    return F.coalesce(F.json_object_keys(c).isNotNull(), F.lit(False))
+    return F.from_json(F.concat(F.lit("["), c, F.lit("]")), "array<map<string,string>>")
+
+
+def object_entries(parsed: Column) -> Column:
+    """The members of a ``parse_whole`` result as ``array<struct<key, value>>``
+    of texts, in order; null unless the text was one object."""
+    return F.when(F.size(parsed) == 1, F.map_entries(parsed[0]))
+
+
+def member(entries: Column, name: str) -> Column:
+    """``struct<key, value>`` of a member (the last of that name), or null."""
+    return F.try_element_at(F.filter(entries, lambda e: e["key"] == F.lit(name)), F.lit(-1))
 
 
 def read_json_rows(spark: SparkSession, path: str, schema: T.StructType) -> tuple[DataFrame, DataFrame]:

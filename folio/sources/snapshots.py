@@ -18,6 +18,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
 VERSIONS = "_versions"
+# What a table without any published version raises.
+MISSING = ("PATH_NOT_FOUND",)
 VERSIONS_SCHEMA = "version long, path string, through_batch long, max_key long"
 
 
@@ -28,10 +30,22 @@ def _root(root: str) -> str:
 def _versions(spark: SparkSession, root: str) -> DataFrame | None:
     try:
         return spark.read.schema(VERSIONS_SCHEMA).parquet(f"{_root(root)}/{VERSIONS}")
-    except AnalysisException:
+    except AnalysisException as missing:
+        if missing.getCondition() not in MISSING:
+            raise
         return None
 
 
+def _exists(spark: SparkSession, path: str) -> bool:
+    try:
+        spark.read.schema("x int").parquet(path)
+        return True
+    except AnalysisException as missing:
+        if missing.getCondition() not in MISSING:
+            raise
+        return False
+
+
 def latest_entry(spark: SparkSession, root: str) -> dict | None:
     """``{version, path, through_batch}`` of the newest published version."""
     log = _versions(spark, root)
@@ -57,14 +71,18 @@ def publish(df: DataFrame, root: str, version: int | None = None, through_batch:
     without scanning the table.
     """
     spark = df.sparkSession
-    current = latest_version(spark, root)
+    current, version_given = latest_version(spark, root), version
     if version is None:
         version = (current[0] + 1) if current else 1
     elif current and version <= current[0]:
         raise ValueError(f"version {version} is not after the published version {current[0]}")
     path = f"{_root(root)}/v{version:010d}"
-    # Unpublished leftovers of a failed attempt at this version are replaced.
-    df.write.mode("overwrite").parquet(path)
+    # A folder that exists may be another writer's version: it is never
+    # replaced.  Leftovers of a failed attempt are passed over by number.
+    while version_given is None and _exists(spark, path):
+        version += 1
+        path = f"{_root(root)}/v{version:010d}"
+    df.write.mode("errorifexists").parquet(path)
     max_key = None
     if key and key in df.columns:
         value = spark.read.parquet(path).agg(F.max(key)).first()[0]

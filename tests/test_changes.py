@@ -249,14 +249,3 @@ def test_register_users(spark):
 def test_negative_sequence_numbers(spark):
     out, _ = fold(spark, base(spark), [(-9, "author", "update", 1, body("neg")), (-5, "author", "delete", 2, None)])
     assert {r.id: r.full_name for r in out.collect()} == {1: "neg"}
-
-
-def test_two_keys_without_a_checkpoint_folder(spark, monkeypatch):
-    import warnings
-    import folio.operators.unique as U
-    monkeypatch.setattr(U, "checkpoint_dir", lambda _spark: None)
-    rows = [(1, "u1", "e1"), (2, "u1", "e2"), (3, "u3", "e2")]
-    with warnings.catch_warnings(record=True) as caught:
-        warnings.simplefilter("always")
-        assert run_two_keys(spark, rows) == {1: True, 2: False, 3: True}
-    assert any("checkpoint.dir" in str(w.message) for w in caught)

@@ -45,7 +45,7 @@ def test_stats_values(q):
 
 
 def test_change_values(q):
-    assert q("validate_rows").filter(~F.col("is_valid")).count() == 122
+    assert q("validate_rows").filter(~F.col("is_valid")).count() == 13071
     assert q("insert_rows").count() == 1600
     assert q("replace_by_key").filter("changed").count() == 150
     assert q("delete_by_key").count() == 1350

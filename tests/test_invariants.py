@@ -20,7 +20,7 @@ def test_accepted_plus_rejected_is_input(spark):
     ok, bad = C.split_changes(C.normalise_changes(log, C.BOOK))
     assert ok.count() + bad.count() == log.count()
     report = entry.queries()["validate_rows"](spark, SF)
-    assert report.count() == table(spark, SF, "customer").count()
+    assert report.count() == table(spark, SF, "orders").count()
 
 
 def test_unique_insert_accepts_distinct_keys_and_rejects_only_repeats(spark):

@@ -83,7 +83,7 @@ def test_numbering_independent_of_partitions(spark):
 def test_numbering_matches_global_window(spark):
     from pyspark.sql import Window
     df = spark.range(0, 5000).select((F.col("id") * 7919 % 100003).alias("k"), F.col("id").alias("v"))
-    ours = number_rows(df, "k", buckets=17).select("k", "row_no")
+    ours = number_rows(df, "k").select("k", "row_no")
     ref = df.select("k", F.row_number().over(Window.orderBy("k")).cast("long").alias("row_no"))
     assert ours.exceptAll(ref).count() == 0 and ref.exceptAll(ours).count() == 0
 
@@ -141,12 +141,10 @@ def test_lookup_by_id_pushes_to_scan(spark, scratch):
 
 def test_numbering_with_clustered_keys(spark):
     from pyspark.sql import Window
-    # Nearly all keys in a narrow range plus far outliers: equal-width buckets
-    # would put everything in one bucket; quantile buckets must still number
-    # exactly like the global window.
+    # Nearly all keys in a narrow range plus far outliers.
     df = spark.range(0, 3000).select(
         F.when(F.col("id") % 500 == 0, F.col("id") * 1_000_000_000_000).otherwise(F.col("id")).alias("k"))
-    ours = number_rows(df, "k", buckets=64)
+    ours = number_rows(df, "k")
     ref = df.select("k", F.row_number().over(Window.orderBy("k")).cast("long").alias("row_no"))
     assert ours.exceptAll(ref).count() == 0 and ref.exceptAll(ours).count() == 0
     sizes = ours.groupBy(F.floor((F.col("row_no") - 1) / 47)).count()
@@ -157,8 +155,12 @@ def test_numbering_time_and_double_keys(spark):
     from pyspark.sql import Window
     df = spark.range(0, 500).select(
         F.timestamp_seconds(F.col("id") * 3600 + 7).alias("t"), (F.col("id") * 0.37).alias("d"))
-    for key in ("t", "d"):
-        ours = number_rows(df.select(key), key, buckets=16)
+    df = df.withColumns({"n": F.when(F.col("d") == 0, F.lit(float("nan"))).otherwise(F.col("d")),
+                         "x": (F.col("d") * 100 + 5_000_000_000_000_000_000).cast("decimal(20,0)") + F.floor(F.col("d")).cast("decimal(20,0)"),
+                         "s": F.concat(F.lit("k"), F.col("d").cast("string")),
+                         "p": F.timestamp_seconds(F.col("d").cast("long") * 86400).cast("timestamp_ntz")})
+    for key in ("t", "d", "n", "s"):
+        ours = number_rows(df.select(key), key)
         ref = df.select(key, F.row_number().over(Window.orderBy(key)).cast("long").alias("row_no"))
         assert ours.exceptAll(ref).count() == 0
 
@@ -182,7 +184,7 @@ def test_numbering_edge_cases(spark):
     got = sorted((r.row_no, r.k) for r in number_rows(nulls, "k").collect())
     assert [k for _, k in got] == [None, None, 1, 5]
     ties = spark.range(2000).select((F.col("id") % 3).alias("k"), F.col("id").alias("t"))
-    ours = number_rows(ties, "k", tie_breakers=["t"], buckets=64)
+    ours = number_rows(ties, "k", tie_breakers=["t"])
     ref = ties.select("k", "t", F.row_number().over(Window.orderBy("k", "t")).cast("long").alias("row_no"))
     assert ours.exceptAll(ref).count() == 0
 
@@ -204,7 +206,7 @@ def test_scale_conf_sizes_partitions():
     conf = scale_conf(100 * 1024 ** 4, executors=1000, cores_per_executor=8,
                       executor_memory_bytes=64 * 1024 ** 3)
     assert int(conf["spark.sql.files.maxPartitionBytes"]) == 256 * 1024 ** 2
-    assert int(conf["spark.sql.shuffle.partitions"]) == 100_000          # capped
+    assert int(conf["spark.sql.shuffle.partitions"]) == 100 * 4096 * 1024 // 1024
     mid = scale_conf(1024 ** 4, executors=100, cores_per_executor=8, executor_memory_bytes=64 * 1024 ** 3)
     assert int(mid["spark.sql.shuffle.partitions"]) == 4096               # 1 TB / 256 MB
     small = scale_conf(10 * 1024 ** 3, executors=2, cores_per_executor=4, executor_memory_bytes=1024 ** 3)
@@ -223,25 +225,6 @@ def test_admin_row_search_matches_full_numbering(spark):
         assert got == want, q
 
 
-def test_rank_rows_equals_numbering(spark):
-    from folio.operators.numbering import rank_rows
-    df = spark.range(0, 3000).select((F.col("id") * 7919 % 100003).alias("k"))
-    full = {r.k: r.row_no for r in number_rows(df, "k").collect()}
-    subset = df.filter(F.col("k") % 97 == 5)
-    got = {r.k: r.row_no for r in rank_rows(df, "k", subset).collect()}
-    assert got and got == {k: full[k] for k in got} and len(got) == subset.count()
-
-
-def test_numbering_with_constants_from_other_data(spark):
-    from folio.operators.numbering import _apply_bucket, _bucket_spec
-    narrow = spark.range(100, 200).select(F.col("id").alias("k"))
-    spec = _bucket_spec(narrow, "k", 16)
-    wide = spark.range(0, 400).select(F.col("id").alias("k"))
-    rows = _apply_bucket(wide, "k", spec).orderBy("k").collect()
-    buckets = [r._bucket for r in rows]
-    assert buckets == sorted(buckets) and min(buckets) >= 0
-
-
 def test_assert_unique_and_conform(spark):
     import pytest as _pytest
     from folio.operators.joins import assert_unique
@@ -263,3 +246,53 @@ def test_stats_variants_agree(spark):
     names_join = {r.author for r in A.distinct_names(E.enrich(books, authors, categories), "author").collect()}
     names_keys = {r.author for r in A.referenced_names(books, authors, "author_id", "id", "full_name", "author").collect()}
     assert names_join == names_keys
+
+
+def test_numbering_decimals_beyond_double(spark):
+    from pyspark.sql import Window
+    df = spark.range(0, 2000).select((F.col("id") + F.lit("5000000000000000000").cast("decimal(20,0)")).cast("decimal(20,0)").alias("k"))
+    ref = df.select("k", F.row_number().over(Window.orderBy("k")).cast("long").alias("row_no"))
+    assert number_rows(df, "k").exceptAll(ref).count() == 0
+
+
+def test_numbering_groups_with_null_names(spark):
+    df = spark.createDataFrame([(None, 5), (None, 1), ("b", 7)], "g string, k int")
+    got = sorted((r.g or "", r.k, r.row_no) for r in number_rows(df, "k", by=["g"]).collect())
+    assert got == [("", 1, 1), ("", 5, 2), ("b", 7, 1)]
+
+
+def test_facet_choices_beyond_any_id(spark):
+    df = spark.createDataFrame([(1, 2), (2, None)], "id long, category_id long")
+    ids = lambda choice: [r.id for r in S.facet(df, choice).collect()]
+    assert ids("12345678901234567890") == [] and ids("02") == [] and ids("null") == [2] and ids("2") == [1]
+
+
+def test_object_bodies_are_whole_texts(spark):
+    from folio.sources.json_io import is_json_object
+    texts = ['{"a":1}', ' {"a":{"b":[1]}} ', '{"a":1} trailing', '{"a":1}{"b":2}', '{"a":1},{"b":2}', "[1]", '"s"', "", "{a", None, "{}"]
+    df = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "k int, t string")
+    good = {r.k for r in df.filter(is_json_object("t")).collect()}
+    assert good == {0, 1, 10}
+
+
+def test_link_queries_of_raw_texts(spark):
+    from folio.functions.links import link_fields
+    links = ["reader.html?id=5&title=100%", "reader.html?id=5&title=a|b", "reader.html?id=5&title=a b", "reader.html?id=5&title=a%20b+c%zz#x",
+             "reader.html?title=x", "reader.html?id=&title=", "reader.html", "reader.html#?id=5", "r?xid=4&id=7&id=8"]
+    df = spark.createDataFrame([(u,) for u in links], "u string")
+    f = link_fields("u")
+    got = [tuple(r) for r in df.select(f["link_id"], f["link_title"], f["missing_id"]).collect()]
+    none = "Không có tiêu đề"
+    assert got == [("5", "100%", False), ("5", "a|b", False), ("5", "a b", False), ("5", "a b c%zz", False), (None, "x", True),
+                   ("", none, True), (None, none, True), (None, none, True), ("7", none, False)]
+
+
+def test_publish_never_replaces_a_folder(spark, scratch):
+    from folio.sources import snapshots
+    root = f"{scratch}/t"
+    spark.range(3).write.parquet(f"{root}/v0000000001")     # a writer that has not published yet
+    assert snapshots.publish(spark.range(5), root) == 2
+    assert snapshots.read_latest(spark, root).count() == 5 and spark.read.parquet(f"{root}/v0000000001").count() == 3
+    with pytest.raises(Exception, match="already exists|PATH_ALREADY_EXISTS"):
+        spark.range(1).write.parquet(f"{root}/v0000000003")
+        snapshots.publish(spark.range(5), root, version=3)

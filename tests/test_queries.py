@@ -6,6 +6,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from folio.plans import registry
 
 SF = "/root/testdata/sf0.001"
 TABLES = ("region nation customer supplier part orders lineitem events documents "
@@ -37,21 +38,18 @@ def test_entry_smoke(spark):
     assert df.count() >= 0
 
 
-# The file listing oracle names the sf0.01 folder (the driver's check scale).
-FOLDER_BOUND = {"content_inventory"}
-
-
-@pytest.mark.parametrize("name", sorted(set(entry.oracle_sql()) - FOLDER_BOUND))
+@pytest.mark.parametrize("name", sorted(registry.ORACLE_SQL))
 def test_query_matches_oracle(spark, duck, name):
-    df = entry.queries()[name](spark, SF)
-    res = duck.execute(entry.oracle_sql()[name])
+    df = registry.QUERIES[name](spark, SF)
+    res = duck.execute(registry.ORACLE_SQL[name])
     d_cols = [d[0] for d in res.description]
     assert sorted(df.columns) == sorted(d_cols)
     assert _rows(df.columns, [tuple(r) for r in df.collect()]) == _rows(d_cols, res.fetchall())
 
 
 def test_every_query_has_an_oracle_or_is_listed():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(registry.QUERIES) == set(registry.ORACLE_SQL)
+    assert set(registry.QUERIES) <= set(entry.queries())
 
 
 def test_command_line_lists_and_runs(spark, capsys, scratch):

@@ -58,11 +58,11 @@ def test_link_read(spark):
     df = spark.createDataFrame([("reader.html?id=3&title=a%20b",), ("reader.html?title=x",),
                                 ("http://a b/?id=3",), ("reader.html?id=4&title=100%+sure",)], "u string")
     rows = df.select(*[c.alias(n) for n, c in link_fields("u").items()]).collect()
-    # An invalid URL (a bare "%") gives null fields, never an error.
-    assert rows[3].link_id is None and rows[3].missing_id
+    # A bare "%" stands for itself.
+    assert rows[3].link_id == "4" and rows[3].link_title == "100% sure"
     assert (rows[0].link_id, rows[0].link_title, rows[0].missing_id) == ("3", "a b", False)
     assert rows[1].missing_id and rows[1].link_title == "x"
-    assert rows[2].link_id is None and rows[2].missing_id
+    assert rows[2].link_id == "3" and not rows[2].missing_id
 
 
 def test_content_id(spark):
