@@ -13,9 +13,13 @@ Two keys: the outcome depends on the order of decisions (A(u1,e1) accepted,
 B(u1,e2) rejected, C(u3,e2) accepted).  It is computed in rounds; in each
 round every undecided row that is first on *both* its keys is accepted -- the
 sequential loop would accept it too -- and every undecided row sharing a key
-with a newly accepted one is rejected.  The globally first undecided row is
-always accepted, so the rounds end; each round's state is checkpointed into
-the shared checkpoint folder (``spark.checkpoint.dir``) to cut the lineage.
+with a newly accepted one is rejected.  A chain of requests waiting for each
+other would need a round for every two links, so after a few rounds the
+requests still undecided are labelled by conflict group (connected over shared
+keys, in about log2 of the longest chain passes) and each group of bounded
+size is walked in order within one aggregate; only larger groups go on in
+rounds.  Each round's state is checkpointed into the shared folder named by
+``spark.checkpoint.dir``.
 """
 
 from __future__ import annotations
@@ -75,8 +79,54 @@ def unique_insert(requests: DataFrame, key: str, order_col: str,
     return joined.select(*requests.columns, won.alias("accepted"), reason.alias("reason"))
 
 
+# Rounds before chains are settled by groups, and requests of a group that are
+# walked as one list; larger groups go on in rounds.
+ROUNDS_FIRST = 3
+GROUP_LIMIT = 2_000
+
+
+def _conflict_groups(rows: DataFrame) -> DataFrame:
+    """``rows(_seq, _k1, _k2)`` plus ``_g``: the smallest ``_seq`` reachable
+    over shared keys.
+
+    Each pass takes the smallest label of both keys' holders and then the
+    label of the request that label names, so a chain's labels travel twice as
+    far with every pass: about log2(chain) passes, each checkpointed.
+    """
+    current = rows.withColumn("_g", F.col("_seq"))
+    while True:
+        by1 = current.groupBy("_k1").agg(F.min("_g").alias("_g1"))
+        by2 = current.groupBy("_k2").agg(F.min("_g").alias("_g2"))
+        step = current.join(by1, "_k1").join(by2, "_k2").withColumn("_n", F.least("_g1", "_g2"))
+        named = step.select(F.col("_seq").alias("_named"), F.col("_n").alias("_up"))
+        step = step.join(named, step["_n"] == named["_named"]).select(
+            "_seq", "_k1", "_k2", "_g", F.least("_n", "_up").alias("_n")).checkpoint()
+        current = step.select("_seq", "_k1", "_k2", F.col("_n").alias("_g"))
+        if step.filter(F.col("_n") != F.col("_g")).isEmpty():
+            return current
+
+
+def _walk_groups(grouped: DataFrame) -> DataFrame:
+    """``(_seq, _won)`` for whole conflict groups, each walked in order."""
+    types = dict(grouped.dtypes)
+    empty = {k: F.array().cast(f"array<{types[k]}>") for k in ("_seq", "_k1", "_k2")}
+    start = F.struct(empty["_k1"].alias("u1"), empty["_k2"].alias("u2"), empty["_seq"].alias("won"))
+
+    def take(state, row):
+        taken = F.array_contains(state["u1"], row["_k1"]) | F.array_contains(state["u2"], row["_k2"])
+        more = F.struct(F.array_append(state["u1"], row["_k1"]).alias("u1"), F.array_append(state["u2"], row["_k2"]).alias("u2"),
+                        F.array_append(state["won"], row["_seq"]).alias("won"))
+        return F.when(taken, state).otherwise(more)
+
+    lists = grouped.groupBy("_g").agg(F.sort_array(F.collect_list(F.struct("_seq", "_k1", "_k2"))).alias("_rows"))
+    walked = lists.withColumn("_won", F.aggregate("_rows", start, take, lambda state: state["won"]))
+    return walked.select(F.explode("_rows").alias("_row"), "_won").select(
+        F.col("_row._seq").alias("_seq"), F.array_contains("_won", F.col("_row._seq")).alias("_won"))
+
+
 def unique_insert_two_keys(requests: DataFrame, keys: tuple[str, str], order_col: str,
-                           existing: DataFrame | None = None, max_rounds: int | None = None) -> DataFrame:
+                           existing: DataFrame | None = None, max_rounds: int | None = None,
+                           rounds_first: int = ROUNDS_FIRST) -> DataFrame:
     """``requests`` plus ``accepted`` and ``decided_round``, equal to the
     sequential one-by-one insert.  ``order_col`` must be unique (the request
     sequence); rows with a missing key are rejected.  Each round is cut into
@@ -132,6 +182,13 @@ def unique_insert_two_keys(requests: DataFrame, keys: tuple[str, str], order_col
         parts.append(round_state.filter(F.col("_state").isNotNull()).select(
             "_seq", (F.col("_state") == "won").alias("accepted"), F.lit(round_no).alias("decided_round")))
         undecided = round_state.filter(F.col("_state").isNull()).select("_seq", "_k1", "_k2")
+        if round_no == max(rounds_first, 1):
+            # What is left waits in chains: settle whole groups of them.
+            grouped = _conflict_groups(undecided)
+            small = grouped.groupBy("_g").count().filter(F.col("count") <= GROUP_LIMIT).select("_g")
+            walked = _walk_groups(grouped.join(small, "_g", "left_semi")).checkpoint()
+            parts.append(walked.select("_seq", F.col("_won").alias("accepted"), F.lit(round_no + 1).alias("decided_round")))
+            undecided = grouped.join(small, "_g", "left_anti").select("_seq", "_k1", "_k2").checkpoint()
 
     outcome = parts[0]
     for p in parts[1:]:

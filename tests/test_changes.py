@@ -249,3 +249,34 @@ def test_register_users(spark):
 def test_negative_sequence_numbers(spark):
     out, _ = fold(spark, base(spark), [(-9, "author", "update", 1, body("neg")), (-5, "author", "delete", 2, None)])
     assert {r.id: r.full_name for r in out.collect()} == {1: "neg"}
+
+
+def _sequential(rows):
+    users, mails, accepted = set(), set(), set()
+    for seq, u, e in sorted(rows):
+        if u not in users and e not in mails:
+            users.add(u)
+            mails.add(e)
+            accepted.add(seq)
+    return accepted
+
+
+def test_two_keys_settle_a_long_chain(spark):
+    import time
+    from folio.operators.unique import unique_insert_two_keys
+    # Every request waits for the one before: u0 e0, u0 e1, u1 e1, u1 e2, ...
+    rows = [(k, f"u{k // 2}", f"e{(k + 1) // 2}") for k in range(1000)]
+    began = time.time()
+    out = unique_insert_two_keys(spark.createDataFrame(rows, "seq long, u string, e string"), ("u", "e"), "seq")
+    got = {r.seq for r in out.collect() if r.accepted}
+    assert got == _sequential(rows)
+    assert time.time() - began < 180
+
+
+def test_two_keys_by_groups_equal_the_loop(spark):
+    import random
+    from folio.operators.unique import unique_insert_two_keys
+    rng = random.Random(11)
+    rows = [(k, f"u{rng.randrange(60)}", f"e{rng.randrange(60)}") for k in range(150)]
+    out = unique_insert_two_keys(spark.createDataFrame(rows, "seq long, u string, e string"), ("u", "e"), "seq", rounds_first=1)
+    assert {r.seq for r in out.collect() if r.accepted} == _sequential(rows)
