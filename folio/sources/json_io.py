@@ -13,18 +13,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def text_fields_schema(fields: list[str]) -> T.StructType:
-    """All fields as strings: any JSON scalar keeps its text, so typing and
-    its errors are decided afterwards, per field, with ``try_cast``."""
-    return T.StructType([T.StructField(f, T.StringType(), True) for f in fields])
-
-
-def parse_object(text: Column | str, fields: list[str]) -> Column:
-    """Struct of ``fields`` (as text) from a JSON object text column."""
-    c = F.col(text) if isinstance(text, str) else text
-    return F.from_json(c, text_fields_schema(fields), {"mode": "PERMISSIVE"})
-
-
 def is_json_object(text: Column | str) -> Column:
     """True when the whole text is one JSON object (never null)."""
     return object_entries(parse_whole(text)).isNotNull()

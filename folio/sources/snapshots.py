@@ -6,9 +6,6 @@ version into a new folder; only after that write job has committed is the
 version published by appending one row to the table's ``_versions`` log.
 Readers open the highest published version, so they never see a partial
 write, and a failed or retried job leaves no published trace.
-
-A version may record ``through_batch``: the last change batch folded into it
-(see ``streaming.change_stream``), so later batches are folded on read.
 """
 
 from __future__ import annotations
@@ -20,7 +17,7 @@ from pyspark.sql.utils import AnalysisException
 VERSIONS = "_versions"
 # What a table without any published version raises.
 MISSING = ("PATH_NOT_FOUND",)
-VERSIONS_SCHEMA = "version long, path string, through_batch long, max_key long"
+VERSIONS_SCHEMA = "version long, path string, max_key long"
 
 
 def _root(root: str) -> str:
@@ -47,11 +44,11 @@ def _exists(spark: SparkSession, path: str) -> bool:
 
 
 def latest_entry(spark: SparkSession, root: str) -> dict | None:
-    """``{version, path, through_batch}`` of the newest published version."""
+    """``{version, path, max_key}`` of the newest published version."""
     log = _versions(spark, root)
     if log is None:
         return None
-    row = log.agg(F.max_by(F.struct("version", "path", "through_batch", "max_key"), "version").alias("v")).first()["v"]
+    row = log.agg(F.max_by(F.struct("version", "path", "max_key"), "version").alias("v")).first()["v"]
     return row.asDict() if row else None
 
 
@@ -60,7 +57,7 @@ def latest_version(spark: SparkSession, root: str) -> tuple[int, str] | None:
     return (int(entry["version"]), entry["path"]) if entry else None
 
 
-def publish(df: DataFrame, root: str, version: int | None = None, through_batch: int | None = None,
+def publish(df: DataFrame, root: str, version: int | None = None,
             key: str | None = "id") -> int:
     """Write ``df`` as a new version under ``root`` and publish it.
 
@@ -87,7 +84,7 @@ def publish(df: DataFrame, root: str, version: int | None = None, through_batch:
     if key and key in df.columns:
         value = spark.read.parquet(path).agg(F.max(key)).first()[0]
         max_key = int(value) if value is not None else None
-    entry = spark.createDataFrame([(version, path, through_batch, max_key)], VERSIONS_SCHEMA)
+    entry = spark.createDataFrame([(version, path, max_key)], VERSIONS_SCHEMA)
     entry.coalesce(1).write.mode("append").parquet(f"{_root(root)}/{VERSIONS}")
     return version
 
