@@ -41,8 +41,8 @@ from folio.llm.common import partitions, stage
 from folio.llm.textscan import mix, powers
 
 LENGTH = 400
-GRAM = 160
-HOT_CONTEXTS = 4096
+GRAM = 100
+HOT_CONTEXTS = 16_384
 RUN_ROWS = 20_000               # suffixes sorted at a time within a task
 _U = np.uint64
 _BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
@@ -130,13 +130,14 @@ class Scanner:
         return doc, at + shift, digest(at, at + self.gram, 0), context, before, behind
 
     def strings(self, data: bytes, positions: np.ndarray):
-        """128-bit digests of all strings around ``positions`` of a document:
-        (start, digest, digest)."""
-        out = []
-        for p in positions.tolist():
-            low, high = max(0, p - self.left), min(p, len(data) - self.length)
+        """128-bit digests of all strings around ``positions`` of a document,
+        each string once: (start, digest, digest)."""
+        out, done = [], 0
+        for p in sorted(positions.tolist()):
+            low, high = max(done, p - self.left), min(p, len(data) - self.length)
             if high < low:
                 continue
+            done = high + 1
             digest = self._digests(np.frombuffer(data, np.uint8)[low: high + self.length])
             at = np.arange(high - low + 1)
             out.append((at + low, digest(at, at + self.length, 0), digest(at, at + self.length, 1)))
@@ -358,17 +359,21 @@ def repeated_spans(docs: DataFrame, uid: str, text_col: str, length: int = LENGT
 
     anchors = stage(texts.filter(F.octet_length("text") >= length).mapInPandas(
         scan, "gram long, context long, uid long, pos long, before int, behind int"), "suffix-anchors")
-    classes = anchors.groupBy("gram", "context", "before", "behind").agg(
-        F.count(F.lit(1)).alias("n"), F.min(F.struct("uid", "pos")).alias("who"))
-    classes = stage(classes, "suffix-classes")
+    # Most grams occur once and leave first, so that little else moves on.  The
+    # merge hints keep one plan at every size: all these sides grow.
+    several = anchors.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("gram")
+    anchors = stage(anchors.join(several.hint("merge"), "gram"), "suffix-repeated")
+    # A context digest covers its extent, so equal contexts have equal extents.
+    classes = stage(anchors.groupBy("gram", "context").agg(
+        F.count(F.lit(1)).alias("n"), F.min(F.struct("uid", "pos")).alias("who")), "suffix-classes")
     kinds = classes.groupBy("gram").agg(F.count(F.lit(1)).alias("kinds")).filter("kinds > 1")
 
-    whole = classes.filter((F.col("n") > 1) & (F.col("before") + F.col("behind") >= length)) \
-        .select("gram", "context", "before", "behind")
-    full = anchors.join(whole, ["gram", "context", "before", "behind"]) \
+    # An anchor stems from a string within its context, so all of it is covered.
+    whole = classes.filter("n > 1").select("gram", "context")
+    full = anchors.join(whole.hint("merge"), ["gram", "context"]) \
         .select("uid", (F.col("pos") - F.col("before")).alias("low"), (F.col("pos") + F.col("behind")).alias("high"))
 
-    open_ = stage(classes.join(kinds, "gram").select("gram", "kinds", "who.uid", "who.pos", (F.col("n") == 1).alias("alone")),
+    open_ = stage(classes.join(kinds.hint("merge"), "gram").select("gram", "kinds", "who.uid", "who.pos", (F.col("n") == 1).alias("alone")),
                   "suffix-open")
     some = open_.filter(F.col("kinds") <= hot)
     rows = some.agg(F.count(F.lit(1))).first()[0]
@@ -398,7 +403,7 @@ def repeated_spans(docs: DataFrame, uid: str, text_col: str, length: int = LENGT
                     count = 0
         yield flush()
 
-    merged = texts.join(wanted, "uid").mapInPandas(runs, "range int, run binary").groupBy("range").applyInPandas(
+    merged = texts.join(wanted.hint("merge"), "uid").mapInPandas(runs, "range int, run binary").groupBy("range").applyInPandas(
         lambda pdf: _merge_range(pdf, length, gram), "uid long, low long, high long")
 
     # Grams with very many contexts: count the strings around them instead.
@@ -415,8 +420,8 @@ def repeated_spans(docs: DataFrame, uid: str, text_col: str, length: int = LENGT
                     for low, a, b in scanner.strings(data, np.asarray(marks, np.int64)):
                         yield pd.DataFrame({"uid": uid_, "low": low, "a": a.view(np.int64), "b": b.view(np.int64)})
 
-        counted = stage(texts.join(places, "uid").mapInPandas(strings, "uid long, low long, a long, b long"), "suffix-strings")
-        twice = counted.distinct().groupBy("a", "b").count().filter("count > 1").select("a", "b")
+        counted = stage(texts.join(places.hint("merge"), "uid").mapInPandas(strings, "uid long, low long, a long, b long"), "suffix-strings")
+        twice = counted.groupBy("a", "b").count().filter("count > 1").select("a", "b")
         spans.append(counted.join(twice, ["a", "b"]).select("uid", "low", (F.col("low") + length).alias("high")))
     out = spans[0]
     for more in spans[1:]:
@@ -455,5 +460,5 @@ def remove_repeated_strings(docs: DataFrame, length: int = LENGTH, id_col: str =
             result = pd.DataFrame(out, columns=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"])
             yield result.astype({"doc_id": "Int64"})
 
-    return rows.join(by_doc, "uid", "left").select("doc_id", "text", "lows", "highs").mapInPandas(
+    return rows.join(by_doc.hint("merge"), "uid", "left").select("doc_id", "text", "lows", "highs").mapInPandas(
         keep, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")
