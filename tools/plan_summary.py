@@ -15,7 +15,7 @@ import sys
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-import __spark_entry__ as entry  # noqa: E402
+from folio.plans import registry  # noqa: E402
 from folio.session import build_session  # noqa: E402
 
 
@@ -39,7 +39,7 @@ def main() -> None:
     spark.sparkContext.setLogLevel("ERROR")
     print("| Query | Hash shuffles | Single-partition | Broadcasts | Joins | Aggregates | Window | Scans: columns read / pushed filters |")
     print("| --- | --- | --- | --- | --- | --- | --- | --- |")
-    for name, fn in entry.queries().items():
+    for name, fn in registry.QUERIES.items():
         plan = fn(spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
         s = summarise(plan)
         scans = "; ".join(f"{n} cols" + (f" / {p}" if p else "") for n, p in s["scans"])

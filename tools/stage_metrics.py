@@ -18,7 +18,7 @@ from collections import defaultdict
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-import __spark_entry__ as entry  # noqa: E402
+from folio.plans import registry  # noqa: E402
 from folio.session import build_session  # noqa: E402
 
 
@@ -29,8 +29,8 @@ def main() -> None:
         "spark.eventLog.enabled": "true", "spark.eventLog.dir": f"file://{log_dir}",
         "spark.eventLog.compress": "false"})
     spark.sparkContext.setLogLevel("ERROR")
-    names = list(entry.queries())
-    for name, fn in entry.queries().items():
+    names = list(registry.QUERIES)
+    for name, fn in registry.QUERIES.items():
         spark.sparkContext.setJobDescription(f"query:{name}")
         fn(spark, sf_dir).write.format("noop").mode("overwrite").save()
     spark.sparkContext.setJobDescription(None)
