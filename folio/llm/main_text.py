@@ -1,4 +1,4 @@
-"""Main text of web pages: structure first, then a host suffix array (operator 5).
+"""Main text of web pages: structure first, then the host's runs (operator 5).
 
 A page is read into blocks of text with the elements that hold them.  Markup
 that declares itself decides first: scripts, styles, forms and the like carry
@@ -7,14 +7,14 @@ comments are left out by element, role, class or id; and where a page names
 its article (``article``, ``main``), only that is kept.
 
 What structure leaves open -- blocks outside any article -- is decided by the
-host's pages together.  Their token streams are concatenated, a suffix array is
-built by prefix doubling, and every token within a run of ``MIN_RUN`` tokens
-that occurs on ``MIN_PAGES`` distinct pages of the host is covered.  Blocks
-that are covered are boilerplate; unique runs stay.  Pages of a host are
-dealt to groups of about ``GROUP_TOKENS`` tokens by a hash, so that a large
-host is many suffix arrays; boilerplate stands on enough pages to show in
-each.  Text inside a declared article is never removed for being repeated:
-articles may quote or copy each other.
+host's pages together: every token within a run of ``MIN_RUN`` tokens that
+occurs on ``MIN_PAGES`` distinct pages of the host is covered.  Blocks that are
+covered are boilerplate; unique runs stay.  Pages are dealt to parts by a hash
+of the row, hosts mixed; each part counts the pages of its runs, and the counts
+of all parts are added by the run's hash (which holds the host) before
+``MIN_PAGES`` is asked for, so that neither the parts nor the size of a host
+bear on the decision.  Text inside a declared article is never removed for
+being repeated: articles may quote or copy each other.
 """
 
 from __future__ import annotations
@@ -27,13 +27,15 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-
-from folio.llm.common import stage
+from pyspark.sql import types as T
 
 MIN_RUN = 8                     # tokens
 MIN_PAGES = 3
 COVERED = 0.8                   # share of a block's tokens
-GROUP_TOKENS = 400_000
+MIN_PARTS = 12
+PART_CHARS = 4_000_000          # of html; aimed at
+RANGE_CHARS = 32_000_000        # of html whose runs meet in a task; aimed at
+SPARE_BITS = 20                 # of a run's hash, beyond those that number the input's characters
 
 # Fixed values of HTML.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -160,31 +162,51 @@ def blocks(page: str) -> list[tuple[bool, str]]:
     return out
 
 
-def suffix_array(tokens: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
-    """Suffixes sorted by at least their first ``depth`` tokens, by prefix
-    doubling, and the common prefix of neighbours up to ``depth``."""
-    n = len(tokens)
-    rank = np.unique(tokens, return_inverse=True)[1].astype(np.int64)
-    step = 1
-    while True:
-        ahead = np.concatenate((rank[step:], np.full(min(step, n), -1)))
-        order = np.lexsort((ahead, rank))
-        new = np.cumsum(np.concatenate(([0], (rank[order][1:] != rank[order][:-1]) | (ahead[order][1:] != ahead[order][:-1]))))
-        rank = np.empty(n, np.int64)
-        rank[order] = new
-        step *= 2
-        if new[-1] == n - 1 or step >= min(n, depth):
-            break
-    # Runs are short: the prefixes of all neighbours are extended side by side.
-    lcp = np.zeros(n, np.int64)
-    live = np.arange(1, n)
-    for k in range(depth):
-        a, b = order[live - 1] + k, order[live] + k
-        fits = (a < n) & (b < n)
-        live, a, b = live[fits], a[fits], b[fits]
-        live = live[tokens[a] == tokens[b]]
-        lcp[live] = k + 1
-    return order, lcp
+def _mix(x: np.ndarray) -> np.ndarray:
+    """64-bit numbers spread over all 64 bits (the finalizer of splitmix64)."""
+    x = x.astype(np.uint64)
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+def _runs(tokens: np.ndarray, sizes: np.ndarray, salts: np.ndarray, run: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(start, page, hash) of every run of ``run`` tokens within a page.
+
+    ``tokens``: the pages' tokens one after another, ``sizes`` of them a page;
+    ``salts``: a number of each page's host, so that hosts share no run.
+    """
+    page = np.repeat(np.arange(len(sizes)), sizes)
+    start = np.arange(len(tokens))
+    start = start[start + run <= np.cumsum(sizes)[page]] if len(tokens) else start
+    wide = _mix(tokens)
+    found = np.zeros(len(start), np.uint64)
+    for k in range(run):
+        found = found * np.uint64(0x9E3779B97F4A7C15) + wide[start + k]
+    return start, page[start], _mix(found ^ salts[page[start]])
+
+
+def _count_pages(found: np.ndarray, page: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Sorted distinct ``found``, the distinct pages of each, and the place of
+    every element of ``found`` among them.  ``page`` ascends."""
+    if not len(found):
+        return found, np.zeros(0, np.int64), np.zeros(0, np.int64)
+    order = np.argsort(found, kind="stable")
+    ordered, of = found[order], page[order]
+    new = np.concatenate(([True], ordered[1:] != ordered[:-1]))
+    starts = np.flatnonzero(new)
+    pages = np.add.reduceat((new | np.concatenate(([True], of[1:] != of[:-1]))).astype(np.int64), starts)
+    place = np.empty(len(found), np.int64)
+    place[order] = np.cumsum(new) - 1
+    return ordered[starts], pages, place
+
+
+def _cover(n: int, starts: np.ndarray, run: int) -> np.ndarray:
+    """Which of ``n`` tokens lie in a run that begins at ``starts``."""
+    turns = np.zeros(n + 1, np.int64)
+    np.add.at(turns, starts, 1)
+    np.add.at(turns, starts + run, -1)
+    return np.cumsum(turns)[:-1] > 0
 
 
 def repeated_tokens(streams: list[np.ndarray], min_run: int = MIN_RUN, min_pages: int = MIN_PAGES) -> list[np.ndarray]:
@@ -192,49 +214,70 @@ def repeated_tokens(streams: list[np.ndarray], min_run: int = MIN_RUN, min_pages
     on ``min_pages`` distinct pages covers them."""
     if not streams:
         return []
-    # Every page ends with a token of its own, so no run crosses pages.
-    parts = [np.append(s, -1 - k) for k, s in enumerate(streams)]
-    tokens = np.concatenate(parts)
-    page = np.repeat(np.arange(len(parts)), [len(p) for p in parts])
-    order, lcp = suffix_array(tokens, min_run)
-    group = np.cumsum(lcp < min_run)        # suffixes with equal first tokens
-    pairs = np.unique(np.stack((group, page[order])), axis=1)
-    wide = np.bincount(pairs[0], minlength=group[-1] + 1) >= min_pages
-    starts = order[wide[group]]
-    starts = starts[starts + min_run <= len(tokens)]
-    turns = np.zeros(len(tokens) + 1, np.int64)
-    np.add.at(turns, starts, 1)
-    np.add.at(turns, starts + min_run, -1)
-    covered = np.cumsum(turns)[:-1] > 0
-    ends = np.cumsum([len(p) for p in parts])
-    return [covered[e - len(p): e - 1] for e, p in zip(ends, parts)]
-
-
-def _open_rows(batches):
-    """Pages with their kept blocks; ``stream``: hashed tokens of open blocks."""
-    for pdf in batches:
-        rows = []
-        for row, page in zip(pdf["row"], pdf["html"]):
-            kept = blocks(page or "")
-            if any(a for a, _ in kept):
-                kept, sizes, stream = [t for a, t in kept if a], [], []
-            else:
-                kept = [t for _, t in kept]
-                words = [t.split() for t in kept]
-                sizes = [len(w) for w in words]
-                stream = [zlib.crc32(x.encode("utf-8", "surrogatepass")) for w in words for x in w]
-            rows.append((row, kept, sizes, stream))
-        yield pd.DataFrame(rows, columns=["row", "blocks", "sizes", "stream"])
-
-
-def _decide(pdf: pd.DataFrame) -> pd.DataFrame:
-    pdf = pdf.sort_values("row")
-    covered = repeated_tokens([np.asarray(s, np.int64) for s in pdf["stream"]])
-    gone = []
-    for sizes, c in zip(pdf["sizes"], covered):
-        ends = np.cumsum(np.asarray(sizes, np.int64))
-        gone.append([k for k, (e, n) in enumerate(zip(ends, sizes)) if c[e - n: e].mean() >= COVERED])
-    return pd.DataFrame({"row": pdf["row"], "gone": gone})
+    sizes = np.array([len(s) for s in streams])
+    start, page, found = _runs(np.concatenate(streams), sizes, np.zeros(len(streams), np.uint64), min_run)
+    _, pages, place = _count_pages(found, page)
+    covered = _cover(sizes.sum(), start[pages[place] >= min_pages], min_run)
+    return np.split(covered, np.cumsum(sizes)[:-1])
+
+
+class _Part:
+    """The pages of one part: blocks, and the runs of the host's pages."""
+
+    def __init__(self, hosts: list, bodies: list, bits: int):
+        self.blocks = [[(x[0] == "a", x[1:]) for x in zlib.decompress(b).decode("utf-8", "surrogatepass").split("\n") if x]
+                       for b in bodies]
+        words = [[t.split() for _, t in page] for page in self.blocks]
+        self.block_sizes = [[len(w) for w in page] for page in words]
+        self.sizes = np.array([sum(x) for x in self.block_sizes], np.int64)
+        salts = _hashes([h or "" for h in hosts])
+        tokens = _hashes([x for page in words for w in page for x in w])
+        start, page, found = _runs(tokens, self.sizes, salts, MIN_RUN)
+        # A page with text also counts for its host.
+        own = np.flatnonzero(self.sizes)
+        all_pages = np.concatenate((page, own))
+        order = np.argsort(all_pages, kind="stable")
+        found = np.concatenate((found, _mix(salts[own] + np.uint64(1))))[order] >> np.uint64(64 - bits)
+        self.found, self.pages, place = _count_pages(found, all_pages[order])
+        back = np.empty(len(order), np.int64)
+        back[order] = place
+        self.start, self.page, self.place = start, page, back[:len(start)]
+        self.host = np.full(len(self.sizes), -1)
+        self.host[own] = back[len(start):]
+
+    def kept(self, totals: np.ndarray) -> list[str]:
+        """The text of each page, by the host's pages of each run."""
+        on = totals[self.place]
+        enough = on >= MIN_PAGES
+        covered = _cover(self.sizes.sum(), self.start[enough], MIN_RUN)
+        out, at = [], 0
+        for page, sizes in zip(self.blocks, self.block_sizes):
+            kept, declared = [], any(a for a, _ in page)
+            for (article, text), n in zip(page, sizes):
+                if article or not declared and covered[at: at + n].mean() < COVERED:
+                    kept.append(text)
+                at += n
+            out.append("\n".join(kept))
+        return out
+
+
+def _hashes(words: list[str]) -> np.ndarray:
+    return pd.util.hash_array(np.array(words, dtype=object)) if words else np.zeros(0, np.uint64)
+
+
+def _pack_sorted(values: np.ndarray) -> bytes:
+    """Ascending numbers as differences, lowest bytes first."""
+    steps = np.diff(values, prepend=np.uint64(0)).astype("<u8")
+    return zlib.compress(steps.view(np.uint8).reshape(-1, 8).T.tobytes(), 1)
+
+
+def _unpack_sorted(data: bytes) -> np.ndarray:
+    planes = np.frombuffer(zlib.decompress(data), np.uint8).reshape(8, -1)
+    return np.cumsum(np.ascontiguousarray(planes.T).view("<u8").ravel(), dtype=np.uint64)
+
+
+def _numbers(data: bytes) -> np.ndarray:
+    return np.frombuffer(zlib.decompress(data), "<u4").astype(np.int64)
 
 
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
@@ -245,27 +288,60 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
     its own kind.  Rows that repeat are pages of their own.  An empty table
     gives an empty frame; other columns are ignored.
     """
+    import pyarrow as pa
+
     host = F.lower(F.regexp_extract(F.coalesce(url_col, F.lit("")), r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1))
-    rows = pages.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("page_id"), F.col(url_col).alias("url"),
-                        F.col(html_col).alias("html"))
-    parsed = stage(_parse(rows, host), "pages-blocks")
-    open_pages = parsed.filter(F.size("stream") > 0).select("row", "host", "sizes", "stream")
-    groups = open_pages.groupBy("host").agg(F.ceil(F.sum(F.size("stream")) / GROUP_TOKENS).alias("groups"))
-    decided = (open_pages.join(groups, "host").withColumn("part", F.pmod(F.xxhash64("row"), F.col("groups")))
-               .groupBy("host", "part").applyInPandas(_decide, "row long, gone array<int>")
-               .filter(F.size("gone") > 0))
-    settled = parsed.filter(F.size("stream") == 0).select("page_id", "url", "blocks")
-    left = F.when(F.col("gone").isNull(), F.col("blocks")).otherwise(
-        F.filter("blocks", lambda t, k: ~F.array_contains(F.col("gone"), k)))
-    judged = parsed.filter(F.size("stream") > 0).join(decided, "row", "left").select("page_id", "url", left.alias("blocks"))
-    text = F.array_join("blocks", "\n")
-    return settled.union(judged).select("page_id", "url", text.alias("text"), F.length(text).cast("long").alias("n_chars"))
-
-
-def _parse(rows: DataFrame, host) -> DataFrame:
-    @F.pandas_udf("blocks array<string>, sizes array<int>, stream array<long>")
-    def parse(pages: pd.Series) -> pd.DataFrame:
-        frame = pd.DataFrame({"row": range(len(pages)), "html": pages.to_numpy()})
-        return next(_open_rows([frame]))[["blocks", "sizes", "stream"]]
-
-    return rows.withColumn("p", parse("html")).select("row", "page_id", "url", host.alias("host"), "p.*")
+    chars = pages.agg(F.sum(F.length(html_col))).first()[0] or 0
+    parts = max(MIN_PARTS, -(-chars // PART_CHARS))
+    bits = min(64, chars.bit_length() + SPARE_BITS)
+    range_bits = max(5, (chars // RANGE_CHARS).bit_length())
+    part = F.pmod(F.xxhash64(id_col, url_col, html_col), F.lit(parts)).cast("int")
+    parsed = pages.select(part.alias("part"), F.col(id_col).alias("page_id"), F.col(url_col).alias("url"), host.alias("host"),
+                          _parse(F.col(html_col)).alias("body"))
+
+    def part_of(table):
+        return _Part(table["host"].to_pylist(), table["body"].to_pylist(), bits)
+
+    def cuts(found):
+        return np.searchsorted(found, np.arange(1, 1 << range_bits, dtype=np.uint64) << np.uint64(bits - range_bits))
+
+    def gather(table):
+        own, rows = part_of(table), []
+        for k, (found, n) in enumerate(zip(np.split(own.found, cuts(own.found)), np.split(own.pages, cuts(own.found)))):
+            if len(found):
+                rows.append((table["part"][0].as_py(), k, _pack_sorted(found), zlib.compress(n.astype("<u4").tobytes(), 1)))
+        return pa.table(list(zip(*rows)) or [[]] * 4, schema=pa.schema(
+            [("part", pa.int32()), ("range", pa.int32()), ("runs", pa.binary()), ("pages", pa.binary())]))
+
+    def total(table):
+        """Pages of the whole host for each part's runs, 0 under MIN_PAGES."""
+        runs = [_unpack_sorted(x) for x in table["runs"].to_pylist()]
+        found, place = np.unique(np.concatenate(runs), return_inverse=True)
+        sums = np.bincount(place, np.concatenate([_numbers(x) for x in table["pages"].to_pylist()])).astype(np.int64)
+        each = np.split(np.where(sums < MIN_PAGES, 0, sums)[place], np.cumsum([len(x) for x in runs])[:-1])
+        return pa.table([table["part"], table["range"], pa.array([zlib.compress(x.astype("<u4").tobytes(), 1) for x in each], pa.binary())],
+                        names=["part", "range", "totals"])
+
+    def decide(table, totals):
+        own = part_of(table)
+        order = np.argsort(totals["range"].to_numpy())
+        all_totals = totals["totals"].to_pylist()
+        texts = own.kept(np.concatenate([np.zeros(0, np.int64)] + [_numbers(all_totals[k]) for k in order]))
+        return pa.table([table["page_id"], table["url"], pa.array(texts, pa.string())], names=["page_id", "url", "text"])
+
+    schema = T.StructType([T.StructField("page_id", pages.schema[id_col].dataType), T.StructField("url", pages.schema[url_col].dataType),
+                           T.StructField("text", T.StringType())])
+    runs = parsed.groupBy("part").applyInArrow(gather, "part int, range int, runs binary, pages binary")
+    totals = runs.groupBy("range").applyInArrow(total, "part int, range int, totals binary")
+    return (parsed.groupBy("part").cogroup(totals.groupBy("part")).applyInArrow(decide, schema)
+            .select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars")))
+
+
+def _parse(html):
+    """Kept blocks of a page, a line each behind a letter: in an article, open."""
+    @F.pandas_udf("binary")
+    def parse(pages: pd.Series) -> pd.Series:
+        return pd.Series([zlib.compress("\n".join("oa"[a] + t for a, t in blocks(x or "")).encode("utf-8", "surrogatepass"))
+                          for x in pages], dtype=object)
+
+    return parse(html)

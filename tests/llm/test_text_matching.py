@@ -164,6 +164,21 @@ def test_main_text_of_articles_and_of_unmarked_pages(spark):
     assert main_text.extract(pages.limit(0)).count() == 0
 
 
+def test_boilerplate_of_a_host_in_many_parts(spark, monkeypatch):
+    """Three pages of a host are enough however many parts its pages fill."""
+    rng = random.Random(9)
+    tail = "Sign up now for all the news that we will ever send"
+    story = [" ".join(f"w{rng.randrange(10 ** 6)}" for _ in range(30)) for _ in range(60)]
+    rows = [(k, f"http://hot.example.com/{k}", f"<p>{s}</p>" + f"<div>{tail}</div>" * (k % 20 == 0)) for k, s in enumerate(story)]
+    rows += [(100 + k, f"http://cold{k}.example.com/", f"<p>{story[k]}</p><div>{tail}</div>") for k in range(3)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    want = {k: s for k, s in enumerate(story)} | {100 + k: f"{story[k]}\n{tail}" for k in range(3)}
+    for size in (main_text.PART_CHARS, 300):
+        monkeypatch.setattr(main_text, "PART_CHARS", size)
+        for split in (1, 7):
+            assert {r["page_id"]: r["text"] for r in rows_of(main_text.extract(pages.repartition(split)))} == want
+
+
 def test_repeated_tokens_against_brute_force():
     rng = random.Random(3)
     for _ in range(100):
