@@ -3,18 +3,21 @@
 A page is read into blocks of text with the elements that hold them.  Markup
 that declares itself decides first: scripts, styles, forms and the like carry
 no text; menus, headers, footers, sidebars, adverts, notices and reader
-comments are left out by element, role, class or id; and where a page names
-its article (``article``, ``main``), only that is kept.
-
-What structure leaves open -- blocks outside any article -- is decided by the
-host's pages together: every token within a run of ``MIN_RUN`` tokens that
-occurs on ``MIN_PAGES`` distinct pages of the host is covered.  Blocks that are
-covered are boilerplate; unique runs stay.  Pages are dealt to parts by a hash
-of the row, hosts mixed; each part counts the pages of its runs, and the counts
+comments are left out by element, role, class or id.
+
+All blocks that structure leaves are judged by the host's pages together, those
+of pages with an ``article`` or ``main`` too: every token within a run of
+``MIN_RUN`` tokens that occurs on ``MIN_PAGES`` distinct pages of the host is
+covered.  Blocks that are covered are boilerplate; unique runs stay.  Pages are
+dealt to parts by a hash of the row, hosts mixed; each part counts the pages of its runs, and the counts
 of all parts are added by the run's hash (which holds the host) before
 ``MIN_PAGES`` is asked for, so that neither the parts nor the size of a host
-bear on the decision.  Text inside a declared article is never removed for
-being repeated: articles may quote or copy each other.
+bear on the decision.
+
+Articles may quote or copy each other, so a block inside one goes only for runs
+that also stand on ``ARTICLE_SHARE`` of the host's pages, and only where such
+blocks hold less than half of the page's article text: else it is a copy, and
+stays whole.
 """
 
 from __future__ import annotations
@@ -32,10 +35,11 @@ from pyspark.sql import types as T
 MIN_RUN = 8                     # tokens
 MIN_PAGES = 3
 COVERED = 0.8                   # share of a block's tokens
+ARTICLE_SHARE = 0.5             # of the host's pages, for a block inside an article
 MIN_PARTS = 12
 PART_CHARS = 4_000_000          # of html; aimed at
 RANGE_CHARS = 32_000_000        # of html whose runs meet in a task; aimed at
-SPARE_BITS = 20                 # of a run's hash, beyond those that number the input's characters
+SPARE_BITS = 17                 # of a run's hash, beyond those that number the input's characters
 
 # Fixed values of HTML.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -224,13 +228,12 @@ def repeated_tokens(streams: list[np.ndarray], min_run: int = MIN_RUN, min_pages
 class _Part:
     """The pages of one part: blocks, and the runs of the host's pages."""
 
-    def __init__(self, hosts: list, bodies: list, bits: int):
+    def __init__(self, salts: np.ndarray, bodies: list, bits: int):
         self.blocks = [[(x[0] == "a", x[1:]) for x in zlib.decompress(b).decode("utf-8", "surrogatepass").split("\n") if x]
                        for b in bodies]
         words = [[t.split() for _, t in page] for page in self.blocks]
         self.block_sizes = [[len(w) for w in page] for page in words]
         self.sizes = np.array([sum(x) for x in self.block_sizes], np.int64)
-        salts = _hashes([h or "" for h in hosts])
         tokens = _hashes([x for page in words for w in page for x in w])
         start, page, found = _runs(tokens, self.sizes, salts, MIN_RUN)
         # A page with text also counts for its host.
@@ -248,16 +251,19 @@ class _Part:
     def kept(self, totals: np.ndarray) -> list[str]:
         """The text of each page, by the host's pages of each run."""
         on = totals[self.place]
-        enough = on >= MIN_PAGES
-        covered = _cover(self.sizes.sum(), self.start[enough], MIN_RUN)
+        here = np.where(self.host < 0, 0, totals[self.host])[self.page] if len(totals) else on
+        n = self.sizes.sum()
+        covered = _cover(n, self.start[on >= MIN_PAGES], MIN_RUN)
+        common = _cover(n, self.start[(on >= MIN_PAGES) & (on >= ARTICLE_SHARE * here)], MIN_RUN)
         out, at = [], 0
         for page, sizes in zip(self.blocks, self.block_sizes):
-            kept, declared = [], any(a for a, _ in page)
-            for (article, text), n in zip(page, sizes):
-                if article or not declared and covered[at: at + n].mean() < COVERED:
-                    kept.append(text)
-                at += n
-            out.append("\n".join(kept))
+            ends = at + np.cumsum(sizes)
+            repeated = [(common if a else covered)[e - k: e].mean() >= COVERED for (a, _), e, k in zip(page, ends, sizes)]
+            inside = sum(k for (a, _), k in zip(page, sizes) if a)
+            doubtful = sum(k for (a, _), k, r in zip(page, sizes, repeated) if a and r)
+            copied = 2 * doubtful >= inside
+            out.append("\n".join(t for (a, t), r in zip(page, repeated) if not r or a and copied))
+            at += sum(sizes)
         return out
 
 
@@ -296,11 +302,11 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
     bits = min(64, chars.bit_length() + SPARE_BITS)
     range_bits = max(5, (chars // RANGE_CHARS).bit_length())
     part = F.pmod(F.xxhash64(id_col, url_col, html_col), F.lit(parts)).cast("int")
-    parsed = pages.select(part.alias("part"), F.col(id_col).alias("page_id"), F.col(url_col).alias("url"), host.alias("host"),
+    parsed = pages.select(part.alias("part"), F.col(id_col).alias("page_id"), F.col(url_col).alias("url"), F.xxhash64(host).alias("salt"),
                           _parse(F.col(html_col)).alias("body"))
 
     def part_of(table):
-        return _Part(table["host"].to_pylist(), table["body"].to_pylist(), bits)
+        return _Part(table["salt"].to_numpy().astype(np.uint64), table["body"].to_pylist(), bits)
 
     def cuts(found):
         return np.searchsorted(found, np.arange(1, 1 << range_bits, dtype=np.uint64) << np.uint64(bits - range_bits))

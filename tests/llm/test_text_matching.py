@@ -179,6 +179,24 @@ def test_boilerplate_of_a_host_in_many_parts(spark, monkeypatch):
             assert {r["page_id"]: r["text"] for r in rows_of(main_text.extract(pages.repartition(split)))} == want
 
 
+def test_articles_lose_the_host_s_notices_and_keep_quotes_and_copies(spark):
+    rng = random.Random(12)
+    words = lambda n: " ".join(f"w{rng.randrange(10 ** 6)}" for _ in range(n))
+    notice, quote, advert = (f"{x} " + words(11) for x in ("Notice", "Quote", "Advert"))
+    story, aside = [words(40) for _ in range(12)], [f"Outside {words(9)}" for _ in range(12)]
+    rows, want = [], {}
+    for k in range(12):
+        quoted = f"<p>{quote}</p>" * (k < 4)
+        rows.append((k, f"http://a.example.com/{k}", f"<div>{aside[k]}</div><div>{advert}</div><article><p>{story[k]}</p>{quoted}<p>{notice}</p></article>"))
+        want[k] = "\n".join([aside[k], story[k]] + [quote] * (k < 4))
+    # A host whose pages are copies of one article.
+    rows += [(100 + k, f"http://b.example.com/{k}", f"<main><p>{story[0]}</p><p>{story[1]}</p><p>{words(8)}</p></main>") for k in range(5)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r["page_id"]: r["text"] for r in rows_of(main_text.extract(pages))}
+    assert {k: got[k] for k in range(12)} == want
+    assert all(got[100 + k].startswith(f"{story[0]}\n{story[1]}\nw") for k in range(5))
+
+
 def test_repeated_tokens_against_brute_force():
     rng = random.Random(3)
     for _ in range(100):
