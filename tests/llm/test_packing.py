@@ -70,6 +70,66 @@ def test_windows_hold_the_mixture_across_partitions(spark, monkeypatch):
             assert all(abs(seen[s] - at * total[s] / size) < 4000 for s in seen)
 
 
+def off_target(pieces, shares=None):
+    """Largest distance of a source from its share at any window's end."""
+    total = {}
+    for p in pieces:
+        total[p["source"]] = total.get(p["source"], 0) + p["length"]
+    size = sum(total.values())
+    seen, at, worst = dict.fromkeys(total, 0), 0, 0
+    for p in sorted(pieces, key=lambda p: (p["sequence_id"], p["offset"])):
+        seen[p["source"]] += p["length"]
+        at += p["length"]
+        if at % 1024 == 0 or at == size:
+            worst = max([worst] + [abs(seen[s] - at * total[s] / size) for s in seen])
+    return worst
+
+
+def test_no_partition_runs_dry(spark, monkeypatch):
+    """A very long document and sources of uneven documents over 20 partitions:
+    every window to the end is within two packets of the shares."""
+    rows = [(k, " ".join(f"some words {i}" for i in range(10 + k * 37 % 190)), "en", "hot" if k % 2 else "abc"[k % 3]) for k in range(700)]
+    rows.append((9000, " ".join(f"a very long one {i}" for i in range(20_000)), "en", "b"))
+    rows += [(9001, "the same again and again " * 900, "en", None)] * 3
+    found = []
+    for size, split in ((10_000, 3), (10_000, 8), (2_000_000, 3)):
+        monkeypatch.setattr(packing, "PARTITION_TOKENS", size)
+        pieces = rows_of(packing.pack(docs_frame(spark, rows).repartition(split), VOCABULARY))
+        check_pieces(rows, pieces)
+        assert off_target(pieces) <= 256
+        found.append(sorted(tuple(map(str, p.values())) for p in pieces))
+    assert found[0] == found[1]
+
+
+def test_shares_hold_until_a_source_is_served(spark, monkeypatch):
+    """a (half of every window) ends first; b and c go on at 3 to 1."""
+    monkeypatch.setattr(packing, "PARTITION_TOKENS", 8_000)
+    rows = [(k, " ".join(f"some words {i}" for i in range(10 + k * 37 % 90)), "en", "abbbccd"[k % 7]) for k in range(700)]
+    pieces = rows_of(packing.pack(docs_frame(spark, rows), VOCABULARY, shares={"a": 4, "b": 3, "c": 1}))
+    check_pieces(rows, pieces)
+    total = {s: sum(p["length"] for p in pieces if p["source"] == s) for s in "abcd"}
+    seen, at = dict.fromkeys("abcd", 0), 0
+    for p in sorted(pieces, key=lambda p: (p["sequence_id"], p["offset"])):
+        seen[p["source"]] += p["length"]
+        at += p["length"]
+        if at % 1024 == 0 and at <= 2 * total["a"]:
+            assert all(abs(seen[s] - at * w / 8) <= 256 for s, w in (("a", 4), ("b", 3), ("c", 1)))
+        elif at % 1024 == 0 and seen["b"] < total["b"] - 1024:
+            past = at - 2 * total["a"]
+            assert all(abs(seen[s] - total["a"] * w / 4 - past * w / 4) <= 256 for s, w in (("b", 3), ("c", 1)))
+        if seen["b"] < total["b"] or seen["c"] < total["c"]:
+            assert seen["d"] <= 1024
+    assert seen == total
+
+
+def test_cuts_are_whole_and_ascend():
+    for totals, shares in (({"a": 10, "b": 100_000, "c": 7}, {"a": 10, "b": 100_000, "c": 7}), ({"a": 900, "b": 40, "c": 3}, {"a": 1, "b": 5}), ({}, {})):
+        cuts = packing._Schedule(totals, shares).cuts(64)
+        size = sum(totals.values())
+        assert cuts[-1] == totals and [sum(c.values()) for c in cuts] == [min(64 * k, size) for k in range(len(cuts))]
+        assert all(a[s] <= b[s] for a, b in zip(cuts, cuts[1:]) for s in totals)
+
+
 def test_deficits_are_carried_within_a_packet():
     from collections import deque
     queues = {"a": deque([(k, 50) for k in range(600)]), "b": deque([(k, 700) for k in range(15)]), "c": deque([(0, 5000)])}
