@@ -54,8 +54,34 @@ SELECT e.vec_id, CAST(coalesce(n.n_links, 0) AS BIGINT) AS n_links, c.component_
 FROM embeddings e JOIN c ON c.a = e.vec_id LEFT JOIN n ON n.a = e.vec_id
 """
 
+# Pairs of equal words q apart form islands: an island of m pairs is a run of
+# m + q words.  3988292384 is the polynomial of crc32.
+OP11 = r"""
+WITH c AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^ \t\n\x0B\f\r]+') AS ws,
+  list_reduce(list_prepend(CAST(4294967295 AS BIGINT), list_transform(regexp_extract_all(CAST(doc_id AS VARCHAR), '.'), lambda x: CAST(ascii(x) AS BIGINT))),
+    lambda s, b: list_reduce(list_prepend(xor(s, b), [CAST(0 AS BIGINT) FOR k IN range(8)]),
+      lambda x, k: CASE WHEN x & 1 = 1 THEN xor(x >> 1, CAST(3988292384 AS BIGINT)) ELSE x >> 1 END)) AS s FROM documents),
+h AS (SELECT doc_id, ws, len(ws) AS n, xor(s, CAST(4294967295 AS BIGINT)) AS h FROM c),
+g AS (SELECT *, h // 10 AS g, h % 10 = 0 AND n > 0 AS planted, CASE WHEN n > 0 THEN (h // 10) % n END AS a FROM h),
+p AS (SELECT *, 1 + (n - a) // (3 + g % 8) AS p FROM g),
+w AS (SELECT doc_id, i, CASE WHEN planted AND i >= a THEN ws[a + (i - a) % p + 1] ELSE ws[i + 1] END AS w, n
+      FROM (SELECT doc_id, ws, n, planted, a, p, unnest(range(n)) AS i FROM p)),
+m AS (SELECT x.doc_id, x.i, y.i - x.i AS q FROM w x JOIN w y ON x.doc_id = y.doc_id AND x.w = y.w AND y.i > x.i AND 4 * (y.i - x.i) <= x.n),
+t AS (SELECT doc_id, q, i, i - row_number() OVER (PARTITION BY doc_id, q ORDER BY i) AS island FROM m),
+e AS (SELECT doc_id, q, min(i) AS s, count(*) + q AS len FROM t GROUP BY doc_id, q, island HAVING count(*) >= 3 * q AND count(*) + q >= 6),
+r AS (SELECT doc_id, s, len, min(q) AS q FROM e GROUP BY doc_id, s, len),
+k AS (SELECT doc_id, count(*) AS n_runs, string_agg(s || ',' || len || ',' || q || chr(10), '' ORDER BY s, q) AS txt FROM r GROUP BY doc_id),
+b AS (SELECT DISTINCT ON (doc_id) doc_id, s, len, q FROM r ORDER BY doc_id, CAST(len AS DOUBLE) / q DESC, s, q),
+d AS (SELECT DISTINCT doc_id, unnest(range(s + q, s + len)) AS i FROM r),
+o AS (SELECT w.doc_id, string_agg(w.w, ' ' ORDER BY w.i) AS kept FROM w LEFT JOIN d ON d.doc_id = w.doc_id AND d.i = w.i WHERE d.i IS NULL GROUP BY w.doc_id)
+SELECT c.doc_id, coalesce(k.n_runs, 0) AS n_runs, b.s AS start, b.len AS length, b.q AS period,
+       (1000 * b.len) // b.q AS exponent_milli, sha256(coalesce(k.txt, '')) AS runs_sha256, sha256(coalesce(o.kept, '')) AS collapsed_sha256
+FROM c LEFT JOIN k ON k.doc_id = c.doc_id LEFT JOIN b ON b.doc_id = c.doc_id LEFT JOIN o ON o.doc_id = c.doc_id
+"""
+
 ORACLE_SQL = {
     "op1_embedding_near_dedup": OP1,
     "op8_minhash_near_dedup": OP8,
     "op9_line_runs": OP9,
+    "op11_periodic_runs": OP11,
 }

@@ -9,7 +9,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from folio.llm import embeddings, language, line_runs, main_text, minhash, mixing, packing, piecewise, suffix_runs, toxicity
+from folio.llm import embeddings, language, line_runs, main_text, minhash, mixing, packing, periodic_runs, piecewise, suffix_runs, toxicity
 from folio.llm.common import crc_mod, documents
 from folio.llm.oracles import ORACLE_SQL  # noqa: F401  (re-exported)
 
@@ -72,6 +72,36 @@ def op10_mix_sources(spark, sf_dir):
     return mixing.taken_words(documents(spark, sf_dir))
 
 
+def planted_periods(docs):
+    """``docs`` with a text made periodic from some word on, where the crc32 of
+    the id ends in 0 (operator 11's input)."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    words = F.when(h % 10 == 0, F.regexp_extract_all("text", F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0)))
+    g = F.floor(h / 10)
+    rows = docs.select("doc_id", "text", words.alias("_words"), g.alias("_g")).withColumn("_n", F.size("_words"))
+    rows = rows.withColumn("_a", F.when(F.col("_n") > 0, F.col("_g") % F.col("_n")).cast("int"))
+    rest = F.col("_n") - F.col("_a")
+    rows = rows.withColumn("_p", (1 + F.floor(rest / (3 + F.col("_g") % 8))).cast("int"))
+    block = F.slice("_words", F.col("_a") + 1, F.col("_p"))
+    again = F.slice(F.flatten(F.array_repeat(block, F.ceil(rest / F.col("_p")).cast("int"))), F.lit(1), rest)
+    changed = F.concat_ws(" ", F.slice("_words", F.lit(1), F.col("_a")), again)
+    return rows.select("doc_id", F.when(F.col("_n") > 0, changed).otherwise(F.col("text")).alias("text"))
+
+
+def op11_periodic_runs(spark, sf_dir):
+    """Runs of repeated words of every document, some of them made periodic."""
+    found = periodic_runs.periodic_runs(planted_periods(documents(spark, sf_dir)))
+    best = F.aggregate(
+        "runs", F.lit(None).cast("struct<start:bigint,length:bigint,period:bigint>"),
+        lambda top, run: F.when(top.isNull() | (run["length"] * top["period"] > top["length"] * run["period"]), run).otherwise(top))
+    lines = F.transform("runs", lambda run: F.concat(F.concat_ws(",", *(run[c].cast("string") for c in ("start", "length", "period"))), F.lit("\n")))
+    return found.withColumn("_best", best).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"),
+        F.col("_best.start").alias("start"), F.col("_best.length").alias("length"), F.col("_best.period").alias("period"),
+        F.expr("(1000 * _best.length) div _best.period").alias("exponent_milli"),
+        F.sha2(F.concat_ws("", lines), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
 QUERIES = {
     "op1_embedding_near_dedup": op1_embedding_near_dedup,
     "op2_mixture_packing": op2_mixture_packing,
@@ -83,4 +113,5 @@ QUERIES = {
     "op8_minhash_near_dedup": op8_minhash_near_dedup,
     "op9_line_runs": op9_line_runs,
     "op10_mix_sources": op10_mix_sources,
+    "op11_periodic_runs": op11_periodic_runs,
 }
