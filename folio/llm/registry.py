@@ -9,7 +9,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from folio.llm import embeddings, language, line_runs, main_text, minhash, mixing, packing, periodic_runs, piecewise, suffix_runs, toxicity
+from folio.llm import embeddings, language, line_runs, main_text, minhash, mixing, packing, periodic_runs, piece_codec, piecewise, suffix_runs, toxicity
 from folio.llm.common import crc_mod, documents
 from folio.llm.oracles import ORACLE_SQL  # noqa: F401  (re-exported)
 
@@ -102,6 +102,17 @@ def op11_periodic_runs(spark, sf_dir):
         F.sha2(F.concat_ws("", lines), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
 
 
+def op12_sentencepiece(spark, sf_dir):
+    """Pieces of every document, and the digest of their decoded text."""
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    rows = piece_codec.decode(piece_codec.encode(documents(spark, sf_dir), model), model)
+    return rows.select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+        F.coalesce(F.try_element_at("ends", F.lit(-1)), F.lit(0).cast("long")).alias("n_bytes"))
+
+
 QUERIES = {
     "op1_embedding_near_dedup": op1_embedding_near_dedup,
     "op2_mixture_packing": op2_mixture_packing,
@@ -114,4 +125,5 @@ QUERIES = {
     "op9_line_runs": op9_line_runs,
     "op10_mix_sources": op10_mix_sources,
     "op11_periodic_runs": op11_periodic_runs,
+    "op12_sentencepiece": op12_sentencepiece,
 }
