@@ -2,6 +2,7 @@
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _WORDS = r"regexp_extract_all({text}, '[^ \t\n\x0B\f\r]+')"
+_TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 
 OP8 = f"""
 WITH RECURSIVE w AS (SELECT doc_id, {_WORDS.format(text=_LOWER)} AS ws FROM documents),
@@ -79,9 +80,25 @@ SELECT c.doc_id, coalesce(k.n_runs, 0) AS n_runs, b.s AS start, b.len AS length,
 FROM c LEFT JOIN k ON k.doc_id = c.doc_id LEFT JOIN b ON b.doc_id = c.doc_id LEFT JOIN o ON o.doc_id = c.doc_id
 """
 
+OP13 = f"""
+WITH t AS (SELECT doc_id, unnest(regexp_extract_all({_LOWER}, '{_TERM}')) AS term FROM documents),
+tf AS (SELECT doc_id, term, count(*) AS tf FROM t GROUP BY ALL),
+d AS (SELECT doc_id, count(*) AS n FROM t GROUP BY doc_id),
+g AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS total FROM d),
+w AS (SELECT term, CAST(floor(1000 * ln((2 * any_value(docs) + 2) / (2 * count(*) + 1))) AS BIGINT) AS w FROM tf, g GROUP BY term),
+s AS (SELECT tf.doc_id, term, w * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * docs) // total))) AS s
+      FROM tf JOIN d USING (doc_id) JOIN w USING (term), g),
+q AS (SELECT item_id, unnest(regexp_extract_all({_LOWER}, '{_TERM}')) AS term FROM benchmark),
+c AS (SELECT item_id, term, count(*) AS c FROM q GROUP BY ALL),
+r AS (SELECT item_id, doc_id, CAST(sum(c * s) AS BIGINT) AS score FROM c JOIN s USING (term) GROUP BY ALL HAVING sum(c * s) > 0),
+k AS (SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score FROM r)
+SELECT * FROM k WHERE rank <= 20
+"""
+
 ORACLE_SQL = {
     "op1_embedding_near_dedup": OP1,
     "op8_minhash_near_dedup": OP8,
     "op9_line_runs": OP9,
     "op11_periodic_runs": OP11,
+    "op13_ranked_search": OP13,
 }

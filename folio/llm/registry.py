@@ -9,7 +9,10 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from folio.llm import embeddings, language, line_runs, main_text, minhash, mixing, packing, periodic_runs, piece_codec, piecewise, suffix_runs, toxicity
+from folio.llm import (
+    embeddings, language, line_runs, main_text, minhash, mixing, packing, periodic_runs, piece_codec, piecewise,
+    ranked_search, suffix_runs, toxicity,
+)
 from folio.llm.common import crc_mod, documents
 from folio.llm.oracles import ORACLE_SQL  # noqa: F401  (re-exported)
 
@@ -113,6 +116,11 @@ def op12_sentencepiece(spark, sf_dir):
         F.coalesce(F.try_element_at("ends", F.lit(-1)), F.lit(0).cast("long")).alias("n_bytes"))
 
 
+def op13_ranked_search(spark, sf_dir):
+    """The 20 best documents for every benchmark item."""
+    return ranked_search.rank_documents(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 QUERIES = {
     "op1_embedding_near_dedup": op1_embedding_near_dedup,
     "op2_mixture_packing": op2_mixture_packing,
@@ -126,4 +134,5 @@ QUERIES = {
     "op10_mix_sources": op10_mix_sources,
     "op11_periodic_runs": op11_periodic_runs,
     "op12_sentencepiece": op12_sentencepiece,
+    "op13_ranked_search": op13_ranked_search,
 }
