@@ -83,9 +83,13 @@ def require_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def shared_checkpoint_dir(spark: SparkSession) -> str:
-    """The session's shared folder; a scratch folder only where the session
-    names none at all (a local run), never on a cluster that names one."""
-    folder = checkpoint_dir(spark) or tempfile.mkdtemp(prefix="folio-ckpt-")
+    """The session's shared folder; a scratch folder only where a local
+    session names none.  On a cluster a folder of one machine would not be
+    seen by the others, so a cluster without one is refused."""
+    folder = checkpoint_dir(spark)
+    if not folder and not spark.sparkContext.master.startswith("local"):
+        return require_checkpoint_dir(spark)
+    folder = folder or tempfile.mkdtemp(prefix="folio-ckpt-")
     use_checkpoint_dir(spark, fallback=folder)
     return folder
 
