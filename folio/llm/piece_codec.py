@@ -9,9 +9,8 @@ type BPE, and for every id the bytes of the original text it stands for:
   keeps the place of its source, so white space that is added, joined or
   escaped costs no alignment;
 * pieces are merged in the order of their scores, the leftmost of equals
-  first.  Where no piece of the vocabulary can cross (before a space symbol,
-  around characters that only stand alone) the text is cut and the parts are
-  merged apart and remembered;
+  first.  Before a space symbol, where no piece of the vocabulary crosses it,
+  the text is cut; the parts are merged apart, many at a time, and remembered;
 * a character without a piece falls back to the pieces of its bytes, of which
   the last carries the character's span;
 * the character bounds of every piece are looked up in the alignment.
@@ -21,8 +20,8 @@ added in front goes, runs of byte pieces are read as UTF-8 and each byte that
 is none becomes U+FFFD, control pieces vanish.
 
 Texts are independent rows: no shuffle, one Arrow slice of about
-``SLICE_CHARS`` characters (or one longer text) at a time.  The table of
-remembered parts has a fixed size per worker and changes no result.
+``SLICE_CHARS`` bytes (or one longer text) at a time.  The tables of
+remembered parts have a fixed size per worker and change no result.
 
 Null and empty texts have no pieces and decode to an empty text; a null list
 of ids decodes to an empty text; equal rows give equal results; an empty table
@@ -35,6 +34,7 @@ from __future__ import annotations
 import codecs
 import re
 from heapq import heapify, heappop, heappush
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -45,7 +45,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 SPACE = "▁"
 SLICE_CHARS = 2_000_000
-REMEMBERED = 200_000         # parts of at most REMEMBERED_CHARS characters
+REMEMBERED = 250_000         # parts of at most REMEMBERED_CHARS characters, twice
 REMEMBERED_CHARS = 48
 _SHORT = 64                  # longer parts are merged through a heap
 # Fixed values of the model format: kinds of pieces.
@@ -142,10 +142,12 @@ class PieceModel:
         long_pieces = [p for p in self.ids if len(p) > 1]
         crossing = any(a != SPACE and b == SPACE for p in long_pieces for a, b in zip(p, p[1:]))
         self.part_re = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+") if not crossing else None
-        joined = {c for p in long_pieces for c in p}
         # A character of no longer piece is merged with nothing.
-        self.alone_re = re.compile("[^" + "".join(re.escape(c) for c in sorted(joined)) + "]") if joined else None
-        self.seen = {}
+        joined = {c for p in long_pieces for c in p}
+        self.number = self.ids | self.reserved
+        self._build_pairs(long_pieces, joined)
+        # Parts met lately, and those met before them.
+        self.seen, self.seen_before = {}, {}
 
     # -- normalising ------------------------------------------------------
 
@@ -226,29 +228,94 @@ class PieceModel:
 
     # -- merging ----------------------------------------------------------
 
-    def _merged(self, part: str) -> list[str]:
-        """The pieces of a part, merged until no pair is a piece."""
-        cost = self.cost.get
-        never = float("inf")
-        pieces = list(part)
-        if len(pieces) <= _SHORT:
-            pair = [cost(a + b, never) for a, b in zip(pieces, pieces[1:])]
-            while pair:
-                best = min(pair)
-                if best == never:
+    def _build_pairs(self, long_pieces: list[str], joined: set[str]) -> None:
+        """Symbols (pieces and characters of pieces) and, for every two that
+        make a piece, its cost and symbol, in the order of the pair's key."""
+        names = sorted(self.ids.keys() | joined)
+        symbol = {name: k for k, name in enumerate(names)}
+        # The last entry stands for characters that are no symbol.
+        self.symbol_id = np.array([self.number.get(name, -1) for name in names] + [-1], np.int64)
+        self.symbol_width = np.array([len(name) for name in names] + [1], np.int64)
+        self.symbol_of = np.full(0x110000, len(names), np.int64)
+        for c in joined | {name for name in names if len(name) == 1}:
+            self.symbol_of[ord(c)] = symbol[c]
+        pairs = []
+        for piece in long_pieces:
+            for k in range(1, len(piece)):
+                left, right = symbol.get(piece[:k]), symbol.get(piece[k:])
+                if left is not None and right is not None:
+                    pairs.append((left * (len(names) + 1) + right, self.cost[piece], symbol[piece]))
+        pairs.sort()
+        self.pair_key = np.array([x[0] for x in pairs] or [-1], np.int64)
+        self.pair_cost = np.array([x[1] for x in pairs] + [np.inf])
+        self.pair_symbol = np.array([x[2] for x in pairs] + [-1], np.int64)
+
+    def _pairs(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Cost and symbol of two neighbours' piece; infinite where none."""
+        key = left * len(self.symbol_id) + right
+        at = np.minimum(np.searchsorted(self.pair_key, key), len(self.pair_key) - 1)
+        at = np.where(self.pair_key[at] == key, at, len(self.pair_cost) - 1)
+        return self.pair_cost[at], self.pair_symbol[at]
+
+    def _merge_together(self, parts: list[str]) -> list[tuple[tuple, tuple]]:
+        """Ids and widths of many parts.  In every round the cheapest pair of
+        each part, the leftmost of equals, is merged in all of them at once."""
+        if not parts:
+            return []
+        text = "".join(parts)
+        symbol = self.symbol_of[np.frombuffer(text.encode("utf-32-le"), "<u4")]
+        bounds = np.concatenate(([0], np.cumsum([len(p) for p in parts])))
+        place = np.arange(len(text))
+        part = np.repeat(np.arange(len(parts)), np.diff(bounds))
+        cost, joined = np.full(len(text), np.inf), np.full(len(text), -1, np.int64)
+        inner = np.flatnonzero(part[1:] == part[:-1])
+        cost[inner], joined[inner] = self._pairs(symbol[inner], symbol[inner + 1])
+        ready = []
+        while len(part):
+            first = np.flatnonzero(np.concatenate(([True], part[1:] != part[:-1])))
+            best = np.repeat(np.minimum.reduceat(cost, first), np.diff(np.append(first, len(part))))
+            open_ = best < np.inf
+            if not open_.all():
+                ready.append((place[~open_], symbol[~open_]))
+                place, symbol, part, cost, joined, best = (x[open_] for x in (place, symbol, part, cost, joined, best))
+                if not len(part):
                     break
-                k = pair.index(best)
-                pieces[k:k + 2] = [pieces[k] + pieces[k + 1]]
-                del pair[k]
-                if k < len(pair):
-                    pair[k] = cost(pieces[k] + pieces[k + 1], never)
-                if k:
-                    pair[k - 1] = cost(pieces[k - 1] + pieces[k], never)
-            return pieces
+            at = np.flatnonzero(cost == best)
+            at = at[np.concatenate(([True], part[at[1:]] != part[at[:-1]]))]
+            symbol[at] = joined[at]
+            kept = np.ones(len(part), bool)
+            kept[at + 1] = False
+            place, symbol, part, cost, joined = (x[kept] for x in (place, symbol, part, cost, joined))
+            at = at - np.arange(len(at))
+            # The pairs on both sides of a merged symbol are new.
+            at = np.concatenate((at, at[at > 0] - 1))
+            last = at == len(part) - 1
+            right = np.where(last, at, at + 1)
+            inside = ~last & (part[at] == part[right])
+            cost[at], joined[at] = np.inf, -1
+            at, right = at[inside], right[inside]
+            cost[at], joined[at] = self._pairs(symbol[at], symbol[right])
+        place, symbol = (np.concatenate(x) for x in zip(*ready))
+        turn = np.argsort(place)
+        place, symbol = place[turn], symbol[turn]
+        ids, split = self.symbol_id[symbol].tolist(), np.searchsorted(place, bounds).tolist()
+        widths, places = self.symbol_width[symbol].tolist(), np.append(place, len(text)).tolist()
+        odd = set(np.searchsorted(bounds, place[self.symbol_id[symbol] < 0], side="right").tolist())
+        out = []
+        for k, (lo, hi) in enumerate(zip(split, split[1:])):
+            if k + 1 in odd:
+                out.append(self._numbered([text[a:b] for a, b in zip(places[lo:hi], places[lo + 1:hi + 1])]))
+            else:
+                out.append((tuple(ids[lo:hi]), tuple(widths[lo:hi])))
+        return out
+
+    def _merge_long(self, part: str) -> tuple[tuple, tuple]:
+        """Ids and widths of one long part, its pairs in a heap."""
+        cost = self.cost
+        pieces = list(part)
         n = len(pieces)
         before, after = list(range(-1, n - 1)), list(range(1, n + 1))
-        heap = [(cost(pieces[k] + pieces[k + 1]), k, pieces[k] + pieces[k + 1])
-                for k in range(n - 1) if pieces[k] + pieces[k + 1] in self.cost]
+        heap = [(cost[a + b], k, a + b) for k, (a, b) in enumerate(zip(pieces, pieces[1:])) if a + b in cost]
         heapify(heap)
         while heap:
             _, k, joined = heappop(heap)
@@ -260,19 +327,17 @@ class PieceModel:
             after[k] = after[right]
             if after[k] < n:
                 before[after[k]] = k
-                if joined + pieces[after[k]] in self.cost:
-                    heappush(heap, (cost(joined + pieces[after[k]]), k, joined + pieces[after[k]]))
-            if before[k] >= 0 and pieces[before[k]] + joined in self.cost:
-                heappush(heap, (cost(pieces[before[k]] + joined), before[k], pieces[before[k]] + joined))
-        return [p for p in pieces if p]
+                if joined + pieces[after[k]] in cost:
+                    heappush(heap, (cost[joined + pieces[after[k]]], k, joined + pieces[after[k]]))
+            if before[k] >= 0 and pieces[before[k]] + joined in cost:
+                heappush(heap, (cost[pieces[before[k]] + joined], before[k], pieces[before[k]] + joined))
+        return self._numbered([p for p in pieces if p])
 
     def _numbered(self, pieces: list[str]) -> tuple[tuple, tuple]:
         """Ids of pieces and the characters that each stands for."""
         ids, widths = [], []
         for p in pieces:
-            k = self.reserved.get(p)
-            if k is None:
-                k = self.ids.get(p)
+            k = self.number.get(p)
             if k is None and self.by_bytes:
                 data = p.encode("utf-8")
                 ids.extend(self.bytes_[b] for b in data)
@@ -282,61 +347,95 @@ class PieceModel:
             widths.append(len(p))
         return tuple(ids), tuple(widths)
 
-    def _part(self, part: str) -> tuple[tuple, tuple]:
-        got = self.seen.get(part)
-        if got is not None:
-            return got
-        pieces, at = [], 0
-        for alone in self.alone_re.finditer(part) if self.alone_re else ():
-            if alone.start() > at:
-                pieces += self._merged(part[at:alone.start()])
-            pieces.append(alone.group())
-            at = alone.end()
-        if at < len(part):
-            pieces += self._merged(part[at:])
-        got = self._numbered(pieces)
-        if len(part) <= REMEMBERED_CHARS:
-            if len(self.seen) >= REMEMBERED:
-                self.seen.clear()
-            self.seen[part] = got
-        return got
-
-    def _parts(self, text: str):
-        """Parts of a normalised text that are merged apart; a symbol of the
-        user's stands for itself."""
-        at = 0
-        for symbol in self.user_re.finditer(text) if self.user_re else ():
-            yield from self._cut(text[at:symbol.start()])
-            yield (self.ids[symbol.group()],), (len(symbol.group()),)
-            at = symbol.end()
-        yield from self._cut(text[at:] if at else text)
-
-    def _cut(self, text: str):
-        parts = self.part_re.findall(text) if self.part_re else ([text] if text else [])
-        get, miss = self.seen.get, self._part
-        for part in parts:
-            yield get(part) or miss(part)
-
-    def encode(self, text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Ids of a text and the bytes at which each one starts and ends."""
-        normal, source = self.normalise(text)
-        ids, widths = [], []
-        for got in self._parts(normal):
-            ids += got[0]
-            widths += got[1]
-        ids, stop = np.array(ids, np.int32), np.cumsum(np.array(widths, np.int64))
+    def _known(self, parts: list[str]) -> list[tuple[tuple, tuple]]:
+        """(ids, widths) of different parts, those not met lately merged."""
+        out, new = [], []
+        for k, part in enumerate(parts):
+            got = self.seen.get(part)
+            if got is None:
+                got = self.seen_before.get(part)
+                if got is None:
+                    new.append(k)
+                else:
+                    self._remember(part, got)
+            out.append(got)
+        together = [k for k in new if len(parts[k]) <= _SHORT]
+        for k, got in zip(together, self._merge_together([parts[k] for k in together])):
+            out[k] = got
+        for k in new:
+            if out[k] is None:
+                out[k] = self._merge_long(parts[k])
+            if len(parts[k]) <= REMEMBERED_CHARS:
+                self._remember(parts[k], out[k])
+        return out
+
+    def _remember(self, part: str, got: tuple) -> None:
+        if len(self.seen) >= REMEMBERED:
+            self.seen, self.seen_before = {}, self.seen
+        self.seen[part] = got
+
+    def _parts(self, text: str) -> list[str]:
+        """Parts of a normalised text that are merged apart."""
+        if not self.part_re:
+            return [text] if text else []
+        return self.part_re.findall(text)
+
+    def encode_many(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Bounds of the texts' ids, all ids one after another, and the bytes
+        of its text at which each one starts and ends."""
+        normal = [self.normalise(t) for t in texts]
+        if not self.user:
+            cuts = [self._parts(t) for t, _ in normal]
+        else:
+            # A symbol of the user's is a part of its own, known beforehand.
+            cuts = []
+            for text, _ in normal:
+                cut, at = [], 0
+                for symbol in self.user_re.finditer(text):
+                    cut += self._parts(text[at:symbol.start()])
+                    cut.append((symbol.group(),))
+                    at = symbol.end()
+                cuts.append(cut + self._parts(text[at:]))
+        number = dict.fromkeys(chain.from_iterable(cuts))
+        plain = [p for p in number if type(p) is str]
+        known = self._known(plain)
+        for symbol in (p for p in number if type(p) is not str):
+            plain.append(symbol)
+            known.append(((self.ids[symbol[0]],), (len(symbol[0]),)))
+        number = {p: k for k, p in enumerate(plain)}
+        at = np.concatenate(([0], np.cumsum([len(ids) for ids, _ in known]))).astype(np.int64)
+        part_ids = np.fromiter(chain.from_iterable(ids for ids, _ in known), np.int32, int(at[-1]))
+        part_widths = np.fromiter(chain.from_iterable(widths for _, widths in known), np.int64, int(at[-1]))
+        # Every part's ids in the order of the texts.
+        counts = [len(cut) for cut in cuts]
+        parts = np.fromiter(map(number.__getitem__, chain.from_iterable(cuts)), np.int64, sum(counts))
+        size = at[parts + 1] - at[parts]
+        ends = np.cumsum(size)
+        place = np.repeat(at[parts] - (ends - size), size) + np.arange(int(size.sum()))
+        ids, widths = part_ids[place], part_widths[place]
+        bounds = np.concatenate(([0], ends))[np.concatenate(([0], np.cumsum(counts))).astype(np.int64)]
+        stop = np.cumsum(widths)
         if not self.by_bytes and len(ids):
-            # Unknown pieces in a row are one.
+            # Unknown pieces of a text in a row are one.
             last = np.append((ids[1:] != self.unknown) | (ids[:-1] != self.unknown), True)
+            last[bounds[1:][bounds[1:] > 0] - 1] = True
             ids, stop = ids[last], stop[last]
-            return ids, source[np.concatenate(([0], stop[:-1]))], source[stop]
-        return ids, source[stop - np.array(widths, np.int64)], source[stop]
+            widths = np.diff(np.concatenate(([0], stop)))
+            bounds = np.concatenate(([0], np.cumsum(last)))[bounds]
+        # A text has one place more in its alignment than characters.
+        source = np.concatenate([s for _, s in normal]) if normal else np.zeros(0, np.int64)
+        shift = np.repeat(np.arange(len(texts)), np.diff(bounds))
+        return bounds, ids, source[stop - widths + shift], source[stop + shift]
+
+    def encode(self, text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of a text and the bytes at which each one starts and ends."""
+        return self.encode_many([text])[1:]
 
     # -- decoding ---------------------------------------------------------
 
     def decode(self, ids: list) -> str:
         table, kind = self.decoded, self.kind
-        parts = [table[k] for k in ids]
+        parts = list(map(table.__getitem__, ids))
         if self.adds_space or self.joins_space:
             for at, k in enumerate(ids):
                 if kind[k] == CONTROL:
@@ -373,30 +472,31 @@ def _slices(sizes: list[int], limit: int):
         yield first, len(sizes)
 
 
-def _lists(parts: list[np.ndarray], kind) -> pa.Array:
-    offsets = np.concatenate(([0], np.cumsum([len(p) for p in parts]))).astype(np.int32)
-    values = np.concatenate(parts) if parts else np.zeros(0)
-    return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(values, kind))
-
-
-def encode(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def encode(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str = "text", decoded: bool = False) -> DataFrame:
     """``id, ids, starts, ends`` of every row: the pieces of its text and the
-    UTF-8 bytes [start, end) of the text that each one stands for."""
+    UTF-8 bytes [start, end) of the text that each one stands for.  With
+    ``decoded`` also the text that ``decode`` gives for the ids, without
+    another pass through the workers."""
     with open(model_path, "rb") as file:
         blob = file.read()
     rows = docs.select(F.col(id_col), F.col(text_col).alias("_text"))
     schema = f"`{id_col}` {rows.schema[id_col].dataType.simpleString()}, ids array<int>, starts array<bigint>, ends array<bigint>"
+    names = [id_col, "ids", "starts", "ends"]
+    if decoded:
+        schema, names = f"{schema}, decoded string", [*names, "decoded"]
 
     def run(batches):
         model = _model(blob)
         for batch in batches:
-            texts = [t or "" for t in batch.column(1).to_pylist()]
-            for lo, hi in _slices([len(t) for t in texts], SLICE_CHARS):
-                got = [model.encode(t) for t in texts[lo:hi]]
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(lo, hi - lo), _lists([g[0] for g in got], pa.int32()),
-                     _lists([g[1] for g in got], pa.int64()), _lists([g[2] for g in got], pa.int64())],
-                    names=[id_col, "ids", "starts", "ends"])
+            sizes = pc.fill_null(pc.binary_length(batch.column(1)), 0).to_pylist()
+            for lo, hi in _slices(sizes, SLICE_CHARS):
+                bounds, ids, starts, ends = model.encode_many([t or "" for t in batch.column(1).slice(lo, hi - lo).to_pylist()])
+                offsets = pa.array(bounds.astype(np.int32))
+                columns = [batch.column(0).slice(lo, hi - lo), *(pa.ListArray.from_arrays(offsets, pa.array(x)) for x in (ids, starts, ends))]
+                if decoded:
+                    flat, edge = ids.tolist(), bounds.tolist()
+                    columns.append(pa.array([model.decode(flat[a:b]) for a, b in zip(edge, edge[1:])], pa.string()))
+                yield pa.RecordBatch.from_arrays(columns, names=names)
 
     return rows.mapInArrow(run, schema)
 

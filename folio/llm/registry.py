@@ -108,7 +108,7 @@ def op11_periodic_runs(spark, sf_dir):
 def op12_sentencepiece(spark, sf_dir):
     """Pieces of every document, and the digest of their decoded text."""
     model = public_tokenizers.path("piece_bpe_32k.model")
-    rows = piece_codec.decode(piece_codec.encode(documents(spark, sf_dir), model), model)
+    rows = piece_codec.encode(documents(spark, sf_dir), model, decoded=True)
     return rows.select(
         "doc_id", F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),

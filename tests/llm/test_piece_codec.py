@@ -120,6 +120,21 @@ def test_long_parts_without_cuts():
     same("joined spaces", " \t " * 50)
 
 
+@pytest.mark.parametrize("remembered", [100_000, 5])
+def test_many_texts_together(monkeypatch, remembered):
+    monkeypatch.setattr(piece_codec, "REMEMBERED", remembered)
+    rng = random.Random(8)
+    words = ["the", "Thtieding.", "žluť", "a\nb", "日本", "", "x" * 70, "▁▁", "the" * 30] + ["".join(rng.choices("abcdeñtin", k=rng.randrange(9))) for _ in range(300)]
+    texts = [" ".join(rng.choices(words, k=rng.randrange(60))) for _ in range(80)]
+    for own, library in PAIRS.values():
+        for _ in range(2):
+            bounds, ids, starts, ends = own.encode_many(texts)
+            for text, a, b in zip(texts, bounds, bounds[1:]):
+                want = library.encode(text, return_type="proto")
+                assert ids[a:b].tolist() == [p.id for p in want.pieces]
+                assert ends[a:b].tolist() == [p.end for p in want.pieces] and starts[a:b].tolist() == [p.begin for p in want.pieces]
+
+
 def test_compiled_rules_are_read_back():
     assert read_rules(compiled(RULES)) == RULES
     assert read_rules(b"") == {}
@@ -140,6 +155,8 @@ def test_odd_rows(spark):
     library = PAIRS["given"][1]
     want = sorted((str(r[0]), library.encode(r[1] or ""), library.decode(library.encode(r[1] or ""))) for r in rows)
     assert sorted((str(r["doc_id"]), r["ids"], r["decoded"]) for r in out) == want
+    both = rows_of(piece_codec.encode(frame, MODEL, decoded=True))
+    assert sorted((str(r["doc_id"]), r["ids"], r["decoded"]) for r in both) == want
     assert all(len(r["ids"]) == len(r["starts"]) == len(r["ends"]) for r in out)
     with pytest.raises(ValueError):
         piece_codec.decode(frame, MODEL, ids_col="ids", out_col="text")
