@@ -132,17 +132,41 @@ def route_op(editing_id: Column | str) -> Column:
     return V.editing_route(editing_id)
 
 
+def _one_order(df: DataFrame, order_cols: list[str]) -> Column | None:
+    """Time and number in one decimal that orders like both, where that is
+    what ``order_cols`` are: microseconds times 2 * 10**19 plus the number."""
+    types = [df.schema[c].dataType.typeName() for c in order_cols]
+    if len(types) != 2 or types[0] not in ("timestamp", "timestamp_ntz", "date") or types[1] not in ("long", "integer", "short", "byte"):
+        return None
+    at = F.col(order_cols[0])
+    if types[0] == "timestamp":
+        micros = F.unix_micros(at)
+    else:
+        micros = F.unix_date(at.cast("date")).cast("bigint") * 86_400_000_000
+        if types[0] == "timestamp_ntz":
+            # Taken from its fields, so the session's time zone has no say.
+            micros = micros + (F.hour(at) * 3600 + F.minute(at) * 60).cast("bigint") * 1_000_000 + (
+                F.date_part(F.lit("SECOND"), at) * 1_000_000).cast("bigint")
+    # The factor leaves room for every number once it is moved above 0.
+    number = F.col(order_cols[1]).cast("decimal(20,0)") + F.lit(str(2 ** 63)).cast("decimal(20,0)")
+    return (micros.cast("decimal(18,0)") * F.lit(str(2 * 10 ** 19)).cast("decimal(20,0)")).cast("decimal(38,0)") + number
+
+
 def last_per_key(df: DataFrame, key: str, order_cols: list[str], columns: list[str]) -> DataFrame:
     """The row that is largest by ``order_cols`` per ``key``.
 
-    ``order_cols`` together are unique per key and not null.  Each is a hash
-    aggregate (``max``; a hot key leaves a map task as one row), joined back.
+    ``order_cols`` together are unique per key and not null.  A time and a
+    number are one hash aggregate (``max``; a hot key leaves a map task as one
+    row) joined back; other columns one for each.
     """
     last = df.select(key, *order_cols, *columns)
-    for c in order_cols:
-        top = last.groupBy(F.col(key).alias("_key")).agg(F.max(c).alias("_top"))
-        last = last.join(top, (F.col(key) == F.col("_key")) & (F.col(c) == F.col("_top"))).drop("_key", "_top")
-    return last
+    both = _one_order(df, order_cols)
+    orders = [(c, F.col(c)) for c in order_cols] if both is None else [("_order", both)]
+    for name, value in orders:
+        last = last.withColumn(name, value)
+        top = last.groupBy(F.col(key).alias("_key")).agg(F.max(name).alias("_top"))
+        last = last.join(top, (F.col(key) == F.col("_key")) & (F.col(name) == F.col("_top"))).drop("_key", "_top")
+    return last.select(key, *order_cols, *columns)
 
 
 def delete_by_key(base: DataFrame, keys: DataFrame, key: str = "id") -> DataFrame:

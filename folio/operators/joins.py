@@ -3,6 +3,8 @@
 * ``checked_broadcast`` broadcasts a side only after counting that it holds at
   most ``max_rows`` rows; beyond that the join is left to the planner
   (sort-merge, re-planned by AQE from real shuffle sizes, skew split on).
+* ``salted_left_join`` joins rows to a side of unique keys and deals a key that
+  many rows hold over several tasks, whatever the size thresholds of AQE.
 * ``unique_dimension`` makes a dimension provably unique on its key before an
   enrichment join, so the fact's row count cannot change, and raises an error
   in the plan when a key repeats.
@@ -68,6 +70,40 @@ def checked_broadcasts(pairs: list[tuple[DataFrame, DataFrame]], max_rows: int |
     return [F.broadcast(df) if ok else df for (df, _), ok in zip(pairs, fits)]
 
 
+# A key with this share of the rows or more is dealt over several tasks; there
+# are at most so many such keys, which bounds the broadcast of their names.
+HOT_SHARES = 200
+
+
+def salted_left_join(rows: DataFrame, side: DataFrame, key: str, counts: DataFrame | None = None,
+                     shares: int = HOT_SHARES) -> DataFrame:
+    """``rows`` left-joined to ``side`` (unique on ``key``) by ``key``.
+
+    Keys are counted first (``counts``: a frame ``key, _rows`` that holds these
+    counts already; partial counts, so a hot key is one row per map task).  A
+    key with a ``shares``-th of the rows or more is cut into slices of that
+    size by a hash of the whole row, and its row of ``side`` is copied to every
+    slice; no task gets more than about a ``shares``-th of the rows beside its
+    share of the ordinary keys.  Null keys meet nothing and are dealt likewise.
+    Equal whole rows fall into one slice.
+    """
+    if counts is None:
+        counts = rows.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
+    total = counts.agg(F.sum("_rows")).first()[0] or 0
+    least = max(2, -(-total // shares))
+    # At most ``shares`` keys hold a shares-th of the rows each.
+    hot = counts.where(F.col("_rows") >= least).select(
+        F.col(key).alias("_hot"), F.ceil(F.col("_rows") / least).cast("int").alias("_slices"))
+    plain = [f.name for f in rows.schema.fields if "map<" not in f.dataType.simpleString()]
+    dealt = rows.join(F.broadcast(hot), rows[key] == hot["_hot"], "left").withColumn(
+        "_slice", F.when(F.col("_slices").isNotNull(), F.pmod(F.xxhash64(*plain), F.col("_slices")))
+        .when(F.col(key).isNull(), F.pmod(F.xxhash64(*plain), F.lit(shares))).otherwise(F.lit(0)).cast("int"))
+    dealt = dealt.drop("_hot", "_slices")
+    copied = side.join(F.broadcast(hot), side[key] == hot["_hot"], "left").withColumn(
+        "_slice", F.explode(F.sequence(F.lit(0), F.coalesce("_slices", F.lit(1)) - 1))).drop("_hot", "_slices")
+    return dealt.join(copied, [key, "_slice"], "left").drop("_slice")
+
+
 def unique_dimension(dim: DataFrame, key: str, columns: dict[str, str]) -> DataFrame:
     """``dim`` reduced to one row per ``key`` with ``columns`` renamed.
 

@@ -34,6 +34,7 @@ from folio.sources.json_io import json_text
 DELETE_VALUE_OVER = 200
 LINK_PARAM = "page"
 LOOKUP_EMAIL = "customer.000000012@example.org"
+FACET_CHOICES = ("all", "2", "02", "null", "12345678901234567890", "2 ", "x")
 EMPTY_QUERIES = ("no such title", "#00000012", "customer#000000012", "   ")
 
 
@@ -392,12 +393,35 @@ def numbered_by_price(spark, sf_dir):
 
 
 def link_texts(spark, sf_dir):
-    """X14 on links whose titles are raw text: spaces, bars, percent signs."""
+    """X14 on links whose titles are whole raw texts: their separators, spaces
+    and percent signs end, split or stand in the title as the page reads it."""
     docs = table(spark, sf_dir, "documents")
-    title = F.regexp_replace(F.left(F.coalesce("text", F.lit("")), F.lit(40)), "[&#=\\n+]", "%")
-    links = docs.select("doc_id", F.concat(F.lit("reader.html?id="), F.col("doc_id").cast("string"), F.lit("&title="), title).alias("link"))
+    links = docs.select("doc_id", F.concat(F.lit("reader.html?id="), F.col("doc_id").cast("string"), F.lit("&title="),
+                                           F.coalesce("text", F.lit(""))).alias("link"))
     fields = link_fields("link")
-    return links.select("doc_id", fields["link_id"].alias("link_id"), fields["missing_id"].alias("missing_id"))
+    return links.select("doc_id", *[fields[c].alias(c) for c in ("link_id", "link_title", "missing_id")])
+
+
+def link_whole_texts(spark, sf_dir):
+    """X12 + X14: whole texts encoded into links, and read back."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    links = docs.select("doc_id", "text", reader_link("doc_id", "text").alias("link"))
+    title = query_param("link", "title")
+    return links.select("doc_id", F.sha2("link", 256).alias("link_sha256"), F.length("link").cast("long").alias("link_chars"),
+                        F.coalesce(title == F.coalesce("text", F.lit("null")), F.lit(False)).alias("title_roundtrip"))
+
+
+def facet_choices(spark, sf_dir):
+    """F4 + F9: every kind of choice -- all, a number, a number written another
+    way, a missing id, more digits than an id has, no number -- with the rows it
+    keeps and whether nothing is found."""
+    books = catalog(spark, sf_dir)
+    out = None
+    for choice in FACET_CHOICES:
+        found = S.facet(books, choice)
+        one = found.agg(F.count(F.lit(1)).alias("n")).select(F.lit(choice).alias("choice"), "n", F.lit(S.is_empty(found)).alias("is_empty"))
+        out = one if out is None else out.unionByName(one)
+    return out
 
 
 QUERIES = {
@@ -426,6 +450,8 @@ QUERIES = {
     "empty_results": empty_results,
     "numbered_by_price": numbered_by_price,
     "link_texts": link_texts,
+    "link_whole_texts": link_whole_texts,
+    "facet_choices": facet_choices,
 }
 
 
@@ -628,7 +654,16 @@ ORACLE_SQL = {
         SELECT o_orderkey, CAST(CAST(o_totalprice AS DECIMAL(20,0)) AS BIGINT) AS price,
                CAST(row_number() OVER (ORDER BY CAST(o_totalprice AS DECIMAL(20,0)), o_orderkey) AS BIGINT) AS row_no FROM orders""",
     "link_texts": """
-        SELECT doc_id, CAST(doc_id AS VARCHAR) AS link_id, false AS missing_id FROM documents""",
+        SELECT doc_id, id AS link_id, CASE WHEN t = '' THEN 'Không có tiêu đề' ELSE t END AS link_title, id = '' AS missing_id
+        FROM (SELECT doc_id, regexp_extract(link, '[?&]id=([^&#]*)', 1) AS id,
+                     url_decode(replace(regexp_replace(regexp_extract(link, '[?&]title=([^&#]*)', 1), '%([^0-9A-Fa-f]|[0-9A-Fa-f][^0-9A-Fa-f]|.?$)', '%25\\1', 'g'), '+', ' ')) AS t
+              FROM (SELECT doc_id, 'reader.html?id=' || doc_id || '&title=' || coalesce(text, '') AS link FROM documents))""",
+    "link_whole_texts": f"""
+        SELECT doc_id, sha256(link) AS link_sha256, length(link) AS link_chars, true AS title_roundtrip
+        FROM (SELECT doc_id, 'reader.html?id=' || doc_id || '&title=' || {_ENCODE.format(x="coalesce(text, 'null')")} AS link FROM documents)""",
+    "facet_choices": with_catalog(" UNION ALL ".join(f"""
+        SELECT '{c}' AS choice, count(*) AS n, count(*) = 0 AS is_empty FROM catalog
+        WHERE '{c}' = 'all' OR coalesce(CAST(category_id AS VARCHAR), 'null') = '{c}'""" for c in FACET_CHOICES)),
     "normalise_changes": "WITH " + _BOOK_LOG + _normalised_sql(
         "book_log", _BOOK_REQUIRED, _BOOK_FIELDS, ("quantity",)),
     "form_payload": """

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
@@ -94,6 +95,19 @@ def shared_checkpoint_dir(spark: SparkSession) -> str:
     return folder
 
 
+def stage(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` as Parquet into the shared folder and read it back.
+
+    Like ``checkpoint`` this cuts the lineage, but the frame is computed once
+    and nothing of its plan (inferred constraints among it, which double with
+    every round of an iterative job) goes on.  Stage tables are not deleted.
+    """
+    spark = df.sparkSession
+    path = f"{shared_checkpoint_dir(spark).rstrip('/')}/folio-tables/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def scale_conf(
     input_bytes: int,
     executors: int,
