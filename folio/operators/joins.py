@@ -3,8 +3,8 @@
 * ``checked_broadcast`` broadcasts a side only after counting that it holds at
   most ``max_rows`` rows; beyond that the join is left to the planner
   (sort-merge, re-planned by AQE from real shuffle sizes, skew split on).
-* ``salted_left_join`` joins rows to a side of unique keys and deals a key that
-  many rows hold over several tasks, whatever the size thresholds of AQE.
+* ``salted_join`` joins rows to a side of unique keys and deals a key that many
+  rows hold over several tasks, whatever the size thresholds of AQE.
 * ``unique_dimension`` makes a dimension provably unique on its key before an
   enrichment join, so the fact's row count cannot change, and raises an error
   in the plan when a key repeats.
@@ -75,12 +75,14 @@ def checked_broadcasts(pairs: list[tuple[DataFrame, DataFrame]], max_rows: int |
 HOT_SHARES = 200
 
 
-def salted_left_join(rows: DataFrame, side: DataFrame, key: str, counts: DataFrame | None = None,
-                     shares: int = HOT_SHARES) -> DataFrame:
-    """``rows`` left-joined to ``side`` (unique on ``key``) by ``key``.
+def salted_join(rows: DataFrame, side: DataFrame, key: str, counts: DataFrame | None = None,
+                how: str = "left", shares: int = HOT_SHARES) -> DataFrame:
+    """``rows`` joined to ``side`` (unique on ``key``) by ``key``, ``how`` being
+    left or inner.
 
     Keys are counted first (``counts``: a frame ``key, _rows`` that holds these
-    counts already; partial counts, so a hot key is one row per map task).  A
+    counts already, best a stored one; partial counts, so a hot key is one row
+    per map task).  An inner join needs the counts of the side's keys only.  A
     key with a ``shares``-th of the rows or more is cut into slices of that
     size by a hash of the whole row, and its row of ``side`` is copied to every
     slice; no task gets more than about a ``shares``-th of the rows beside its
@@ -101,7 +103,7 @@ def salted_left_join(rows: DataFrame, side: DataFrame, key: str, counts: DataFra
     dealt = dealt.drop("_hot", "_slices")
     copied = side.join(F.broadcast(hot), side[key] == hot["_hot"], "left").withColumn(
         "_slice", F.explode(F.sequence(F.lit(0), F.coalesce("_slices", F.lit(1)) - 1))).drop("_hot", "_slices")
-    return dealt.join(copied, [key, "_slice"], "left").drop("_slice")
+    return dealt.join(copied, [key, "_slice"], how).drop("_slice")
 
 
 def unique_dimension(dim: DataFrame, key: str, columns: dict[str, str]) -> DataFrame:

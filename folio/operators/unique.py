@@ -39,7 +39,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from folio.operators.joins import checked_broadcast, salted_left_join
+from folio.operators.joins import checked_broadcast, salted_join
 from folio.operators.numbering import number_rows
 from folio.session import shared_checkpoint_dir, stage
 
@@ -64,7 +64,7 @@ def _with_taken(rows: DataFrame, existing_keys: DataFrame, key: str, flag: str)
     on_file = existing_keys.select(F.col(key)).where(F.col(key).isNotNull())
     taken = on_file.join(checked_broadcast(asked), on_file[key] == asked["_asked"], "left_semi").distinct()
     taken = stage(taken, "keys-taken")
-    out = salted_left_join(rows, taken.withColumn(flag, F.lit(True)), key, counts)
+    out = salted_join(rows, taken.withColumn(flag, F.lit(True)), key, counts)
     return out.withColumn(flag, F.coalesce(flag, F.lit(False)))
 
 

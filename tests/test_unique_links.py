@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from folio.operators import unique as U
-from folio.operators.joins import salted_left_join
+from folio.operators.joins import salted_join
 
 
 def sequential(rows, existing=()):
@@ -69,7 +69,7 @@ def test_salted_join_deals_a_hot_key(spark):
     try:
         for k, v in zip(old, ("false", "50", "-1")):
             spark.conf.set(k, v)
-        out = salted_left_join(rows, side, "k")
+        out = salted_join(rows, side, "k")
         sizes = sorted(r["count"] for r in out.groupBy(F.spark_partition_id()).count().collect())
         # The plain join for comparison: the hot key and the nulls fill two tasks.
         plain = sorted(r["count"] for r in rows.join(side, "k", "left").groupBy(F.spark_partition_id()).count().collect())
