@@ -21,8 +21,9 @@ from folio.operators.enrich import enrich
 from folio.plans.bindings import BOOKS_SQL, CATEGORIES_SQL, books_from_orders, categories_from_orders, table
 from folio.plans.change_queries import _AUTHOR_FIELDS, _AUTHOR_LOG, _AUTHOR_REQUIRED, _AUTHORS_ALL, _normalised_sql, author_changes, authors_all
 from folio.session import shared_checkpoint_dir
-from folio.sources import keyed
+from folio.sources import gram_index, keyed
 
+SEARCHES = ("ÜE", "Thtieding", "HEANESEN", "src1", "no such text", "tion the th")
 SPAN = 512                  # ids per folder
 STRIDE = 7                  # requests name every 7th id
 
@@ -131,7 +132,21 @@ def stored_authors_after(spark, sf_dir):
     return keyed.read(spark, root).withColumn("birthdate", V.date_text("birthdate"))
 
 
+def indexed_search(spark, sf_dir):
+    """F5 through the trigram index: the documents that several searches find
+    in their whole texts or sources."""
+    root, index = _root(spark, "documents"), _root(spark, "grams")
+    keyed.create(table(spark, sf_dir, "documents").select("doc_id", "text", "source"), root, keyed.Layout("span", SPAN, "doc_id"))
+    gram_index.build(spark, root, ["text", "source"], index, folders=16)
+    out = None
+    for query in SEARCHES:
+        found = gram_index.search(spark, root, index, query, ("text", "source")).select(F.lit(query).alias("query"), "doc_id")
+        out = found if out is None else out.unionByName(found)
+    return out
+
+
 QUERIES = {
+    "indexed_search": indexed_search,
     "stored_apply_log": stored_apply_log,
     "stored_authors_after": stored_authors_after,
     "version_differences": version_differences,
@@ -183,6 +198,9 @@ view2 AS (SELECT b.id, b.title, a.full_name AS author, c.name AS category, b.pub
 _PAIR = ", ".join(f"{t}.{c} AS {side}_{c}" for side, t in (("before", "x"), ("after", "y")) for c in ("title", "author_id", "published_year", "quantity"))
 
 ORACLE_SQL = {
+    "indexed_search": " UNION ALL ".join(f"""
+        SELECT '{q}' AS query, doc_id FROM documents
+        WHERE contains(lower(coalesce(text, '')), lower('{q}')) OR contains(lower(coalesce(source, '')), lower('{q}'))""" for q in SEARCHES),
     "stored_apply_log": f"WITH {_SHELF}" + f""",
         touched AS (SELECT DISTINCT s.id // {SPAN} AS f FROM started s WHERE s.created >= 0
                     UNION SELECT b.id // {SPAN} FROM books b JOIN log l ON l.id = b.id)
