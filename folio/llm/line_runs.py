@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from folio.llm.common import digest, stage
+from folio.operators.joins import salted_join
 
 MIN_LINES = 3
 MIN_CHARS = 40
@@ -41,9 +42,12 @@ def line_positions(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 def _first_positions(rows: DataFrame, keys: list[str]) -> DataFrame:
     """Ranks: each row with the first position among rows of equal ``keys``;
     rows alone in their interval are left out."""
-    groups = (rows.groupBy(*keys).agg(F.min(F.struct("doc_id", "line")).alias("rank"), F.count(F.lit(1)).alias("_n"))
-              .filter("_n > 1").drop("_n"))
-    return rows.join(groups, keys)
+    rows = rows.withColumn("_key", F.struct(*keys))
+    # Stored, as its counts tell which keys are hot: a line that very many
+    # documents hold is dealt over several tasks.
+    groups = stage(rows.groupBy("_key").agg(F.min(F.struct("doc_id", "line")).alias("rank"), F.count(F.lit(1)).alias("_rows"))
+                   .filter("_rows > 1"), "line-groups")
+    return salted_join(rows, groups.select("_key", "rank"), "_key", groups.select("_key", "_rows"), how="inner").drop("_key")
 
 
 def repeated_windows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
