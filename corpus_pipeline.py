@@ -14,14 +14,14 @@ from pyspark.sql import functions as F
 from folio.llm import language, line_runs, minhash, mixing, packing
 from folio.llm.common import crc_mod, documents, stage
 
-MIN_LANGUAGE_SCORE = 0.3        # under this no language stands out
-
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose text has a language; its name replaces ``lang``."""
+    """Documents whose text has a language; its name replaces ``lang``.  Only
+    texts without a letter are rejected: a text in a language without labels
+    stays, under the name of the nearest one."""
     model = language.train(docs, learn=crc_mod("doc_id", 3) != 1)
     named = language.predict(docs, model, pred_col="_lang", score_col="_score")
-    kept = named.filter((F.col("_lang") != language.UNKNOWN) & (F.col("_score") >= MIN_LANGUAGE_SCORE))
+    kept = named.filter(F.col("_lang") != language.UNKNOWN)
     return kept.withColumn("lang", F.col("_lang")).select(*docs.columns)
 
 
