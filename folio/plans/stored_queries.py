@@ -19,7 +19,9 @@ from folio.operators import changes as C
 from folio.operators import current as K
 from folio.operators.enrich import enrich
 from folio.plans.bindings import BOOKS_SQL, CATEGORIES_SQL, books_from_orders, categories_from_orders, table
-from folio.plans.change_queries import _AUTHOR_FIELDS, _AUTHOR_LOG, _AUTHOR_REQUIRED, _AUTHORS_ALL, _normalised_sql, author_changes, authors_all
+from folio.plans.change_queries import (
+    _AUTHOR_FIELDS, _AUTHOR_LOG, _AUTHOR_REQUIRED, _AUTHORS_ALL, LOOKUP_EMAIL, _normalised_sql, author_changes, authors_all,
+)
 from folio.session import shared_checkpoint_dir
 from folio.sources import gram_index, keyed
 
@@ -145,7 +147,20 @@ def indexed_search(spark, sf_dir):
     return out
 
 
+def stored_role_lookup(spark, sf_dir):
+    """the role of the user with an e-mail, from users stored by key with
+    Bloom filters on the e-mails."""
+    from folio.operators.users import role_of
+    users = table(spark, sf_dir, "customer").select(
+        F.col("c_custkey").alias("id"), F.lower(F.concat(F.replace("c_name", F.lit("#"), F.lit(".")), F.lit("@example.org"))).alias("email"),
+        F.when(F.col("c_acctbal") > 5000, F.lit("admin")).otherwise(F.lit("user")).alias("role"))
+    root = _root(spark, "users")
+    keyed.create(users, root, keyed.Layout("span", SPAN), bloom=("email",))
+    return role_of(keyed.read(spark, root), LOOKUP_EMAIL)
+
+
 QUERIES = {
+    "stored_role_lookup": stored_role_lookup,
     "indexed_search": indexed_search,
     "stored_apply_log": stored_apply_log,
     "stored_authors_after": stored_authors_after,
@@ -198,6 +213,9 @@ view2 AS (SELECT b.id, b.title, a.full_name AS author, c.name AS category, b.pub
 _PAIR = ", ".join(f"{t}.{c} AS {side}_{c}" for side, t in (("before", "x"), ("after", "y")) for c in ("title", "author_id", "published_year", "quantity"))
 
 ORACLE_SQL = {
+    "stored_role_lookup": f"""
+        SELECT CASE WHEN c_acctbal > 5000 THEN 'admin' ELSE 'user' END AS role FROM customer
+        WHERE lower(replace(c_name, '#', '.') || '@example.org') = '{LOOKUP_EMAIL}'""",
     "indexed_search": " UNION ALL ".join(f"""
         SELECT '{q}' AS query, doc_id FROM documents
         WHERE contains(lower(coalesce(text, '')), lower('{q}')) OR contains(lower(coalesce(source, '')), lower('{q}'))""" for q in SEARCHES),
