@@ -39,6 +39,7 @@ from pyspark.sql import functions as F
 
 from folio.llm.common import partitions, stage
 from folio.llm.textscan import mix, powers
+from folio.operators.joins import salted_join
 
 LENGTH = 400
 GRAM = 100
@@ -360,17 +361,18 @@ def repeated_spans(docs: DataFrame, uid: str, text_col: str, length: int = LENGT
     anchors = stage(texts.filter(F.octet_length("text") >= length).mapInPandas(
         scan, "gram long, context long, uid long, pos long, before int, behind int"), "suffix-anchors")
     # Most grams occur once and leave first, so that little else moves on.  The
-    # merge hints keep one plan at every size: all these sides grow.
-    several = anchors.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("gram")
-    anchors = stage(anchors.join(several.hint("merge"), "gram"), "suffix-repeated")
+    # counts are stored: they tell which grams are dealt over several tasks.
+    # Merge hints elsewhere keep one plan at every size: those sides grow.
+    several = stage(anchors.groupBy("gram").agg(F.count(F.lit(1)).alias("_rows")).filter("_rows > 1"), "suffix-grams")
+    anchors = stage(salted_join(anchors, several.select("gram"), "gram", several, how="inner"), "suffix-repeated")
     # A context digest covers its extent, so equal contexts have equal extents.
     classes = stage(anchors.groupBy("gram", "context").agg(
         F.count(F.lit(1)).alias("n"), F.min(F.struct("uid", "pos")).alias("who")), "suffix-classes")
     kinds = classes.groupBy("gram").agg(F.count(F.lit(1)).alias("kinds")).filter("kinds > 1")
 
     # An anchor stems from a string within its context, so all of it is covered.
-    whole = classes.filter("n > 1").select("gram", "context")
-    full = anchors.join(whole.hint("merge"), ["gram", "context"]) \
+    whole = classes.filter("n > 1").select(F.struct("gram", "context").alias("_class"), F.col("n").alias("_rows"))
+    full = salted_join(anchors.withColumn("_class", F.struct("gram", "context")), whole.select("_class"), "_class", whole, how="inner") \
         .select("uid", (F.col("pos") - F.col("before")).alias("low"), (F.col("pos") + F.col("behind")).alias("high"))
 
     open_ = stage(classes.join(kinds.hint("merge"), "gram").select("gram", "kinds", "who.uid", "who.pos", (F.col("n") == 1).alias("alone")),
