@@ -4,8 +4,9 @@ Each round replaces a node's neighbours by links to the smallest of them
 (first over all larger neighbours, then over the smaller ones), which halves
 the depth of every chain; the rounds needed grow with the logarithm of a
 component's diameter.  A node's neighbours are never gathered: its minimum is
-a partial aggregate and is joined back, so a node with a third of all edges
-is split by the skew join.  Every round is written to the shared folder.
+a partial aggregate and is joined back.  The join streams a node's links past
+that one row, so a node with a third of all edges makes one long task, not a
+large one.  Every round is written to the shared folder.
 """
 
 from __future__ import annotations
