@@ -11,10 +11,15 @@ that fails half-way is never seen and no file is ever replaced.
 
 The driver holds one short row per folder and version, never rows or keys; the
 number of folders is the layout's choice, e.g. 10,000 spans of 10 million keys
-for 10**11 rows.  Within a folder rows are split into files of about
-``FILE_ROWS`` rows and sorted by key, and columns named in ``bloom`` get
-Parquet Bloom filters, so a lookup by key opens one folder and skips the row
-groups that cannot hold it.
+for 10**11 rows.  Small folders do not become small files: ``bundle``
+neighbouring folders share a directory, chosen as the table is created so that
+there is a directory for about every ``BUNDLE_ROWS`` rows (and a few for small
+tables).  A directory read for some of its folders is filtered by them, in
+ranges of the key where they are few, else by a join with their numbers; a
+change writes only the folders it touches.  Within a directory rows are split
+into files of about ``FILE_ROWS`` rows and sorted by key, and columns named in
+``bloom`` get Parquet Bloom filters, so a lookup by key opens one directory and
+skips the row groups that cannot hold it.
 
 One writer per table is assumed.  A key appears once; a null key is refused.
 Superseded folders stay until someone removes them: earlier versions remain
@@ -26,6 +31,7 @@ from __future__ import annotations
 import json
 import uuid
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -37,7 +43,12 @@ from folio.operators.changes import EntitySpec, apply_changes
 VERSIONS = "_versions"
 FOLDER = "keyfolder"
 FILE_ROWS = 2_000_000
-VERSIONS_SCHEMA = ("version long, kind string, size long, key string, max_key long, columns string, bloom array<string>, "
+# A directory for about so many rows, but up to so many of a small table.
+BUNDLE_ROWS = 250_000
+FEW_DIRECTORIES = 32
+# Folders are read by ranges of their keys up to so many, else by a join.
+MOST_RANGES = 16
+VERSIONS_SCHEMA = ("version long, kind string, size long, key string, max_key long, columns string, bloom array<string>, bundle long, "
                    "folders array<struct<folder:bigint,part:string,rows:bigint>>")
 
 
@@ -75,6 +86,7 @@ class Version:
     schema: StructType
     bloom: tuple[str, ...]
     parts: dict[int, tuple[str, int]]      # folder -> (part, rows)
+    bundle: int = 1                        # folders that share a directory
 
     @property
     def rows(self) -> int:
@@ -105,22 +117,58 @@ def version(spark: SparkSession, root: str, number: int | None = None) -> Versio
         raise FileNotFoundError(f"no version {number} under {root}")
     return Version(row["version"], Layout(row["kind"], row["size"], row["key"]), row["max_key"],
                    StructType.fromJson(json.loads(row["columns"])), tuple(row["bloom"]),
-                   {f["folder"]: (f["part"], f["rows"]) for f in row["folders"]})
+                   {f["folder"]: (f["part"], f["rows"]) for f in row["folders"]}, row["bundle"] or 1)
 
 
 def _publish(spark: SparkSession, root: str, v: Version) -> Version:
-    row = (v.number, v.layout.kind, v.layout.size, v.layout.key, v.max_key, v.schema.json(), list(v.bloom),
+    row = (v.number, v.layout.kind, v.layout.size, v.layout.key, v.max_key, v.schema.json(), list(v.bloom), v.bundle,
            [(f, part, rows) for f, (part, rows) in sorted(v.parts.items())])
     spark.createDataFrame([row], VERSIONS_SCHEMA).coalesce(1).write.mode("append").parquet(f"{_root(root)}/{VERSIONS}")
     return v
 
 
+def _ranges(folders: list[int]) -> list[tuple[int, int]]:
+    """Sorted numbers as stretches without a gap."""
+    out: list[tuple[int, int]] = []
+    for f in folders:
+        if out and out[-1][1] == f - 1:
+            out[-1] = (out[-1][0], f)
+        else:
+            out.append((f, f))
+    return out
+
+
+def _only(rows: DataFrame, layout: Layout, folders: list[int]) -> DataFrame:
+    """The rows of some folders, of directories that hold others too."""
+    ranges = _ranges(folders)
+    key = F.col(layout.key)
+    if layout.kind == "span" and len(ranges) <= MOST_RANGES:
+        # On the key itself, so that row groups are skipped.
+        inside = [(key >= a * layout.size) & (key < (b + 1) * layout.size) for a, b in ranges]
+        return rows.filter(reduce(lambda one, other: one | other, inside))
+    # One row per folder: the layout's own bound.
+    wanted = rows.sparkSession.createDataFrame([(f,) for f in folders], "_wanted bigint")
+    return rows.join(F.broadcast(wanted), layout.folder(key) == F.col("_wanted"), "left_semi")
+
+
 def _folders(spark: SparkSession, root: str, v: Version, folders) -> DataFrame:
     """Rows of some folders of a version."""
-    paths = [f"{_root(root)}/{v.parts[f][0]}/{FOLDER}={f}" for f in folders if f in v.parts]
-    if not paths:
-        return spark.createDataFrame([], v.schema)
-    return spark.read.schema(v.schema).parquet(*paths)
+    by_part: dict[str, list[int]] = {}
+    for f in sorted(folders):
+        if f in v.parts:
+            by_part.setdefault(v.parts[f][0], []).append(f)
+    out = None
+    whole: list[str] = []
+    for part, held in by_part.items():
+        paths = [f"{_root(root)}/{part}/{FOLDER}={d}" for d in sorted({f // v.bundle for f in held})]
+        if v.bundle == 1:
+            whole += paths
+            continue
+        rows = _only(spark.read.schema(v.schema).parquet(*paths), v.layout, held)
+        out = rows if out is None else out.unionByName(rows)
+    if whole:
+        return spark.read.schema(v.schema).parquet(*whole)
+    return spark.createDataFrame([], v.schema) if out is None else out
 
 
 def read(spark: SparkSession, root: str, number: int | None = None) -> DataFrame:
@@ -165,24 +213,25 @@ def row_count(spark: SparkSession, root: str) -> DataFrame:
     return newest.select(F.aggregate("folders", F.lit(0).cast("bigint"), lambda n, f: n + f["rows"]).alias("rows"))
 
 
-def _write(rows: DataFrame, root: str, layout: Layout, bloom: tuple[str, ...], most_rows: int) -> dict[int, tuple[str, int, int | None]]:
+def _write(rows: DataFrame, root: str, layout: Layout, bundle: int, bloom: tuple[str, ...], most_rows: int) -> dict[int, tuple[str, int, int | None]]:
     """Write rows as a new part; folder -> (part, rows, largest key)."""
     spark, key = rows.sparkSession, F.col(layout.key)
     part = f"data/{uuid.uuid4().hex}"
     path = f"{_root(root)}/{part}"
-    checked = F.when(key.isNull(), F.raise_error(F.lit(f"null key {layout.key}"))).otherwise(layout.folder(key))
-    files = max(1, -(-most_rows // FILE_ROWS))
+    checked = F.when(key.isNull(), F.raise_error(F.lit(f"null key {layout.key}"))).otherwise(_directory(layout.folder(key), bundle))
+    files = max(1, -(-most_rows // FILE_ROWS)) if bundle == 1 else 1
     dealt = rows.withColumn(FOLDER, checked).withColumn("_file", layout.file(key, files))
     dealt = dealt.repartition(FOLDER, "_file").sortWithinPartitions(FOLDER, layout.key).drop("_file")
     writer = dealt.write.mode("errorifexists").partitionBy(FOLDER).option("maxRecordsPerFile", 2 * FILE_ROWS)
     for name in bloom:
         writer = writer.option(f"parquet.bloom.filter.enabled#{name}", "true")
     writer.parquet(path)
-    schema = StructType([rows.schema[layout.key]]).add(FOLDER, "long")
+    schema = StructType([rows.schema[layout.key]])
     numeric = rows.schema[layout.key].dataType.typeName() in ("long", "integer", "short", "byte")
     top = F.max(layout.key).cast("bigint") if numeric else F.lit(None).cast("bigint")
     # One row per folder written; the key column alone is read back.
-    counts = spark.read.schema(schema).parquet(path).groupBy(FOLDER).agg(
+    held = spark.read.schema(schema).option("recursiveFileLookup", "true").parquet(path)
+    counts = held.groupBy(layout.folder(key).alias(FOLDER)).agg(
         F.count(F.lit(1)).alias("rows"), F.count_distinct(layout.key).alias("keys"), top.alias("top")).collect()
     for r in counts:
         if r["keys"] != r["rows"]:
@@ -190,10 +239,27 @@ def _write(rows: DataFrame, root: str, layout: Layout, bloom: tuple[str, ...], m
     return {r[FOLDER]: (part, r["rows"], r["top"]) for r in counts}
 
 
-def create(df: DataFrame, root: str, layout: Layout, bloom: tuple[str, ...] = (), rows_per_folder: int = FILE_ROWS) -> Version:
+def _directory(folder: Column, bundle: int) -> Column:
+    """The directory of a folder: ``folder // bundle``, rounded down."""
+    return F.call_function("div", folder - F.pmod(folder, F.lit(bundle)), F.lit(bundle)).cast("bigint")
+
+
+def _bundle(df: DataFrame, layout: Layout) -> int:
+    """How many folders are to share a directory, from the key column."""
+    if layout.kind == "hash" and layout.size <= FEW_DIRECTORIES:
+        return 1
+    held = df.groupBy(layout.folder(F.col(layout.key)).alias(FOLDER)).agg(F.count(F.lit(1)).alias("rows"))
+    found = held.agg(F.count(F.lit(1)).alias("folders"), F.sum("rows").alias("rows")).first()
+    return max(1, -(-found["folders"] // max(FEW_DIRECTORIES, -(-(found["rows"] or 0) // BUNDLE_ROWS))))
+
+
+def create(df: DataFrame, root: str, layout: Layout, bloom: tuple[str, ...] = (), rows_per_folder: int = FILE_ROWS,
+           bundle: int | None = None) -> Version:
     """Write a table as its first version (or, where there are versions, a
     whole new one).  ``rows_per_folder`` is about what a hash folder holds;
-    a span folder holds no more than its span."""
+    a span folder holds no more than its span.  ``bundle`` (found from the
+    keys where none is given) is how many folders share a directory, e.g.
+    that of another table of the same keys."""
     spark = df.sparkSession
     if FOLDER in df.columns:
         raise ValueError(f"column {FOLDER} is the folders' own")
@@ -202,10 +268,11 @@ def create(df: DataFrame, root: str, layout: Layout, bloom: tuple[str, ...] = ()
     except FileNotFoundError:
         number = 1
     most = min(rows_per_folder, layout.size) if layout.kind == "span" else rows_per_folder
-    written = _write(df, root, layout, bloom, most)
+    bundle = _bundle(df, layout) if bundle is None else bundle
+    written = _write(df, root, layout, bundle, bloom, most)
     tops = [top for _, _, top in written.values() if top is not None]
     return _publish(spark, root, Version(number, layout, max(tops, default=None), df.schema, tuple(bloom),
-                                         {f: (part, n) for f, (part, n, _) in written.items()}))
+                                         {f: (part, n) for f, (part, n, _) in written.items()}, bundle))
 
 
 def _folders_with(spark: SparkSession, root: str, v: Version, keys: DataFrame) -> set[int]:
@@ -225,12 +292,12 @@ def _next(spark: SparkSession, root: str, v: Version, rows: DataFrame, touched:
     if version(spark, root).number != v.number:
         raise RuntimeError(f"{root} has been published by another writer since version {v.number}")
     most = max([v.parts[f][1] for f in touched if f in v.parts], default=0) or (v.layout.size if v.layout.kind == "span" else FILE_ROWS)
-    written = _write(rows, root, v.layout, v.bloom, most) if touched else {}
+    written = _write(rows, root, v.layout, v.bundle, v.bloom, most) if touched else {}
     if not written.keys() <= touched:
         raise RuntimeError("rows outside the folders that are replaced")
     parts = {f: p for f, p in v.parts.items() if f not in touched}
     parts |= {f: (part, n) for f, (part, n, _) in written.items()}
-    return _publish(spark, root, Version(v.number + 1, v.layout, max_key, v.schema, v.bloom, parts))
+    return _publish(spark, root, Version(v.number + 1, v.layout, max_key, v.schema, v.bloom, parts, v.bundle))
 
 
 def apply_log(spark: SparkSession, root: str, accepted: DataFrame, spec: EntitySpec) -> Version:

@@ -264,3 +264,46 @@ def test_counts_that_do_not_fit_are_refused(spark, scratch):
         K.add_counts(spark, scratch, spark.createDataFrame([("a", -3)], "name string, n long"))
     K.add_counts(spark, scratch, spark.createDataFrame([("a", -2), ("b", 4)], "name string, n long"))
     assert plain(keyed.read(spark, scratch)) == [("b", 4)]
+
+
+def directories(scratch, v):
+    import glob
+    return {part: len(glob.glob(f"{scratch}/{part}/{keyed.FOLDER}=*")) for part in {part for part, _ in v.parts.values()}}
+
+
+def test_many_folders_are_few_directories(spark, scratch):
+    """Directories grow with the rows, not with the folders; folders that
+    share one are still rewritten, compared and read one by one."""
+    base = books(spark, 2800, step=3).withColumn("id", F.col("id") - 900)
+    first = keyed.create(base, scratch, Layout("span", 4))
+    assert len(first.parts) > 600 and first.bundle > 10
+    assert all(n <= 2 * keyed.FEW_DIRECTORIES for n in directories(scratch, first).values())
+    wanted = [-900, -897, 0, 3, 2403, 6000, 6300]
+    log = [(k, "update", i, "new", 1, 1, None, None, 0) for k, i in enumerate(wanted)]
+    log += [(100 + k, "delete", i, *(None,) * 6) for k, i in enumerate([9, 12, 15, 7000])]
+    log += [(200 + k, "insert", None, f"n{k}", 1, 1, None, None, 0) for k in range(40)]
+    frame = spark.createDataFrame(log, ACCEPTED)
+    last = keyed.apply_log(spark, scratch, frame, C.BOOK)
+    now = C.apply_changes(base, frame, C.BOOK, start_after=first.max_key).checkpoint()
+    assert plain(keyed.read(spark, scratch)) == plain(now) and plain(keyed.read(spark, scratch, 1)) == plain(base)
+    assert len(last.changed_since(first)) < 120
+    before, after = {r["id"]: r for r in base.collect()}, {r["id"]: r for r in now.collect()}
+    found = {r["id"] for r in keyed.differences(spark, scratch, 1, 2).collect()}
+    assert found == {i for i in before.keys() | after.keys() if before.get(i) != after.get(i)}
+    assert sorted(r["id"] for r in keyed.read_keys(spark, scratch, [-897, 9, 2403, 10**9]).collect()) == [-897, 2403]
+    # Every other key, so that ranges of folders would be many.
+    keys = base.filter("id % 2 = 0").select("id")
+    third = keyed.merge(spark, scratch, deleted=keys)
+    assert plain(keyed.read(spark, scratch)) == plain(now.join(keys, "id", "left_anti").select(now.columns))
+    assert sum(directories(scratch, third).values()) <= 6 * keyed.FEW_DIRECTORIES
+
+
+def test_a_folder_emptied_in_a_shared_directory(spark, scratch):
+    keyed.create(books(spark, 400), scratch, Layout("span", 2))
+    gone = [(i, "delete", i, *(None,) * 6) for i in (10, 11, 20)]
+    last = keyed.apply_log(spark, scratch, spark.createDataFrame(gone, ACCEPTED), C.BOOK)
+    assert last.bundle > 1 and 5 not in last.parts and last.parts[10][1] == 1
+    assert sorted(r["id"] for r in keyed.read(spark, scratch).collect()) == [i for i in range(400) if i not in (10, 11, 20)]
+    assert keyed.row_count(spark, scratch).first()[0] == 397
+    with pytest.raises(ValueError, match="not unique"):
+        keyed.create(books(spark, 400).unionByName(books(spark, 1)), f"{scratch}-twice", Layout("span", 2))
