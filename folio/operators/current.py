@@ -119,5 +119,5 @@ def refresh_view(spark: SparkSession, view_root: str, books_root: str, authors_r
     concerned = concerned.distinct().checkpoint()
     rows = keyed.read_matching(spark, books_root, concerned, books[1]).checkpoint()
     names = keyed.read_matching(spark, authors_root, rows.select("author_id"), authors[1])
-    fresh = enrich(rows, names, categories)
+    fresh = enrich(rows, names, categories).checkpoint()
     return keyed.merge(spark, view_root, fresh, book_changes.where("change = 'delete'").select("id"))

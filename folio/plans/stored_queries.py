@@ -93,7 +93,7 @@ def _kept_counts(spark, sf_dir) -> tuple[str, str]:
     authors, a1, a2 = _stored_authors(spark, sf_dir)
     refs, names = _root(spark, "refs"), _root(spark, "names")
     old_books, old_authors = keyed.read(spark, books, b1.number), keyed.read(spark, authors, a1.number)
-    keyed.create(K.counted(old_books, "author_id", "author_id"), refs, keyed.Layout("span", SPAN, "author_id"))
+    keyed.create(K.counted(old_books, "author_id", "author_id").checkpoint(), refs, keyed.Layout("span", SPAN, "author_id"))
     keyed.create(K.catalog_names(old_books, old_authors), names, keyed.Layout("hash", 16, "name"))
     K.keep_counts(spark, books, authors, refs, names, (b1.number, b2.number), (a1.number, a2.number))
     return books, names
@@ -123,7 +123,8 @@ def view_kept_current(spark, sf_dir):
     authors, a1, a2 = _stored_authors(spark, sf_dir)
     categories = categories_from_orders(table(spark, sf_dir, "orders"))
     view = _root(spark, "view")
-    keyed.create(enrich(keyed.read(spark, books, b1.number), keyed.read(spark, authors, a1.number), categories), view, keyed.Layout("span", SPAN))
+    keyed.create(enrich(keyed.read(spark, books, b1.number), keyed.read(spark, authors, a1.number), categories), view, keyed.Layout("span", SPAN),
+                 bundle=b1.bundle)
     K.refresh_view(spark, view, books, authors, categories, (b1.number, b2.number), (a1.number, a2.number))
     return keyed.read(spark, view)
 
