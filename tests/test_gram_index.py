@@ -62,3 +62,20 @@ def test_empty_documents(spark, scratch):
     keyed.create(spark.createDataFrame([], SCHEMA), root, keyed.Layout("span", 32))
     gram_index.build(spark, root, ["title"], f"{scratch}/index")
     assert gram_index.search(spark, root, f"{scratch}/index", "text", ("title",)).count() == 0
+
+
+def test_postings_by_definition_and_no_listing_of_the_whole_table(spark, scratch, monkeypatch):
+    rng = random.Random(4)
+    rows = [(k * 2 - 150, " ".join(rng.choices(["abc", "Bcd", "xyz"], k=2)) + (" lonely" if k == 140 else ""), rng.choice(["Ann", None])) for k in range(300)]
+    root = stored(spark, scratch, rows, block=192, span=32)
+    want = {}
+    for key, title, author in rows:
+        for text in (title, author or ""):
+            for at in range(len(text) - 2):
+                want.setdefault((text[at:at + 3].lower(), key // 192), set()).add(key % 192)
+    data = spark.read.parquet(f"{scratch}/index/_index").first()["data"]
+    got = {(r["gram"], r["block"]): r["places"] for r in spark.read.parquet(data).collect()}
+    assert got == {at: sorted(places) for at, places in want.items()}
+    # A query that has trigrams never asks for all rows.
+    monkeypatch.setattr(keyed, "read", lambda *_: pytest.fail("the whole table was asked for"))
+    assert [r["id"] for r in gram_index.search(spark, root, f"{scratch}/index", "LONELY", ("title",)).collect()] == [130]
