@@ -6,7 +6,8 @@ the depth of every chain; the rounds needed grow with the logarithm of a
 component's diameter.  A node's neighbours are never gathered: its minimum is
 a partial aggregate and is joined back.  The join streams a node's links past
 that one row, so a node with a third of all edges makes one long task, not a
-large one.  Every round is written to the shared folder.
+large one.  Every round is written to the shared folder, few links in few
+files.
 """
 
 from __future__ import annotations
@@ -39,13 +40,13 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
         both = current.union(current.select("b", "a"))
         low = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
         large = both.filter("b > a").join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
-        large = stage(large, "cc")
+        large = stage(large, "cc", seen[0])
         low = large.groupBy("a").agg(F.min("b").alias("m"))
         small = (large.join(low, "a").select(F.explode(F.array(
                     F.struct("a", F.col("m").alias("b")),
                     F.struct(F.col("b").alias("a"), F.col("m").alias("b")))).alias("e"))
                  .select("e.a", "e.b").filter("a <> b").distinct())
-        current = stage(small, "cc")
+        current = stage(small, "cc", 2 * seen[0])
         now = _signature(current)
         if now == seen:
             break

@@ -171,6 +171,9 @@ def predict(docs: DataFrame, model: LanguageModel, text_col: str = "text",
             yield pd.DataFrame({"lang": names, "score": scores})
 
     rows = docs.drop(*[c for c in (pred_col, score_col) if c in docs.columns])
-    rows = rows.withColumn("_named", named(F.col(text_col)))
+    # A later filter on the result would be pushed below the call and make it
+    # twice, in two Python workers a task; one that counts as not deterministic
+    # is made once and filtered afterwards.
+    rows = rows.withColumn("_named", named.asNondeterministic()(F.col(text_col)))
     return rows.select(*[c for c in rows.columns if c != "_named"],
                        F.col("_named.lang").alias(pred_col), F.col("_named.score").alias(score_col))

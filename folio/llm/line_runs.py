@@ -39,14 +39,14 @@ def line_positions(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
             .select("doc_id", "line", digest(F.col("t")).alias("key"), F.length("t").alias("n_chars")))
 
 
-def _first_positions(rows: DataFrame, keys: list[str]) -> DataFrame:
+def _first_positions(rows: DataFrame, keys: list[str], most: int | None = None) -> DataFrame:
     """Ranks: each row with the first position among rows of equal ``keys``;
-    rows alone in their interval are left out."""
+    rows alone in their interval are left out.  ``most``: a bound on the rows."""
     rows = rows.withColumn("_key", F.struct(*keys))
     # Stored, as its counts tell which keys are hot: a line that very many
     # documents hold is dealt over several tasks.
     groups = stage(rows.groupBy("_key").agg(F.min(F.struct("doc_id", "line")).alias("rank"), F.count(F.lit(1)).alias("_rows"))
-                   .filter("_rows > 1"), "line-groups")
+                   .filter("_rows > 1"), "line-groups", most)
     return salted_join(rows, groups.select("_key", "rank"), "_key", groups.select("_key", "_rows"), how="inner").drop("_key")
 
 
@@ -59,12 +59,13 @@ def repeated_windows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     found = (ranked.filter((F.col("n_chars") >= min_chars) & (F.col("rank") < own))
              .select("doc_id", "line", F.lit(1).alias("lines")))
     depth, current = 1, ranked.select("doc_id", "line", "rank")
+    most = ranked.count()
     while depth < min_lines:
         step = min(depth, min_lines - depth)
         ahead = Window.partitionBy("doc_id").orderBy("line").rangeBetween(step, step)
         pairs = current.withColumn("next", F.first("rank").over(ahead)).filter("next is not null")
         pairs = pairs.withColumnRenamed("rank", "half")
-        current = stage(_first_positions(pairs, ["half", "next"]).select("doc_id", "line", "rank"), "line-ranks")
+        current = stage(_first_positions(pairs, ["half", "next"], most).select("doc_id", "line", "rank"), "line-ranks", most)
         depth += step
     if min_lines > 1:
         found = found.union(current.filter(F.col("rank") < own).select("doc_id", "line", F.lit(min_lines).alias("lines")))

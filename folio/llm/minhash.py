@@ -197,21 +197,23 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     sketched = stage(texts.mapInPandas(_sketch_batches, SKETCH_SCHEMA), "minhash-sketch")
+    total = sketched.count()        # bounds the tables of ids made from it
     linkable = sketched.filter("n_shingles > 0 and doc_id is not null")
     classes = linkable.groupBy("n_shingles", "set_a", "set_b").agg(F.min("doc_id").alias("rep"))
     member = stage(linkable.select("doc_id", "n_shingles", "set_a", "set_b").distinct()
-                   .join(classes.hint("merge"), ["n_shingles", "set_a", "set_b"]).select("doc_id", "n_shingles", "rep"), "minhash-classes")
+                   .join(classes.hint("merge"), ["n_shingles", "set_a", "set_b"]).select("doc_id", "n_shingles", "rep"), "minhash-classes", total)
     reps = member.filter("doc_id = rep").select("doc_id")
     rows = sketched.select("doc_id", "bands").join(reps.hint("merge"), "doc_id", "left_semi") \
         .select("doc_id", F.explode("bands").alias("key"))
-    rows = stage(rows, "minhash-bands")
+    rows = stage(rows, "minhash-bands", BANDS * total)
     shared = rows.groupBy("key").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")) \
         .filter("low < high").select("key", "low")
-    buckets = stage(rows.join(shared.hint("merge"), "key"), "minhash-buckets")
+    buckets = stage(rows.join(shared.hint("merge"), "key"), "minhash-buckets", BANDS * total)
+    met = buckets.count()
 
     # Links to the smallest member of each bucket.
     first = stage(buckets.filter("doc_id > low").select(F.col("low").alias("a"), F.col("doc_id").alias("b"))
-                  .distinct(), "minhash-pairs")
+                  .distinct(), "minhash-pairs", met)
     wanted = first.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
     sets = stage(texts.join(wanted.hint("merge"), "doc_id", "left_semi").mapInPandas(_set_batches, "doc_id long, items binary")
                  .dropDuplicates(["doc_id"]), "minhash-sets")
@@ -223,7 +225,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
              .select("key", "doc_id", F.coalesce("component", "doc_id").alias("component")))
     mixed = named.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")) \
         .filter("x < y").select("key")
-    open_rows = stage(named.join(mixed, "key").join(member.select("doc_id", "n_shingles").distinct(), "doc_id"), "minhash-open")
+    open_rows = stage(named.join(mixed, "key").join(member.select("doc_id", "n_shingles").distinct(), "doc_id"), "minhash-open", met)
     more = _links_across(open_rows, sets)
     final = connected_components(links.select("a", "b").union(more))
 
@@ -240,7 +242,8 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
 
     Of rows that repeat an id one is kept; rows without an id are all kept.
     """
-    marked = stage(near_duplicates(docs, id_col, text_col).filter("doc_id is not null"), "minhash-marked")
+    marked = near_duplicates(docs, id_col, text_col).filter("doc_id is not null")
+    marked = stage(marked, "minhash-marked", docs.count())
     kept = docs.join(marked.filter("not kept").select(F.col("doc_id").alias(id_col)).distinct(), id_col, "left_anti")
     kept = kept.select(*docs.columns)
     if marked.groupBy("doc_id").count().filter("count > 1").isEmpty():

@@ -36,6 +36,16 @@ def test_language_odd_rows(spark):
     assert {r["lang_pred"] for r in rows_of(language.predict(docs, empty))} == {"und"}
 
 
+def test_language_is_predicted_once_below_a_filter(spark):
+    docs = docs_frame(spark, [(k, "der und die das ist nicht", "de") for k in range(20)]
+                      + [(k, "the and of this is not", "en") for k in range(20, 40)] + [(40, "123", "en"), (41, None, None)])
+    model = language.train(docs)
+    kept = language.predict(docs, model).filter("lang_pred <> 'und'")
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1
+    assert sorted(r["doc_id"] for r in rows_of(kept)) == list(range(40))
+
+
 def test_language_weights_are_sparse():
     model = language.fit(["der und die das"] * 40 + ["the and of this"] * 40, ["de"] * 40 + ["en"] * 40)
     assert (model.weights == 0).mean() > 0.99

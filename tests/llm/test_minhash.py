@@ -1,9 +1,12 @@
+import os
 import random
 
 import numpy as np
 
 from folio.llm import minhash
+from folio.llm.common import shared_dir
 from folio.llm.components import connected_components
+from folio.llm.minhash import drop_near_duplicates
 from tests.llm.helpers import WORD, components, docs_frame, odd_rows, rows_of
 
 
@@ -74,3 +77,22 @@ def test_odd_rows(spark):
     assert kept.columns == docs.columns
     assert sorted(r["doc_id"] or 0 for r in rows_of(kept)) == [0, 0, 1, 2, 3, 4, 7, 8, 9, 10]
     assert minhash.near_duplicates(docs.limit(0)).count() == 0
+
+
+def test_small_tables_of_ids_are_few_files(spark):
+    folder = f"{shared_dir(spark)}/folio-llm".removeprefix("file:")
+    names = ("cc", "minhash-classes", "minhash-bands", "minhash-buckets", "minhash-pairs", "minhash-open", "minhash-marked")
+    tables = lambda: {f"{folder}/{x}" for x in (os.listdir(folder) if os.path.isdir(folder) else []) if x[:-33] in names}
+    rows = [(k, " ".join(f"w{k // 3}x{i}" for i in range(60)) + f" end {k % 3 % 2}") for k in range(120)]
+    before, settings = tables(), {"spark.sql.shuffle.partitions": "32", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    old = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        kept = drop_near_duplicates(docs_frame(spark, rows)).select("doc_id").collect()
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    assert sorted(r["doc_id"] for r in kept) == list(range(0, 120, 3))
+    files = {x: sum(f.endswith(".parquet") for f in os.listdir(x)) for x in tables() - before}
+    assert sum(n > 1 for n in files.values()) <= 2 < len(files)       # the links as they come, twice, before they are counted
