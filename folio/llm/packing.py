@@ -18,6 +18,7 @@ padding; only the last one of all can be short.
 
 from __future__ import annotations
 
+import re
 import sys
 import types
 import zlib
@@ -35,16 +36,20 @@ WINDOW = 1024
 QUANTUM = 128
 END_ID = 0
 PARTITION_TOKENS = 2_000_000    # aimed at; a task holds one partition's ids
-CACHED_PIECES = 400_000
+LOOK_AHEAD = r"\s+(?!\S)|"      # of the tokenizer's pattern
 PIECE_SCHEMA = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, "
                 "sequence_id long, offset long, source string")
 
 
 def _tokenizer(vocabulary: str):
-    """(encode, pieces seen so far) of a rank file, kept for the worker's life.
+    """(tokenizer of any text, tokenizer of texts without double white space)
+    of a rank file, kept for the worker's life.
 
     The rank file is the same vocabulary and merges as the JSON file of the
     ``tokenizers`` library and gives the same ids, at a fraction of the time.
+    Only white space before white space needs the pattern's look-ahead, which
+    takes a slower matcher.  The special token, of an id that is free, is never
+    allowed, so its letters are read as text.
     """
     import base64
 
@@ -54,42 +59,24 @@ def _tokenizer(vocabulary: str):
     held = sys.modules.setdefault("_folio_tokenizers", types.ModuleType("_folio_tokenizers")).__dict__
     if vocabulary not in held:
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, open(vocabulary, "rb"))}
-        encoding = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
-        held[vocabulary] = (encoding, {})
+        special = {"<|endoftext|>": max(ranks.values()) + 1}
+        held[vocabulary] = [
+            tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=ranks, special_tokens=special)
+            for pattern in (public_tokenizers.PATTERN, public_tokenizers.PATTERN.replace(LOOK_AHEAD, ""))]
     return held[vocabulary]
 
 
 def encode_texts(texts: list, vocabulary: str) -> list[bytes]:
-    """Token ids as little-endian 16-bit numbers, without the end token.
-
-    A space before a word starts a new token, so a text whose white space is
-    single falls into pieces that are encoded alone and remembered.
-    """
-    import re
-
-    encoding, seen = _tokenizer(vocabulary)
-    double = re.compile(r"\s ")
-    encode = encoding.encode_ordinary
+    """Token ids as little-endian 16-bit numbers, without the end token."""
+    whole, single = _tokenizer(vocabulary)
+    double = re.compile(r"\s\s").search      # Python's white space holds that of the pattern
     out = []
     for text in texts:
         if not text:
             out.append(b"")
             continue
-        if double.search(text):
-            out.append(np.array(encode(text), "<u2").tobytes())
-            continue
-        pieces = text.split(" ")
-        ids = [np.array(encode(pieces[0]), "<u2").tobytes()]
-        for piece in pieces[1:]:
-            got = seen.get(piece)
-            if got is None:
-                got = np.array(encode(" " + piece), "<u2").tobytes()
-                if len(piece) < 64:
-                    if len(seen) >= CACHED_PIECES:
-                        seen.clear()
-                    seen[piece] = got
-            ids.append(got)
-        out.append(b"".join(ids))
+        found = (whole if double(text) else single).encode_to_numpy(text, disallowed_special=())
+        out.append(found.astype("<u2").tobytes())
     return out
 
 
